@@ -6,17 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, token_counts
+from . import bpe, decontaminate, licences, sharding, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_decontamination": decontaminate.documents_contamination,
+        "op6_sharding": sharding.documents_shards,
         "op7_token_counts": token_counts.documents_token_counts,
+        "op9_licences": licences.documents_licences,
         "op10_byte_bpe": bpe.documents_tokens,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_decontamination": decontaminate.ORACLE_SQL}
