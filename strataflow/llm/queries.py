@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, licences, sharding, token_counts
+from . import bpe, decontaminate, langid, licences, quality, sharding, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_quality": quality.documents_quality,
+        "op2_language": langid.documents_languages,
         "op3_decontamination": decontaminate.documents_contamination,
         "op6_sharding": sharding.documents_shards,
         "op7_token_counts": token_counts.documents_token_counts,
