@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, langid, licences, quality, sharding, token_counts
+from . import bpe, decontaminate, jaccard, langid, licences, quality, sharding, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ def queries() -> dict[str, Query]:
         "op1_quality": quality.documents_quality,
         "op2_language": langid.documents_languages,
         "op3_decontamination": decontaminate.documents_contamination,
+        "op4_near_copies": jaccard.documents_near_copies,
         "op6_sharding": sharding.documents_shards,
         "op7_token_counts": token_counts.documents_token_counts,
         "op9_licences": licences.documents_licences,
