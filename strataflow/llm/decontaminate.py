@@ -63,15 +63,17 @@ def find_hits(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
     found = docs.select(*_identity(key, text), words(F.col(text)).alias("words"))
     w = F.col("words")
     arrays = [_windows(w, n) for n in sorted(lengths, reverse=True)] or [_windows(w, window)]
-    probes = found.withColumn("windows", F.concat(*arrays)).select("key", "mark", "mark2", "words", F.inline("windows"))
-    table = table.select(F.col("hash").alias("b_hash"), F.col("length").alias("b_length"), F.col("run").alias("b_run"), "item")
+    # the outer form, as a filter inferred from the inner one would cut the words anew for each window
+    probes = found.withColumn("windows", F.concat(*arrays)).select("key", "mark", "mark2", "words", F.inline_outer("windows"))
+    table = table.select(F.col("hash").alias("b_hash"), F.col("run").alias("b_run"), "item")
     run = F.slice(w, F.col("place"), F.col("length"))
     if sum(lengths.values()) <= broadcast_bytes:
         table = F.broadcast(table)
     else:
         probes = probes.select("key", "mark", "mark2", "place", "length", "hash", run.alias("words"))
         run, table = w, table.hint("merge")
-    same = (F.col("hash") == F.col("b_hash")) & (F.col("length") == F.col("b_length")) & (run == F.col("b_run"))
+    # two comparisons make the word by word check a condition on hash hits; an equality would become a join key of every window
+    same = (F.col("hash") == F.col("b_hash")) & (run >= F.col("b_run")) & (run <= F.col("b_run"))
     hits = probes.join(table, same).select("key", "mark", "mark2", "place", "length", "item")
     spans = F.transform(F.collect_set(F.struct("place", "length")), lambda x: F.sequence(x["place"], x["place"] + x["length"] - 1))
     return hits.groupBy("key", "mark", "mark2").agg(F.array_sort(F.array_distinct(F.flatten(spans))).alias("places"), F.collect_set("item").alias("items"))
@@ -114,19 +116,27 @@ def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     same = F.col(f"r.`{key}`").eqNullSafe(F.col(f"h.{names['key']}")) & F.col(f"r.{names['mark']}").eqNullSafe(F.col(f"h.{names['mark']}")) & (F.col(f"r.{names['mark2']}") == F.col(f"h.{names['mark2']}"))
     if remove == "documents":
         return rows.join(hits, same, "left_anti").select(*(F.col(f"r.`{c}`") for c in docs.columns))
-    return rows.join(hits, same, "left").select(*((without_places(F.col(f"r.`{text}`"), F.col(f"h.{names['places']}")).alias(text) if c == text else F.col(f"r.`{c}`")) for c in docs.columns))
+    joined = rows.join(hits, same, "left")
+    parts = fresh([*docs.columns, *names.values()], "_parts")
+    joined = joined.select(*(F.col(f"r.`{c}`") for c in docs.columns), F.col(f"h.{names['places']}").alias(names["places"]), F.when(F.col(f"h.{names['places']}").isNotNull(), word_parts(F.col(f"r.`{text}`"))).alias(parts))
+    cut = without_places(F.col(parts), F.col(names["places"]))
+    return joined.select(*(F.coalesce(cut, F.col(f"`{c}`")).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns))
 
 
-def without_places(text: Column, places: Column) -> Column:
-    """The text without the words of these ascending numbers; each run of them becomes a single blank."""
-    found = F.regexp_extract_all(text, F.lit(WORD_ANY_CASE), F.lit(0))
-    gaps = F.split(text, WORD_ANY_CASE, -1)
-    parts = F.transform(found, lambda x, i: F.concat(F.element_at(gaps, i + 1), x))
+def word_parts(text: Column) -> Column:
+    """Each word with the gap before it, and last the gap behind them all."""
+    return F.zip_with(F.split(text, WORD_ANY_CASE, -1), F.regexp_extract_all(text, F.lit(WORD_ANY_CASE), F.lit(0)), lambda gap, word: F.concat(gap, F.coalesce(word, F.lit(""))))
+
+
+def without_places(parts: Column, places: Column) -> Column:
+    """The text of ``word_parts`` without the words of these ascending numbers; each run of them becomes a blank.
+
+    ``parts`` has to be a column, not an expression: it is read once for each run.
+    """
     before = F.concat(F.array(F.lit(0)), places)
-    behind = F.concat(places, F.array(F.size(found) + 1))
+    behind = F.concat(places, F.array(F.size(parts)))
     kept = F.zip_with(before, behind, lambda a, b: F.array_join(F.slice(parts, a + 1, b - a - 1), ""))
-    cut = F.concat(F.array_join(F.filter(kept, lambda x: x != ""), " "), F.element_at(gaps, -1))
-    return F.when(places.isNull(), text).otherwise(cut)
+    return F.concat(F.array_join(F.filter(kept, lambda x: x != ""), " "), F.element_at(parts, -1))
 
 
 def documents_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
