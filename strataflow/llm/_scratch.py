@@ -17,7 +17,11 @@ def shared_folder(spark: SparkSession) -> str:
     if not found:
         found = "file://" + tempfile.mkdtemp(prefix="strataflow-")
         spark.conf.set(SETTING, found)
-    return found.rstrip("/")
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(found)
+    whole = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(jvm_path).toString()
+    if whole.startswith("file:/") and not whole.startswith("file://"):
+        whole = "file://" + whole[len("file:") :]
+    return whole.rstrip("/")
 
 
 def delete(spark: SparkSession, path: str) -> None:

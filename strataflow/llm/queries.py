@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, jaccard, langid, licences, quality, sharding, token_counts
+from . import bpe, decontaminate, jaccard, langid, licences, quality, sharding, token_counts, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,7 @@ def queries() -> dict[str, Query]:
         "op2_language": langid.documents_languages,
         "op3_decontamination": decontaminate.documents_contamination,
         "op4_near_copies": jaccard.documents_near_copies,
+        "op5_warc": warc.pages_archived,
         "op6_sharding": sharding.documents_shards,
         "op7_token_counts": token_counts.documents_token_counts,
         "op9_licences": licences.documents_licences,
@@ -25,4 +26,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": decontaminate.ORACLE_SQL}
+    return {"op3_decontamination": decontaminate.ORACLE_SQL, "op5_warc": warc.ORACLE_SQL}
