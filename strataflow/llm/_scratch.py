@@ -59,13 +59,12 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def publish(self, df: DataFrame) -> DataFrame:
-        path = f"{self.root}-out"
+        """A table that stays until the process ends."""
+        path = f"{self.root}-out-{len(self._parts)}"
+        self._parts.append(path)
         df.write.parquet(path)
         atexit.register(_delete_quietly, self.spark, path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, df_path: str) -> None:
-        _delete_quietly(self.spark, df_path)
-
     def __exit__(self, *_: object) -> None:
         _delete_quietly(self.spark, self.root)

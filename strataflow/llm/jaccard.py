@@ -424,13 +424,14 @@ def keep_one_of_each(docs: DataFrame, scratch: Scratch, key: str = "doc_id", tex
     """``docs`` with one document of each component, that with the least key.
 
     Rows with a null key all stay, and so do rows without words. Of rows that repeat a key and a text one
-    stays; documents of one key and different texts stay, as nothing tells which is meant.
+    stays; documents of one key and different texts stay, as nothing tells which is meant. Only the keys of
+    what goes outlive ``scratch``.
     """
     found = near_copies(docs, scratch, key, text, k, percent)
     name = fresh(docs.columns, "_gone")
-    gone = scratch.table(found.filter(F.col(key) != F.col("component_id")).select(F.col(key).alias(name)).distinct(), "gone")
+    gone = scratch.publish(found.filter(F.col(key) != F.col("component_id")).select(F.col(key).alias(name)).distinct())
     kept = docs.join(gone, F.col(key) == F.col(name), "left_anti")
-    repeated = scratch.table(docs.groupBy(F.col(key).alias(name)).agg(F.count("*").alias("rows")).filter(f"rows > 1 and `{name}` is not null").select(name), "repeated")
+    repeated = scratch.publish(docs.groupBy(F.col(key).alias(name)).agg(F.count("*").alias("rows")).filter(f"rows > 1 and `{name}` is not null").select(name))
     if repeated.isEmpty():
         return kept
     same = F.col(key) == F.col(name)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, jaccard, langid, licences, quality, sharding, token_counts, warc
+from . import bpe, decontaminate, jaccard, langid, licences, lm, quality, sharding, token_counts, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,7 @@ def queries() -> dict[str, Query]:
         "op5_warc": warc.pages_archived,
         "op6_sharding": sharding.documents_shards,
         "op7_token_counts": token_counts.documents_token_counts,
+        "op8_lm_scores": lm.documents_scores,
         "op9_licences": licences.documents_licences,
         "op10_byte_bpe": bpe.documents_tokens,
     }
