@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+#: Rows that Spark hands to Python at a time, at most: texts are long, and each task holds a batch on either side.
+ARROW_ROWS, ARROW_SETTING = 4000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -45,6 +47,8 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_folder(spark)}/strataflow-{name}-{uuid.uuid4().hex}"
         self._parts: list[str] = []
+        if not 0 < int(spark.conf.get(ARROW_SETTING)) <= ARROW_ROWS:
+            spark.conf.set(ARROW_SETTING, ARROW_ROWS)
 
     def __enter__(self) -> Scratch:
         return self
@@ -56,7 +60,15 @@ class Scratch:
     def table(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        found = self.spark.read.schema(df.schema).parquet(path)
+        found._scratch_path = path
+        return found
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Deletes tables that nothing will read again, and lets Spark clean up after plans that are gone."""
+        for table in tables:
+            _delete_quietly(self.spark, table._scratch_path)
+        self.spark._jvm.System.gc()
 
     def publish(self, df: DataFrame) -> DataFrame:
         """A table that stays until the process ends."""

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at a time; a longer text is a block of its own.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 #: ASCII white space as the word pattern [^\x20\x09-\x0D]+ has it.
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 

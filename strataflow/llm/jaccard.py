@@ -2,15 +2,17 @@
 
 A document's set is its distinct word shingles. Shingles have one global order, the rarer first, and only a
 prefix of each set is indexed: two sets that are similar enough share a shingle of their prefixes. Documents
-with the same prefix and size form a group, which is indexed once. The join runs in two rounds, both exact:
+with the same prefix and size form a group, which is indexed once. Pairs are taken in three rounds, and
+after each the verified pairs are contracted to components:
 
 1. In each index entry, each group is paired with one hub, the group whose prefix has the fewest rarer
-   shingles. Verified pairs contract.
-2. Pairs of one entry whose members still lie apart go through the size, position and bitmap filters, are
-   expanded to members and verified. Members that round 1 has brought together need no pair.
+   shingles.
+2. Groups of one entry are expanded to members. Of the pairs that still lie in different components and pass
+   the size, position and bitmap filters, each block of an entry gives a spanning forest.
+3. The pairs that still lie apart then, all of them.
 
-So a large group of near copies costs a pair a member, not a pair a pair, and no link that could join two
-components is lost. Sets are compared by 56-bit hashes of their shingles and documents of equal sets share a
+So a large group of near copies costs a few pairs a member, not a pair a pair, and no link that could join
+two components is lost: the last round leaves out only pairs that are in one component already. Sets are compared by 56-bit hashes of their shingles and documents of equal sets share a
 64-bit id; two different shingles of one pair, or two different sets, are taken for equal with a chance of
 about 1e-12 and 1e-19 a pair.
 """
@@ -225,8 +227,39 @@ def _with_hubs(percent: int):
     return pair
 
 
-def _apart(percent: int):
-    """Pairs of one block of an entry that still lie in different components and pass all filters."""
+class _Forest:
+    """Keeps, of pairs of components, those that join two trees."""
+
+    def __init__(self, parts: np.ndarray):
+        self.names = np.unique(parts)
+        self.tree = np.arange(len(self.names))
+
+    def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return self.tree[np.searchsorted(self.names, a)] != self.tree[np.searchsorted(self.names, b)]
+
+    def join(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The positions of pairs of a spanning forest; their trees are joined."""
+        x, y = np.searchsorted(self.names, a), np.searchsorted(self.names, b)
+        kept = []
+        while True:
+            hi, lo = np.maximum(self.tree[x], self.tree[y]), np.minimum(self.tree[x], self.tree[y])
+            open_ = np.flatnonzero(hi != lo)
+            if not len(open_):
+                return np.concatenate(kept) if kept else open_
+            trees, at = np.unique(hi[open_], return_index=True)
+            kept.append(open_[at])
+            to = np.arange(len(self.names))
+            to[trees] = lo[open_[at]]  # always towards a lesser tree, so without a cycle
+            while (to[to] != to).any():
+                to = to[to]
+            self.tree = to[self.tree]
+
+
+def _apart(percent: int, forest: bool):
+    """Pairs of one block of an entry that still lie in different components and pass all filters.
+
+    With ``forest``, only as many of them as join the components of the block.
+    """
 
     def pairs_of(block: list[np.ndarray], bitmaps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         _, first_block, second_block, own, set_id, part, n, place, before = block
@@ -236,17 +269,23 @@ def _apart(percent: int):
             left, right = np.flatnonzero(own == first_block[0]), np.flatnonzero(own == second_block[0])
         if not len(left) or not len(right):
             return set_id[:0], set_id[:0]
+        trees = _Forest(part)
         out_a, out_b = [], []
-        step = max(1, (1 << 20) // len(right))
+        step = max(1, (1 << 18) // len(right))
         for at in range(0, len(left), step):
             i, j = left[at : at + step, None], right[None, :]
             good = (part[i] != part[j]) & ((before[i] != before[j]) | (before[i] == _NO_TOKEN)) & _may_be_similar(n[i], n[j], place[i], place[j], percent)
             x, y = np.nonzero(good)
             a, b = left[at + x], right[y]
+            if forest:
+                still = trees.apart(part[a], part[b])
+                a, b = a[still], b[still]
             allowed = n[a] + n[b] - 2 * (-(-percent * (n[a] + n[b]) // (100 + percent)))
             for lo in range(0, len(a), 1 << 16):
                 s = slice(lo, lo + (1 << 16))
-                near = np.bitwise_count(bitmaps[a[s]] ^ bitmaps[b[s]]).sum(axis=1) <= allowed[s]
+                near = np.flatnonzero(np.bitwise_count(bitmaps[a[s]] ^ bitmaps[b[s]]).sum(axis=1) <= allowed[s])
+                if forest and len(near):
+                    near = near[trees.join(part[a[s][near]], part[b[s][near]])]
                 out_a.append(set_id[a[s]][near])
                 out_b.append(set_id[b[s]][near])
         a, b = (np.concatenate(x) if x else set_id[:0] for x in (out_a, out_b))
@@ -340,7 +379,9 @@ class GroupedPrefixJoin:
         sets = self.scratch.table(sets, "sets")
         left, right = sets.select(F.col("set_id").alias("a"), F.col("tokens").alias("x")), sets.select(F.col("set_id").alias("b"), F.col("tokens").alias("y"))
         found = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-        return self.scratch.table(found.mapInArrow(_similar(self.percent), "a long, b long").distinct(), "links")
+        links = self.scratch.table(found.mapInArrow(_similar(self.percent), "a long, b long").distinct(), "links")
+        self.scratch.drop(sets, chosen)
+        return links
 
     def run(self) -> tuple[DataFrame, DataFrame]:
         """(doc_id, n, set_id of each document; a, b: links of set ids that span all components)."""
@@ -350,32 +391,41 @@ class GroupedPrefixJoin:
         prefixes = self.scratch.table(_prefixes(self.docs, self.k, self.percent, classes), "prefixes")
         groups = prefixes.groupBy("group_id").agg(F.min("set_id").alias("hub"), F.max("set_id").alias("other"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
         groups = self.scratch.table(groups.withColumn("several", F.col("hub") != F.col("other")), "groups")
+        members = prefixes.select("set_id", "group_id", "bitmap").join(groups.select("group_id", "hub"), "group_id").dropDuplicates(["set_id"])
+        members = self.scratch.table(members.select("hub", "set_id", "bitmap"), "members")
+        self.scratch.drop(prefixes)
 
         entries = _entries(groups).repartition(F.col("token")).sortWithinPartitions("token", "place", "n", "set_id")
         entries = self.scratch.table(entries.mapInArrow(_with_hubs(self.percent), "token long, set_id long, n long, place long, before long, hub long"), "entries")
-        members = prefixes.select("set_id", "group_id", "bitmap").join(groups.select("group_id", "hub"), "group_id").dropDuplicates(["set_id"])
-        members = self.scratch.table(members.select("hub", "set_id", "bitmap"), "members")
+        self.scratch.drop(groups)
         pairs = entries.filter("hub is not null").select(F.least("set_id", "hub").alias("a"), F.greatest("set_id", "hub").alias("b"))
         inside = members.filter("set_id <> hub").select(F.least("set_id", "hub").alias("a"), F.greatest("set_id", "hub").alias("b"))
         links = self.verified(self.scratch.table(pairs.union(inside).distinct(), "pairs"), documents, classes)
 
-        lower = links.select(F.col("a").alias("set_id"), F.col("a").alias("part")).union(links.select("b", "a"))
-        lower = lower.groupBy("set_id").agg(F.min("part").alias("part"))
-        # a first contraction: two steps towards the least id; any partial contraction is right, as it only saves pairs
-        jump = lower.select(F.col("set_id").alias("part"), F.col("part").alias("further"))
-        parts = self.scratch.table(lower.join(jump, "part").select("set_id", F.least("part", "further").alias("part")), "parts")
-        known = members.join(parts, "set_id", "left").select("hub", "set_id", "bitmap", F.coalesce("part", "set_id").alias("part"))
-        rows = entries.select("token", F.col("set_id").alias("hub"), "n", "place", "before").join(known, "hub")
-        rows = self.scratch.table(rows.select("token", "set_id", "part", "n", "place", "before", "bitmap"), "rows")
-        mixed = rows.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("rows")).filter("lo < hi")
-        mixed = self.scratch.table(mixed.select("token", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("blocks")), "mixed")
-        rows = rows.join(mixed, "token").withColumn("own", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
+        rows = entries.select("token", F.col("set_id").alias("hub"), "n", "place", "before").join(members, "hub").drop("hub")
+        for forest in (True, False):
+            rows = self.mixed(rows, components(links, self.scratch))
+            more = self.verified(self.scratch.table(self.apart(rows, forest), "apart"), documents, classes)
+            links = links.union(more)
+        return documents, links
+
+    def mixed(self, rows: DataFrame, parts: DataFrame) -> DataFrame:
+        """Entry rows with their component, of entries that have more than one; ``blocks`` tells how to cut them."""
+        rows = rows.drop("part", "blocks").join(parts.select("set_id", F.col("least").alias("part")), "set_id", "left")
+        rows = rows.withColumn("part", F.coalesce("part", "set_id")).select("token", "set_id", "part", "n", "place", "before", "bitmap")
+        slim = self.scratch.table(rows, "rows")
+        mixed = slim.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("rows")).filter("lo < hi")
+        mixed = mixed.select("token", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("blocks"))
+        found = self.scratch.table(slim.join(mixed, "token"), "mixed")
+        self.scratch.drop(slim)
+        return found
+
+    def apart(self, rows: DataFrame, forest: bool) -> DataFrame:
+        rows = rows.withColumn("own", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         rows = rows.select("token", F.least("own", "other").alias("first_block"), F.greatest("own", "other").alias("second_block"), "own", "set_id", "part", "n", "place", "before", "bitmap")
         order = ["token", "first_block", "second_block"]
-        more = rows.repartition(*(F.col(c) for c in order)).sortWithinPartitions(*order).mapInArrow(_apart(self.percent), "a long, b long").distinct()
-        more = self.verified(self.scratch.table(more, "apart"), documents, classes)
-        return documents, links.union(more)
+        return rows.repartition(*(F.col(c) for c in order)).sortWithinPartitions(*order, "set_id").mapInArrow(_apart(self.percent, forest), "a long, b long").distinct()
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
@@ -392,7 +442,7 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         least = both.groupBy("u").agg(F.min("v").alias("least")).select("u", F.least("u", "least").alias("least"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("least").alias("v")).filter("u <> v").distinct()
         large = scratch.table(large, "large")
-        least = scratch.table(large.groupBy("u").agg(F.min("v").alias("least")), "least")
+        least = large.groupBy("u").agg(F.min("v").alias("least"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("least").alias("v")).union(least.select("u", "least")).filter("u <> v").distinct()
         edges = scratch.table(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "edges")
         now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")).first()
