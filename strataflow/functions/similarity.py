@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def common_subsequence(a: str, b: str) -> int:
@@ -38,13 +39,13 @@ def token_set_ratio(a: str, b: str) -> float:
     return max(found)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """ratio of each pair; null where one is null."""
     return pd.Series([None if x is None or y is None else ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def set_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else token_set_ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 

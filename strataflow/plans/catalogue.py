@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import quality  # noqa: F401  registers its queries
+from . import curves, mapping, quality, relational  # noqa: F401  they register their queries
 from .registry import ORACLES, QUERIES, Query
 
 FLAGSHIP = "rig_summary"
