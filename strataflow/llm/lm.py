@@ -30,6 +30,8 @@ CLASSES, CLASS_WORDS = 32, 33
 #: Rows of the hashed weight tables; the first rows hold the constant feature.
 CLASS_ROWS, WORD_ROWS = 1 << 14, 1 << 15
 FEATURES = 4
+#: The constant feature's weight of a class or a place in it that no word has.
+UNUSED = -30.0
 #: Rounds of training, tokens in a gradient step, and the step size.
 ROUNDS, STEP_TOKENS, RATE = 2, 1 << 14, 0.08
 #: Words whose counts are broadcast, at most; the counts of the others are joined by a shuffle.
@@ -146,10 +148,11 @@ class MaxEnt:
         totals.ravel()[vocabulary.slots] = np.maximum(vocabulary.count(vocabulary.classed), 0)
         shares = totals.sum(axis=1)
         shares[0] = vocabulary.other_tokens
-        by_class[0] = np.log(shares + 0.5)
-        by_word[:CLASSES] = np.log(totals + 1e-6)
-        by_class[0] -= by_class[0].max()
-        by_word[:CLASSES] -= by_word[:CLASSES].max(axis=1, keepdims=True)
+        shares[0] += 0.5
+        with np.errstate(divide="ignore"):
+            logs = np.log(shares), np.log(totals)
+        by_class[0] = np.maximum(logs[0] - logs[0].max(), UNUSED)
+        by_word[:CLASSES] = np.maximum(logs[1] - np.maximum(logs[1].max(axis=1, keepdims=True), 0), UNUSED)
         return cls(by_class, by_word)
 
     @staticmethod
@@ -333,7 +336,7 @@ def score(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "t
     Tokens are lower-cased (A-Z) words, then one end; a null text has the end alone. ``base_score`` is the
     add-one unigram log10 probability, ``score`` the model's. A row that repeats a key and a text is scored
     like the first and counts in training like any other. Without training documents all counts are 0 and
-    the model is uniform over classes. An empty table gives an empty one; other columns aren't read.
+    the model knows the class of other words alone. An empty table gives an empty one; other columns aren't read.
     """
     rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), (fold(F.col(key)) == HELD_OUT).alias("held_out"))
     rows = rows.withColumn("mark", F.xxhash64("doc_id", "text"))
