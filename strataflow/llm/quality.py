@@ -229,10 +229,9 @@ def judge(docs: DataFrame, labels: DataFrame, scratch: Scratch, key: str = "doc_
 def keep_good(docs: DataFrame, labels: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, with their own columns. Only the cutoffs outlive ``scratch``."""
     counts, verdict = fresh(docs.columns, "_counts"), fresh(docs.columns, "_kept")
-    ids = labels.select(F.col("doc_id").alias("_labelled")).distinct()
-    some = docs.join(ids, F.col(key) == F.col("_labelled"), "left_semi")
     strata = docs.select(_stratum(docs).alias("s")).distinct().count()
-    scored = with_counts(some.select(key, F.col(text).alias("text"), _stratum(docs).alias("stratum")), "text", "counts")
+    # all texts are counted twice rather than shuffled to meet their labels
+    scored = with_counts(docs.select(key, F.col(text).alias("text"), _stratum(docs).alias("stratum")), "text", "counts").drop("text")
     cutoffs = scratch.publish(learn_cutoffs(scored, labels, key, "counts", F.col("stratum"), strata))
     judged = _judged(with_counts(docs, text, counts), cutoffs, strata, counts, _stratum(docs), verdict)
     return judged.filter(F.col(verdict)).select(*(F.col(f"`{c}`") for c in docs.columns))
