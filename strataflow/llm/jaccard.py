@@ -38,8 +38,10 @@ SHINGLE, PERCENT = 4, 85
 SKETCH_BITS, SKETCH_PARTS = 22, 16
 #: Rows of an index entry that are compared in one go; a larger entry is cut into blocks, and blocks are paired.
 BLOCK_ROWS = 1024
-#: Bits of the bitmap that bounds the difference of two sets.
-BITMAP = 256
+#: Entries of up to so many rows are looked through pair by pair as they pass; of larger ones all rows stay.
+SMALL_ENTRY = 64
+#: Bits of the bitmaps that bound the difference of two sets: one for rows of entries, one for pairs.
+BITMAP, WIDE_BITMAP = 256, 1024
 #: Bits of the filter that picks documents whose sets must be fetched: so many a document, up to the limit.
 FILTER_BITS_EACH, FILTER_BITS_MOST = 16, 1 << 27
 
@@ -124,7 +126,7 @@ def _tokens(own: np.ndarray, classes: np.ndarray) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, k: int, percent: int, shared) -> DataFrame:
-    """set_id, group_id, n, prefix, bitmap of the sets that can be similar to a different one."""
+    """set_id, group_id, n, prefix and bitmaps of the sets that can be similar to a different one."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = shared.value
@@ -141,13 +143,14 @@ def _prefixes(docs: DataFrame, k: int, percent: int, shared) -> DataFrame:
                     tokens = _tokens(own, classes)
                     prefix = tokens[: n - needed(n, percent) + 1].tobytes()
                     group = int.from_bytes(hashlib.blake2b(prefix, digest_size=8, salt=n.to_bytes(8, "little")).digest(), "little", signed=True)
-                    bitmap = np.packbits(np.bincount(tokens & (BITMAP - 1), minlength=BITMAP) & 1).tobytes()
-                    out[set_id] = (set_id, group, n, prefix, bitmap)
-            columns = list(zip(*out.values(), strict=True)) or [()] * 5
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["set_id", "group_id", "n", "prefix", "bitmap"])
+                    wide = np.bincount(tokens & (WIDE_BITMAP - 1), minlength=WIDE_BITMAP) & 1
+                    narrow = np.bitwise_xor.reduce(wide.reshape(-1, BITMAP), axis=0)
+                    out[set_id] = (set_id, group, n, prefix, np.packbits(narrow).tobytes(), np.packbits(wide).tobytes())
+            columns = list(zip(*out.values(), strict=True)) or [()] * 6
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["set_id", "group_id", "n", "prefix", "bitmap", "wide"])
 
-    return docs.select("text").mapInArrow(cut, "set_id long, group_id long, n long, prefix binary, bitmap binary")
+    return docs.select("text").mapInArrow(cut, "set_id long, group_id long, n long, prefix binary, bitmap binary, wide binary")
 
 
 def _entries(groups: DataFrame) -> DataFrame:
@@ -178,45 +181,62 @@ def _may_be_similar(n1, n2, place1, place2, percent: int):
 
 
 def _with_hubs(percent: int):
-    """Streams entries in the order of token and place; drops lone groups and names each other's hub.
+    """Streams entries in the order of token and place; drops rows that can pair with none and names each other's hub.
 
-    It holds one entry's hubs, whose sizes are all out of reach of one another, and a batch.
+    A group that stands for several sets stays in any case. Held are an entry of up to SMALL_ENTRY rows or, of
+    a larger one, its hubs, whose sizes are all out of reach of one another.
     """
     names = ["token", "set_id", "n", "place", "before", "hub"]
 
+    def fits(size1: int, size2: int, at1: int, at2: int) -> bool:
+        return 100 * min(size1, size2) >= percent * max(size1, size2) and min(size1 - at1, size2 - at2) >= -(-percent * (size1 + size2) // (100 + percent))
+
+    def hub_for(row: tuple[int, int, int, int], hubs: list[tuple[int, int, int, int]]) -> int | None:
+        set_id, size, at, prior = row
+        for hub, hub_size, hub_at, hub_prior in hubs:
+            if 100 * min(size, hub_size) >= percent * max(size, hub_size):
+                return hub if (prior != hub_prior or prior == -1) and fits(size, hub_size, at, hub_at) and hub != set_id else None
+        hubs.append(row)
+        return None
+
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hubs: list[tuple[int, int, int, int]] = []
-        current = None  # the token of ``hubs``
-        held: list[np.ndarray] | None = None  # the last row so far
+        held: list[np.ndarray] | None = None
+        large, large_hubs = None, []  # the token of a large entry that goes on, and its hubs
 
         def work(columns: list[np.ndarray], last: bool) -> pa.RecordBatch:
-            nonlocal hubs, current, held
+            nonlocal held, large, large_hubs
             if held is not None:
                 columns = [np.concatenate((h, c)) for h, c in zip(held, columns, strict=True)]
-            token, set_id, n, place, before, several = columns
-            same = token[1:] == token[:-1]
-            shared = several.copy()
-            shared[1:] |= same
-            shared[:-1] |= same
-            rows = len(token) if last else len(token) - 1
-            if len(token) and current is not None and token[0] == current:
-                shared[0] = True
-            held = None if last else [c[-1:] for c in columns]
-            found = np.flatnonzero(shared[:rows])
-            hub_of: list[int | None] = []
-            for t, s, size, at, prior in zip(token[found].tolist(), set_id[found].tolist(), n[found].tolist(), place[found].tolist(), before[found].tolist(), strict=True):
-                if t != current:
-                    current, hubs = t, []
-                for hub, hub_size, hub_at, hub_prior in hubs:
-                    if 100 * min(size, hub_size) >= percent * max(size, hub_size):
-                        new = prior != hub_prior or prior == -1
-                        fits = min(size - at, hub_size - hub_at) >= -(-percent * (size + hub_size) // (100 + percent))
-                        hub_of.append(hub if new and fits and hub != s else None)
-                        break
-                else:
-                    hubs.append((s, size, at, prior))
-                    hub_of.append(None)
-            return pa.RecordBatch.from_arrays([*(pa.array(c[found]) for c in (token, set_id, n, place, before)), pa.array(hub_of, pa.int64())], names)
+                held = None
+            token, several = columns[0], columns[5]
+            starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1]))) if len(token) else np.empty(0, np.int64)
+            ends = np.append(starts[1:], len(token))
+            if len(starts) and not last and ends[-1] - starts[-1] <= SMALL_ENTRY and token[starts[-1]] != large:
+                held = [c[starts[-1] :] for c in columns]
+                starts, ends = starts[:-1], ends[:-1]
+            at, hub_of = [], []
+            busy = np.flatnonzero((ends - starts > 1) | several[starts] | (token[starts] == large) if large is not None else (ends - starts > 1) | several[starts])
+            for lo, hi in zip(starts[busy].tolist(), ends[busy].tolist(), strict=True):
+                rows = list(zip(*(c[lo:hi].tolist() for c in columns[1:5]), strict=True))
+                if token[lo] == large or hi - lo > SMALL_ENTRY:
+                    if token[lo] != large:
+                        large, large_hubs = token[lo], []
+                    at += range(lo, hi)
+                    hub_of += [hub_for(row, large_hubs) for row in rows]
+                    continue
+                keep = several[lo:hi].tolist()
+                for i in range(1, len(rows)):
+                    _, size, place, prior = rows[i]
+                    for j in range(i):
+                        other = rows[j]
+                        if not (keep[i] and keep[j]) and (prior != other[3] or prior == -1) and fits(size, other[1], place, other[2]):
+                            keep[i] = keep[j] = True
+                hubs: list[tuple[int, int, int, int]] = []
+                for i, row in enumerate(rows):
+                    if keep[i]:
+                        at.append(lo + i)
+                        hub_of.append(hub_for(row, hubs))
+            return pa.RecordBatch.from_arrays([*(pa.array(c[at]) if at else pa.array([], pa.int64()) for c in columns[:5]), pa.array(hub_of, pa.int64())], names)
 
         for batch in batches:
             if batch.num_rows:
@@ -338,6 +358,21 @@ def _sets(docs: DataFrame, k: int, classes, picked) -> DataFrame:
     return docs.select(F.xxhash64("doc_id").alias("slot"), "text").mapInArrow(fetch, "set_id long, tokens binary")
 
 
+def _near(percent: int):
+    """Leaves out pairs whose wide bitmaps differ in more places than similar sets can."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("wide", "wide2"))
+            n = batch.column("n").to_numpy() + batch.column("n2").to_numpy()
+            keep = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= n - 2 * (-(-percent * n // (100 + percent)))
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    return check
+
+
 def _similar(percent: int):
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -361,8 +396,12 @@ class GroupedPrefixJoin:
         self.scratch, self.k, self.percent = scratch, k, percent
         self.context = docs.sparkSession.sparkContext
 
-    def verified(self, pairs: DataFrame, documents: DataFrame, classes) -> DataFrame:
+    def verified(self, pairs: DataFrame, members: DataFrame, documents: DataFrame, classes) -> DataFrame:
         """The pairs whose sets are similar. Sets are made anew from the texts of one document a set."""
+        one = members.select(F.col("set_id").alias("a"), "n", "wide")
+        two = members.select(F.col("set_id").alias("b"), F.col("n").alias("n2"), F.col("wide").alias("wide2"))
+        near = pairs.distinct().join(one, "a").join(two, "b").select("a", "b", "n", "n2", "wide", "wide2")
+        pairs = self.scratch.table(near.mapInArrow(_near(self.percent), "a long, b long"), "pairs")
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
         chosen = documents.join(wanted, "set_id").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
         chosen = self.scratch.table(chosen.select(F.xxhash64("doc_id").alias("slot")), "chosen")
@@ -380,7 +419,7 @@ class GroupedPrefixJoin:
         left, right = sets.select(F.col("set_id").alias("a"), F.col("tokens").alias("x")), sets.select(F.col("set_id").alias("b"), F.col("tokens").alias("y"))
         found = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
         links = self.scratch.table(found.mapInArrow(_similar(self.percent), "a long, b long").distinct(), "links")
-        self.scratch.drop(sets, chosen)
+        self.scratch.drop(sets, chosen, pairs)
         return links
 
     def run(self) -> tuple[DataFrame, DataFrame]:
@@ -391,8 +430,8 @@ class GroupedPrefixJoin:
         prefixes = self.scratch.table(_prefixes(self.docs, self.k, self.percent, classes), "prefixes")
         groups = prefixes.groupBy("group_id").agg(F.min("set_id").alias("hub"), F.max("set_id").alias("other"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
         groups = self.scratch.table(groups.withColumn("several", F.col("hub") != F.col("other")), "groups")
-        members = prefixes.select("set_id", "group_id", "bitmap").join(groups.select("group_id", "hub"), "group_id").dropDuplicates(["set_id"])
-        members = self.scratch.table(members.select("hub", "set_id", "bitmap"), "members")
+        members = prefixes.select("set_id", "group_id", "n", "bitmap", "wide").join(groups.select("group_id", "hub"), "group_id").dropDuplicates(["set_id"])
+        members = self.scratch.table(members.select("hub", "set_id", "n", "bitmap", "wide"), "members")
         self.scratch.drop(prefixes)
 
         entries = _entries(groups).repartition(F.col("token")).sortWithinPartitions("token", "place", "n", "set_id")
@@ -400,12 +439,12 @@ class GroupedPrefixJoin:
         self.scratch.drop(groups)
         pairs = entries.filter("hub is not null").select(F.least("set_id", "hub").alias("a"), F.greatest("set_id", "hub").alias("b"))
         inside = members.filter("set_id <> hub").select(F.least("set_id", "hub").alias("a"), F.greatest("set_id", "hub").alias("b"))
-        links = self.verified(self.scratch.table(pairs.union(inside).distinct(), "pairs"), documents, classes)
+        links = self.verified(pairs.union(inside), members, documents, classes)
 
-        rows = entries.select("token", F.col("set_id").alias("hub"), "n", "place", "before").join(members, "hub").drop("hub")
+        rows = entries.select("token", F.col("set_id").alias("hub"), "n", "place", "before").join(members.select("hub", "set_id", "bitmap"), "hub").drop("hub")
         for forest in (True, False):
             rows = self.mixed(rows, components(links, self.scratch))
-            more = self.verified(self.scratch.table(self.apart(rows, forest), "apart"), documents, classes)
+            more = self.verified(self.apart(rows, forest), members, documents, classes)
             links = links.union(more)
         return documents, links
 
@@ -425,7 +464,7 @@ class GroupedPrefixJoin:
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         rows = rows.select("token", F.least("own", "other").alias("first_block"), F.greatest("own", "other").alias("second_block"), "own", "set_id", "part", "n", "place", "before", "bitmap")
         order = ["token", "first_block", "second_block"]
-        return rows.repartition(*(F.col(c) for c in order)).sortWithinPartitions(*order, "set_id").mapInArrow(_apart(self.percent, forest), "a long, b long").distinct()
+        return rows.repartition(*(F.col(c) for c in order)).sortWithinPartitions(*order, "set_id").mapInArrow(_apart(self.percent, forest), "a long, b long")
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
