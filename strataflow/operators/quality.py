@@ -24,7 +24,7 @@ def rig_summary(facts: DataFrame, rigs: DataFrame, as_of: Column) -> DataFrame:
     found = facts.groupBy("rig_id").agg(
         F.countDistinct("date").alias("days"),
         F.countDistinct("well_id").alias("wells"),
-        F.countDistinct("name_pae").alias("variables"),
+        F.countDistinct("variable_name").alias("variables"),
         F.countDistinct(day_well).alias("day_wells"),
         _total("horas").alias("hours"),
         _total("value_present").alias("present"),
@@ -44,13 +44,13 @@ def rig_summary(facts: DataFrame, rigs: DataFrame, as_of: Column) -> DataFrame:
 
 def daily_activity(facts: DataFrame) -> DataFrame:
     """Each rig's day, for all rigs in one plan."""
-    found = facts.groupBy("rig_id", "date").agg(F.countDistinct("well_id").alias("wells"), F.countDistinct("name_pae").alias("variables"), _total("horas").alias("hours"), _total("value_present").alias("present"), _total("value_range_in").alias("in_range"))
+    found = facts.groupBy("rig_id", "date").agg(F.countDistinct("well_id").alias("wells"), F.countDistinct("variable_name").alias("variables"), _total("horas").alias("hours"), _total("value_present").alias("present"), _total("value_range_in").alias("in_range"))
     return found.select("rig_id", F.col("date").cast("string").alias("date"), "wells", "variables", "hours", values.percent(F.col("present"), F.col("hours")).alias("pct_present"), values.percent(F.col("in_range"), F.col("present")).alias("pct_range"))
 
 
 def daily_issues(facts: DataFrame, present_min: float = 90.0, range_min: float = 85.0) -> DataFrame:
     """Variables of each rig's day that are missing, incomplete or out of range; one may count in both of the last."""
-    by_variable = facts.groupBy("rig_id", "date", "name_pae").agg(_total("horas").alias("h"), _total("value_present").alias("p"), _total("value_range_in").alias("r"))
+    by_variable = facts.groupBy("rig_id", "date", "variable_name").agg(_total("horas").alias("h"), _total("value_present").alias("p"), _total("value_range_in").alias("r"))
     seen = F.col("p") > 0
     return by_variable.groupBy("rig_id", "date").agg(
         F.sum((~seen).cast("long")).alias("missing"),
@@ -73,9 +73,9 @@ def top_wells(facts: DataFrame, most: int = 10) -> DataFrame:
 
 def worst_variables(facts: DataFrame, most: int = 5) -> DataFrame:
     """The required variables of each rig that lose most hours."""
-    lost = facts.filter(F.col("requerido") == "SI").groupBy("rig_id", "name_pae").agg((F.sum("horas") - F.sum("value_range_in")).cast("double").alias("lost")).filter("lost > 0")
-    place = F.row_number().over(Window.partitionBy("rig_id").orderBy(F.desc("lost"), "name_pae"))
-    return lost.withColumn("place", place).filter(F.col("place") <= most).select("rig_id", "name_pae", "lost", F.col("place").cast("long").alias("place"))
+    lost = facts.filter(F.col("requerido") == "SI").groupBy("rig_id", "variable_name").agg((F.sum("horas") - F.sum("value_range_in")).cast("double").alias("lost")).filter("lost > 0")
+    place = F.row_number().over(Window.partitionBy("rig_id").orderBy(F.desc("lost"), "variable_name"))
+    return lost.withColumn("place", place).filter(F.col("place") <= most).select("rig_id", "variable_name", "lost", F.col("place").cast("long").alias("place"))
 
 
 def global_stats(summary: DataFrame) -> DataFrame:
@@ -86,20 +86,20 @@ def global_stats(summary: DataFrame) -> DataFrame:
 
 def day_detail(facts: DataFrame, present_min: float = 90.0, range_min: float = 85.0) -> DataFrame:
     """Each variable of each rig's day with its wells, shares and alert."""
-    found = facts.groupBy("rig_id", "date", "name_pae").agg(
+    found = facts.groupBy("rig_id", "date", "variable_name").agg(
         _total("horas").alias("hours"), _total("value_present").alias("present"), _total("value_range_in").alias("in_range"),
         F.max(F.when(F.col("requerido") == "SI", 1).otherwise(0)).cast("long").alias("required"),
         F.array_join(F.array_sort(F.collect_set(F.col("well_id").cast("string"))), ", ").alias("wells"),
     )
     share = lambda a, b: F.when(F.col(b) > 0, F.round(F.col(a) / F.col(b) * 100, 1)).otherwise(F.lit(0.0))
     found = found.withColumns({"pct_present": share("present", "hours"), "pct_range": share("in_range", "present")})
-    return found.select("rig_id", F.col("date").cast("string").alias("date"), "name_pae", "hours", "required", "wells", "pct_present", "pct_range", values.alert(F.col("present"), F.col("pct_range"), F.col("pct_present"), range_min, present_min).alias("alert"))
+    return found.select("rig_id", F.col("date").cast("string").alias("date"), "variable_name", "hours", "required", "wells", "pct_present", "pct_range", values.alert(F.col("present"), F.col("pct_range"), F.col("pct_present"), range_min, present_min).alias("alert"))
 
 
 def report(facts: DataFrame, since: str, until: str) -> DataFrame:
     """A row for each variable of a period, and under a null name one for all of them."""
     period = facts.filter(F.col("date").between(F.lit(since).cast("date"), F.lit(until).cast("date")))
-    return period.rollup("name_pae").agg(F.round(F.sum("horas").cast("double"), 2).alias("hours"), F.round((F.sum("horas") - F.sum("value_range_in")).cast("double"), 2).alias("lost"), F.count_if(F.col("value_present") <= 0).alias("missing"), F.min("date").cast("string").alias("first_date"), F.max("date").cast("string").alias("last_date"))
+    return period.rollup("variable_name").agg(F.round(F.sum("horas").cast("double"), 2).alias("hours"), F.round((F.sum("horas") - F.sum("value_range_in")).cast("double"), 2).alias("lost"), F.count_if(F.col("value_present") <= 0).alias("missing"), F.min("date").cast("string").alias("first_date"), F.max("date").cast("string").alias("last_date"))
 
 
 def calendar(facts: DataFrame, days: int = 14) -> DataFrame:

@@ -20,7 +20,7 @@ def quality_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").alias("rig_id"),
         F.col("o_custkey").alias("well_id"),
         F.to_date("l_shipdate").alias("date"),
-        F.concat("p_type", F.lit("-"), "l_returnflag", "l_linestatus").alias("name_pae"),
+        F.concat("p_type", F.lit("-"), "l_returnflag", "l_linestatus").alias("variable_name"),
         F.when(F.col("l_linenumber") <= 4, "SI").otherwise("NO").alias("requerido"),
         F.col("p_type").alias("tipo_variable"),
         money(F.col("l_quantity")).alias("horas"),
@@ -42,7 +42,7 @@ def curve(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUALITY_SQL = """
 quality_hours AS (
   SELECT l_suppkey AS rig_id, o_custkey AS well_id, CAST(l_shipdate AS DATE) AS date,
-         p_type || '-' || l_returnflag || l_linestatus AS name_pae,
+         p_type || '-' || l_returnflag || l_linestatus AS variable_name,
          CASE WHEN l_linenumber <= 4 THEN 'SI' ELSE 'NO' END AS requerido, p_type AS tipo_variable,
          CAST(l_quantity AS DECIMAL(18,4)) AS horas,
          CAST(CASE WHEN l_linenumber = 1 AND l_tax < 0.01 THEN 0 ELSE l_quantity * (1 - l_tax * 2) END AS DECIMAL(18,4)) AS value_present,

@@ -21,7 +21,7 @@ def _pct(a: str, b: str) -> str:
 
 
 SUMMARY_SQL = f"""{WITH}, s AS (
-  SELECT rig_id, count(DISTINCT date) AS days, count(DISTINCT well_id) AS wells, count(DISTINCT name_pae) AS variables,
+  SELECT rig_id, count(DISTINCT date) AS days, count(DISTINCT well_id) AS wells, count(DISTINCT variable_name) AS variables,
          count(DISTINCT CAST(date AS VARCHAR) || '_' || CAST(well_id AS VARCHAR)) AS day_wells,
          CAST(sum(horas) AS DOUBLE) AS hours, {_pct('sum(value_present)', 'sum(horas)')} AS pct_present, {_pct('sum(value_range_in)', 'sum(value_present)')} AS pct_range,
          min(date) AS first_date, max(date) AS last_date FROM recent GROUP BY rig_id
@@ -38,18 +38,18 @@ def rig_summary(spark, sf_dir):
     return quality.rig_summary(quality.recent(facts, DAYS), rigs(spark, sf_dir), facts.agg(F.max("date")).scalar())
 
 
-@query("daily_activity", f"""{WITH} SELECT rig_id, CAST(date AS VARCHAR) AS date, count(DISTINCT well_id) AS wells, count(DISTINCT name_pae) AS variables,
+@query("daily_activity", f"""{WITH} SELECT rig_id, CAST(date AS VARCHAR) AS date, count(DISTINCT well_id) AS wells, count(DISTINCT variable_name) AS variables,
   CAST(sum(horas) AS DOUBLE) AS hours, {_pct('sum(value_present)', 'sum(horas)')} AS pct_present, {_pct('sum(value_range_in)', 'sum(value_present)')} AS pct_range
   FROM recent GROUP BY rig_id, recent.date""")
 def daily_activity(spark, sf_dir):
     return quality.daily_activity(_recent(spark, sf_dir))
 
 
-ISSUES_SQL = """v AS (SELECT rig_id, date, name_pae, CAST(sum(horas) AS DOUBLE) AS h, CAST(sum(value_present) AS DOUBLE) AS p, CAST(sum(value_range_in) AS DOUBLE) AS r FROM recent GROUP BY ALL
+ISSUES_SQL = """v AS (SELECT rig_id, date, variable_name, CAST(sum(horas) AS DOUBLE) AS h, CAST(sum(value_present) AS DOUBLE) AS p, CAST(sum(value_range_in) AS DOUBLE) AS r FROM recent GROUP BY ALL
 ), issues AS (SELECT rig_id, date, count_if(p <= 0) AS missing, count_if(p > 0 AND p / nullif(h, 0) * 100 < 90) AS incomplete, count_if(p > 0 AND r / nullif(p, 0) * 100 < 85) AS out_of_range FROM v GROUP BY ALL)"""
 
 
-@query("daily_issues", f"""{WITH}, {ISSUES_SQL}, a AS (SELECT rig_id, date, count(DISTINCT well_id) AS wells, count(DISTINCT name_pae) AS variables, {_pct('sum(value_range_in)', 'sum(value_present)')} AS pct_range FROM recent GROUP BY ALL)
+@query("daily_issues", f"""{WITH}, {ISSUES_SQL}, a AS (SELECT rig_id, date, count(DISTINCT well_id) AS wells, count(DISTINCT variable_name) AS variables, {_pct('sum(value_range_in)', 'sum(value_present)')} AS pct_range FROM recent GROUP BY ALL)
   SELECT rig_id, CAST(date AS VARCHAR) AS date, wells, variables, pct_range, CAST(coalesce(missing + incomplete + out_of_range, 0) AS BIGINT) AS issues FROM a LEFT JOIN issues USING (rig_id, date)""")
 def daily_issues(spark, sf_dir):
     return quality.activity_with_issues(_recent(spark, sf_dir))
@@ -61,8 +61,8 @@ def top_wells(spark, sf_dir):
     return quality.top_wells(_recent(spark, sf_dir))
 
 
-@query("worst_variables", f"""{WITH}, l AS (SELECT rig_id, name_pae, CAST(sum(horas) - sum(value_range_in) AS DOUBLE) AS lost FROM recent WHERE requerido = 'SI' GROUP BY ALL HAVING lost > 0)
-  SELECT rig_id, name_pae, lost, row_number() OVER (PARTITION BY rig_id ORDER BY lost DESC, name_pae) AS place FROM l QUALIFY place <= 5""")
+@query("worst_variables", f"""{WITH}, l AS (SELECT rig_id, variable_name, CAST(sum(horas) - sum(value_range_in) AS DOUBLE) AS lost FROM recent WHERE requerido = 'SI' GROUP BY ALL HAVING lost > 0)
+  SELECT rig_id, variable_name, lost, row_number() OVER (PARTITION BY rig_id ORDER BY lost DESC, variable_name) AS place FROM l QUALIFY place <= 5""")
 def worst_variables(spark, sf_dir):
     return quality.worst_variables(_recent(spark, sf_dir))
 
@@ -74,17 +74,17 @@ def global_stats(spark, sf_dir):
 
 
 @query("day_detail", f"""{WITH}, d AS (
-  SELECT rig_id, date, name_pae, CAST(sum(horas) AS DOUBLE) AS hours, CAST(sum(value_present) AS DOUBLE) AS present, CAST(sum(value_range_in) AS DOUBLE) AS in_range,
-         CAST(max(CASE WHEN requerido = 'SI' THEN 1 ELSE 0 END) AS BIGINT) AS required, string_agg(DISTINCT CAST(well_id AS VARCHAR), ', ' ORDER BY CAST(well_id AS VARCHAR)) AS wells FROM recent GROUP BY rig_id, date, name_pae
+  SELECT rig_id, date, variable_name, CAST(sum(horas) AS DOUBLE) AS hours, CAST(sum(value_present) AS DOUBLE) AS present, CAST(sum(value_range_in) AS DOUBLE) AS in_range,
+         CAST(max(CASE WHEN requerido = 'SI' THEN 1 ELSE 0 END) AS BIGINT) AS required, string_agg(DISTINCT CAST(well_id AS VARCHAR), ', ' ORDER BY CAST(well_id AS VARCHAR)) AS wells FROM recent GROUP BY rig_id, date, variable_name
 ), p AS (SELECT *, CASE WHEN hours > 0 THEN round(present / hours * 100, 1) ELSE 0.0 END AS pct_present, CASE WHEN present > 0 THEN round(in_range / present * 100, 1) ELSE 0.0 END AS pct_range FROM d)
-  SELECT rig_id, CAST(date AS VARCHAR) AS date, name_pae, hours, required, wells, pct_present, pct_range,
+  SELECT rig_id, CAST(date AS VARCHAR) AS date, variable_name, hours, required, wells, pct_present, pct_range,
          CASE WHEN present <= 0 THEN 'NO REGISTRADA' WHEN pct_range < 85 THEN 'FUERA' WHEN pct_present < 90 THEN 'INCOMPLETA' ELSE 'OK' END AS alert FROM p""")
 def day_detail(spark, sf_dir):
     return quality.day_detail(_recent(spark, sf_dir))
 
 
-@query("quality_report", f"""{WITH} SELECT name_pae, round(CAST(sum(horas) AS DOUBLE), 2) AS hours, round(CAST(sum(horas) - sum(value_range_in) AS DOUBLE), 2) AS lost, count_if(value_present <= 0) AS missing,
-  CAST(min(date) AS VARCHAR) AS first_date, CAST(max(date) AS VARCHAR) AS last_date FROM quality_hours WHERE date BETWEEN DATE '1997-01-01' AND DATE '1998-12-31' GROUP BY ROLLUP (name_pae)""")
+@query("quality_report", f"""{WITH} SELECT variable_name, round(CAST(sum(horas) AS DOUBLE), 2) AS hours, round(CAST(sum(horas) - sum(value_range_in) AS DOUBLE), 2) AS lost, count_if(value_present <= 0) AS missing,
+  CAST(min(date) AS VARCHAR) AS first_date, CAST(max(date) AS VARCHAR) AS last_date FROM quality_hours WHERE date BETWEEN DATE '1997-01-01' AND DATE '1998-12-31' GROUP BY ROLLUP (variable_name)""")
 def quality_report(spark, sf_dir):
     return quality.report(quality_hours(spark, sf_dir), "1997-01-01", "1998-12-31")
 
