@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions import similarity, text, values
 
-#: Catalogue sides up to so many rows are broadcast in similarity joins; larger ones are joined by block.
-BROADCAST_ROWS = 50_000
 
 
 def unit_frequency(df: DataFrame, unit: str, most: int = 15) -> DataFrame:

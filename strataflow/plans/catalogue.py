@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import curves, knowledge, mapping, quality, relational  # noqa: F401  they register their queries
+from . import curves, knowledge, mapping, quality, records, relational  # noqa: F401  they register their queries
 from .registry import ORACLES, QUERIES, Query
 
 FLAGSHIP = "rig_summary"
