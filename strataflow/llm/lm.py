@@ -34,6 +34,8 @@ FEATURES = 4
 UNUSED = -30.0
 #: Rounds of training, tokens in a gradient step, and the step size.
 ROUNDS, STEP_TOKENS, RATE = 2, 1 << 14, 0.08
+#: Tokens that a training task should have at least, as each sends all weights, and the tasks that there are at least.
+TASK_TOKENS, LEAST_TASKS = 2 << 20, 8
 #: Words whose counts are broadcast, at most; the counts of the others are joined by a shuffle.
 BROADCAST_WORDS = 1 << 18
 #: Folds of documents: those with this remainder of their key's checksum are held out.
@@ -262,6 +264,7 @@ def train(docs: DataFrame, key: str, text: str, vocabulary: Vocabulary, scratch:
     model = MaxEnt.start(vocabulary)
     context = docs.sparkSession.sparkContext
     known = context.broadcast(vocabulary)
+    tasks = max(LEAST_TASKS, -(-vocabulary.tokens // TASK_TOKENS))
     for turn in range(rounds):
         shared = context.broadcast((model.by_class, model.by_word))
 
@@ -278,14 +281,15 @@ def train(docs: DataFrame, key: str, text: str, vocabulary: Vocabulary, scratch:
                 yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([trainer.tokens] * PARTS, pa.int64()), pa.array([_pack(x) for x in parts], pa.binary())], ["part", "tokens", "change"])
 
         dealt = F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(rounds)) == turn
-        changes = scratch.table(docs.filter(dealt).select(text).mapInArrow(learn, _PART_SCHEMA), "changes")
-        changes = changes.withColumn("salt", F.spark_partition_id() % 16).repartition(PARTS * 2, "part", "salt").select("part", "tokens", "change")
+        table = scratch.table(docs.filter(dealt).select(text).coalesce(tasks).mapInArrow(learn, _PART_SCHEMA), "changes")
+        changes = table.withColumn("salt", F.spark_partition_id() % 16).repartition(PARTS * 2, "part", "salt").select("part", "tokens", "change")
         changes = changes.mapInArrow(_sum_changes, _PART_SCHEMA).repartition(PARTS, "part").mapInArrow(_sum_changes, _PART_SCHEMA)
         found = {r["part"]: (r["tokens"], _unpack(bytes(r["change"]))) for r in changes.toLocalIterator()}  # PARTS rows
         if found:
             change = np.concatenate([found[i][1] / np.float32(found[i][0]) for i in range(PARTS)])
             cut = model.by_class.size
             model = MaxEnt(model.by_class + change[:cut].reshape(model.by_class.shape), model.by_word + change[cut:].reshape(model.by_word.shape))
+        scratch.drop(table)
         shared.unpersist()
     return model
 
