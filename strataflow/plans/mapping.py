@@ -101,8 +101,8 @@ def curve_category(spark, sf_dir):
 def fuzzy_match(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     curves = part.select(F.col("p_partkey").alias("curve_id"), (F.col("p_partkey") % 3).alias("rig_id"), F.col("p_name").alias("mnemonic"), F.col("p_brand").alias("block"))
-    variables = part.filter("p_partkey % 5 = 0").select((F.col("p_partkey") % 3).alias("rig_id"), F.col("p_partkey").alias("variable_id"), F.concat("p_name", F.lit("x")).alias("name"), F.lit("").alias("aliases"), F.col("p_brand").alias("block"))
-    rules = part.filter("p_partkey % 50 = 0").select((F.col("p_partkey") % 3).alias("rig_id"), F.col("p_name").alias("mnemonic"), F.col("p_partkey").alias("variable_id")).dropDuplicates(["rig_id", "mnemonic"])
+    variables = part.filter("p_size <= 10").select((F.col("p_partkey") % 3).alias("rig_id"), F.col("p_partkey").alias("variable_id"), F.concat("p_name", F.lit("x")).alias("name"), F.lit("").alias("aliases"), F.col("p_brand").alias("block"))
+    rules = part.filter("p_size = 1").select((F.col("p_partkey") % 3).alias("rig_id"), F.col("p_name").alias("mnemonic"), F.col("p_partkey").alias("variable_id")).dropDuplicates(["rig_id", "mnemonic"])
     return mapping.map_curves(curves, rules, variables)
 
 

@@ -55,13 +55,13 @@ def name_variants(spark, sf_dir):
 
 
 @query("event_cascade", """WITH r AS (SELECT s_suppkey AS rig_id, CASE WHEN s_nationkey % 3 = 0 THEN 'WO' WHEN s_nationkey % 3 = 1 THEN 'PER' ELSE 'PUL' END AS kind FROM supplier),
-  a AS (SELECT l_suppkey AS rig_id, max(l_orderkey) AS a FROM lineitem WHERE l_quantity > 49 AND l_suppkey % 3 = 0 GROUP BY 1), b AS (SELECT l_suppkey AS rig_id, max(l_orderkey) AS b FROM lineitem WHERE l_suppkey % 2 = 0 GROUP BY 1)
+  a AS (SELECT l_suppkey AS rig_id, max(l_orderkey) AS a FROM lineitem WHERE l_quantity > 49 AND l_tax > 0.075 GROUP BY 1), b AS (SELECT l_suppkey AS rig_id, max(l_orderkey) AS b FROM lineitem WHERE l_quantity > 48 AND l_discount > 0.095 GROUP BY 1)
   SELECT rig_id, coalesce(a, b) AS event_id, CASE WHEN a IS NOT NULL THEN 'active' WHEN b IS NOT NULL THEN 'report' ELSE 'placeholder' END AS origin,
   CASE kind WHEN 'PER' THEN 1 WHEN 'PUL' THEN 8 ELSE 7 END AS type_event, CASE kind WHEN 'PER' THEN 'P' WHEN 'PUL' THEN 'R' ELSE 'W' END AS letter FROM r LEFT JOIN a USING (rig_id) LEFT JOIN b USING (rig_id)""")
 def event_cascade(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("rig_id"), F.col("l_orderkey").alias("event_id"), "l_quantity")
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("rig_id"), F.col("l_orderkey").alias("event_id"), "l_quantity", "l_tax", "l_discount")
     files = rigs(spark, sf_dir).select(F.col("id").alias("rig_id"), "rig_type")
-    found = records.event_cascade(files, lines.filter("l_quantity > 49 and rig_id % 3 = 0"), lines.filter("rig_id % 2 = 0"), ["rig_id"])
+    found = records.event_cascade(files, lines.filter("l_quantity > 49 and l_tax > 0.075D"), lines.filter("l_quantity > 48 and l_discount > 0.095D"), ["rig_id"])
     type_, letter = records.placeholder_event(F.col("rig_type"))
     return found.select("rig_id", "event_id", "origin", type_.alias("type_event"), letter.alias("letter"))
 
@@ -84,12 +84,12 @@ def last_checkpoint(spark, sf_dir):
     return found.select("value", F.date_format("at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"))
 
 
-@query("hierarchy_problems", """WITH h AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 10 = 0 THEN NULL WHEN p_partkey % 10 = 1 THEN p_partkey + 1 WHEN p_partkey % 10 = 2 THEN p_partkey - 1 WHEN p_partkey % 10 = 3 THEN -1 ELSE p_partkey - 1 END AS p FROM part WHERE p_partkey < 200)
+@query("hierarchy_problems", """WITH h AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 10 = 0 THEN NULL WHEN p_partkey % 10 = 1 THEN p_partkey + 1 WHEN p_partkey % 10 = 2 THEN p_partkey - 1 WHEN p_partkey % 10 = 3 THEN -1 ELSE p_partkey - 1 END AS p FROM part)
   SELECT k AS key, 'unknown_parent' AS problem FROM h WHERE p IS NOT NULL AND p NOT IN (SELECT k FROM h) UNION ALL SELECT a.k, 'cycle' FROM h a JOIN h b ON a.p = b.k AND b.p = a.k""")
 def hierarchy_problems(spark, sf_dir):
     key = F.col("p_partkey")
     parent = F.when(key % 10 == 0, None).when(key % 10 == 1, key + 1).when(key % 10 == 2, key - 1).when(key % 10 == 3, F.lit(-1)).otherwise(key - 1)
-    return records.hierarchy_problems(table(spark, sf_dir, "part").filter("p_partkey < 200").select("p_partkey", parent.alias("parent")), "p_partkey", "parent")
+    return records.hierarchy_problems(table(spark, sf_dir, "part").select("p_partkey", parent.alias("parent")), "p_partkey", "parent")
 
 
 @query("synonym_problems")

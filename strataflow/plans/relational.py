@@ -23,13 +23,13 @@ def invalid_pairs_not_in(spark, sf_dir):
     return relational.not_in_pairs(customers, used, ["c_custkey", "c_nationkey"])
 
 
-SOURCE_SQL = "s AS (SELECT p_partkey, p_name, CASE WHEN p_partkey % 7 = 0 THEN p_size + 1 ELSE p_size END AS p_size FROM part WHERE p_partkey % 11 <> 0), t AS (SELECT p_partkey, p_name, p_size, p_brand FROM part WHERE p_partkey % 13 <> 0)"
+SOURCE_SQL = "s AS (SELECT p_partkey, p_name, CASE WHEN p_brand LIKE '%1' THEN p_size + 1 ELSE p_size END AS p_size FROM part WHERE p_size <> 11), t AS (SELECT p_partkey, p_name, p_size, p_brand FROM part WHERE p_size <> 13)"
 
 
 def _sync_sides(spark, sf_dir):
     part = table(spark, sf_dir, "part")
-    source = part.filter("p_partkey % 11 <> 0").select("p_partkey", "p_name", F.when(F.col("p_partkey") % 7 == 0, F.col("p_size") + 1).otherwise(F.col("p_size")).alias("p_size"))
-    return source, part.filter("p_partkey % 13 <> 0").select("p_partkey", "p_name", "p_size", "p_brand")
+    source = part.filter("p_size <> 11").select("p_partkey", "p_name", F.when(F.col("p_brand").like("%1"), F.col("p_size") + 1).otherwise(F.col("p_size")).alias("p_size"))
+    return source, part.filter("p_size <> 13").select("p_partkey", "p_name", "p_size", "p_brand")
 
 
 @query("sync_diff", f"""WITH {SOURCE_SQL} SELECT p_partkey, CASE WHEN t.p_name IS NULL THEN 'insert' WHEN s.p_name IS NULL THEN 'delete' ELSE 'update' END AS action
