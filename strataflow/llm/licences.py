@@ -1,12 +1,15 @@
 """Licence scans by sentence rules, with DataFrame operations only.
 
-A text is cut into sentences, each sentence is normalised and looked up among known licence sentences, and
-the sequence of identifiers found is matched against ordered rules: each rule takes the identifiers it
-matches out of the sequence, so a specific rule must come before a general one.
+A text is cut into pieces at punctuation, each piece is normalised, and runs of whole pieces are looked up
+among known licence sentences, as a sentence may hold such punctuation itself. The sequence of identifiers
+found is matched against ordered rules: each rule takes the identifiers it matches out of the sequence, so a
+specific rule must come before a general one.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,8 +88,10 @@ RULES = [
 ]
 #: Every known sentence holds one of these, in lower case; a text without any has no licence sentence.
 HINTS = ("licen", "permi", "warrant", "redistribut", "free software", "copyright", "all rights", "contributors")
-#: A sentence ends at one of these before white space, or at a paragraph's end.
-SENTENCE_END = "(?<=[.!?:;])[ \\t\\r\\x0B\\f\\n]+| "
+#: A paragraph ends here; blank lines and lines that are a known sentence by themselves are set off by it.
+PARAGRAPH_END = "\u2029"
+#: A piece of a paragraph ends at one of these before white space.
+PIECE_END = r"(?<=[.!?:;])[ \t\r\x0B\f\n]+"
 #: What a comment puts before a line.
 COMMENT_MARK = r"^[ \t]*(?:#+|//+|/?\*+/?|;+|--)[ \t]*"
 
@@ -98,15 +103,22 @@ def normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(plain, " +", " "))
 
 
-def sentences(text: Column) -> Column:
-    """The sentences of a text, in order.
+def pieces(text: Column) -> Column:
+    """The normalised pieces of a text, in order, with a line break around each and two between paragraphs.
 
-    Lines flow together, as a licence text is often wrapped, but a blank line ends a sentence, and a line that
+    Lines flow together, as a licence text is often wrapped, but a blank line ends a paragraph, and a line that
     is a known sentence by itself is one.
     """
     lines = F.transform(F.split(text, "\r?\n", -1), lambda x: F.regexp_replace(x, COMMENT_MARK, ""))
-    marked = F.transform(lines, lambda x: F.when(F.trim(x) == "", F.lit(" ")).when(_known(normalised(x)).isNotNull(), F.concat(F.lit(" "), x, F.lit(" "))).otherwise(x))
-    return F.split(F.array_join(marked, " "), SENTENCE_END, -1)
+    end = F.lit(PARAGRAPH_END)
+    marked = F.transform(lines, lambda x: F.when(F.trim(x) == "", end).when(_known(normalised(x)).isNotNull(), F.concat(end, x, end)).otherwise(x))
+    paragraphs = F.split(F.array_join(marked, " "), PARAGRAPH_END, -1)
+    joined = F.transform(paragraphs, lambda p: F.array_join(F.filter(F.transform(F.split(p, PIECE_END, -1), normalised), lambda x: x != ""), "\n"))
+    return F.concat(F.lit("\n"), F.array_join(joined, "\n\n"), F.lit("\n"))
+
+
+#: Any known sentence as a run of whole pieces of one paragraph: 'free software: you can' is two of them.
+KNOWN_RUN = r"(?<=\n)(?:" + "|".join(re.escape(x).replace("\\ ", r"[ \n]") for x in sorted(SENTENCES, key=len, reverse=True)) + r")(?=\n)"
 
 
 def _known(sentence: Column) -> Column:
@@ -116,7 +128,7 @@ def _known(sentence: Column) -> Column:
 
 def sentence_ids(text: Column) -> Column:
     """Identifiers of the known licence sentences of a text, in order, repeats included."""
-    return F.filter(F.transform(sentences(text), lambda x: _known(normalised(x))), lambda x: x.isNotNull())
+    return F.transform(F.regexp_extract_all(pieces(text), F.lit(KNOWN_RUN), F.lit(0)), lambda x: _known(F.translate(x, "\n", " ")))
 
 
 def matched(ids: Column) -> Column:

@@ -326,6 +326,38 @@ def test_licences(spark):
     assert got == {1: (1, "MIT", 0), 2: (1, "CC-BY-NC-4.0", 0), 3: (2, "MIT", 0), 4: (0, "", 0), 5: (0, "", 0), 6: (2, "Apache-2.0", 1), 7: (0, "", 0)}
 
 
+#: Known sentences as licences print them, where cuts at punctuation fall inside.
+PRINTED = {
+    "this program is free software you can": "This program is free software: you can",
+    "merchantability or fitness": "MERCHANTABILITY or FITNESS",
+    "without any warranty without even": "WITHOUT ANY WARRANTY; without even",
+    "mozilla public license v 2.0": "Mozilla Public License, v. 2.0",
+    "spdx-license-identifier ": "SPDX-License-Identifier: ",
+}
+
+
+def printed(sentence):
+    for plain, own in PRINTED.items():
+        sentence = sentence.replace(plain, own)
+    return sentence
+
+
+def test_every_licence_sentence_is_found_as_printed(spark):
+    texts = [(f"x\n{printed(s)}.\ny", n) for s, n in licences.SENTENCES.items()]
+    # in the midst of a paragraph, wrapped at each blank, and with the other mark that GPL headers have
+    texts += [("Well. " + "\n * ".join(printed(s).split(" ")) + ". Well.", n) for s, n in licences.SENTENCES.items()]
+    texts += [(t.replace("software: you", "software; you"), n) for t, n in texts if "software: you" in t]
+    found = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string").select("doc_id", licences.sentence_ids(F.col("text")).alias("ids"))
+    assert {r["doc_id"]: r["ids"] for r in found.collect()} == {i: [n] for i, (_, n) in enumerate(texts)}
+
+
+def test_licence_headers_with_cuts_inside(spark):
+    gpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU General Public License for more details."
+    rows = [(1, "// SPDX-License-Identifier: MIT\nint main;"), (2, gpl), (3, "SPDX-License-Identifier:\n\nMIT\n"), (4, "Not so: licensed under CC BY 4.0.")]
+    got = {r["doc_id"]: (r["sentence_ids"], r["licences"]) for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: ("MITspdx", "MIT"), 2: ("GPL3plus,GPLhope,GPLsee", "GPL-3.0-or-later"), 3: ("", ""), 4: ("CCBY4ref", "CC-BY-4.0")}
+
+
 def test_licence_queries_find_planted_lines(spark, docs):
     lines = {"Released under the MIT License.": "MIT", "Licensed under the Apache License, Version 2.0.": "Apache-2.0", "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0-only", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0"}
     got = {r["doc_id"]: r["licences"] for r in queries.queries()["op9_licences"](spark, SF).collect()}
