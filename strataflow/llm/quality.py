@@ -1,10 +1,12 @@
 """Quality rules with risk-controlled cutoffs.
 
-Each rule scores a text, higher being worse. A labelled holdout decides how low a rule's cutoff may go in a
-stratum: cutoffs are tested from the strictest down, each by an exact binomial test of "at least RISK of the
-good documents would be rejected", and the first that isn't refuted ends the sequence (so no correction is
-needed along it). Levels are divided by the number of strata and rules (Bonferroni), and the risk by the
-number of rules, so that with probability 1 - LEVEL no stratum loses more than RISK of its good documents.
+Each rule scores a text, higher being worse. A labelled holdout decides how low the rules' cutoffs may go in a
+stratum, by split fixed-sequence testing: bad documents and the GUIDE share of the good ones order the steps
+that lower one cutoff by a bin, and the other good documents, on which that order doesn't depend, test it. From
+the first step on, an exact binomial test asks whether the rules together would reject at least RISK of the
+good documents; the first step that isn't refuted ends the sequence, so no correction is needed along it.
+Levels are divided by the number of strata (Bonferroni), so that with probability 1 - LEVEL no stratum loses
+more than RISK of its good documents. A stratum needs ``least_labels`` good labels that test.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ from ._scratch import Scratch
 RISK, LEVEL = 0.02, 0.05
 #: A cutoff must reject this many times the share of bad documents that it rejects of good ones.
 GAIN = 50.0
+#: One in this many good documents helps to order the steps; the others test them.
+GUIDE = 5
 #: Cutoffs of a rule lie on a fixed grid of its score.
 BINS = 64
 #: The characters that count as symbols, and the base rule's limits.
@@ -168,29 +172,84 @@ def choose_cutoff(good: np.ndarray, bad: np.ndarray, risk: float, level: float,
     return best
 
 
-def learn_cutoffs(scored: DataFrame, labels: DataFrame, key: str, counts: str, stratum: Column, strata: int, risk: float = RISK, level: float = LEVEL) -> DataFrame:
+def least_labels(strata: int, risk: float = RISK, level: float = LEVEL) -> int:
+    """Good documents that must test a stratum before any rule may reject, even if none is lost."""
+    return math.ceil(math.log(level / max(1, strata)) / math.log1p(-risk))
+
+
+def order_steps(good: np.ndarray, bad: np.ndarray) -> np.ndarray:
+    """The step, from 1, at which each bin of each rule is rejected first, given counts by rule and bin; 0: never.
+
+    The rule and cutoff that catch most bad documents for the good ones lost come next, bin after bin.
+    """
+    steps = np.zeros(good.shape, np.int32)
+    cuts = [good.shape[1]] * len(good)
+    step = 0
+    while True:
+        best, move = (0.0, 0.0), None
+        for rule, cut in enumerate(cuts):
+            caught, lost = np.cumsum(bad[rule, 1:cut][::-1]), np.cumsum(good[rule, 1:cut][::-1])
+            if not len(caught):
+                continue
+            gain = caught / (lost + 0.5)
+            at = int(np.lexsort((caught, gain))[-1])
+            at = int(np.flatnonzero(caught == caught[at])[0])  # not beyond the last bin that catches any
+            if (gain[at], caught[at]) > best:
+                best, move = (gain[at], caught[at]), (rule, cut - 1 - at)
+        if move is None:
+            return steps
+        rule, to = move
+        for cut in range(cuts[rule] - 1, to - 1, -1):
+            step += 1
+            steps[rule, cut] = step
+        cuts[rule] = to
+
+
+def learn_cutoffs(scored: DataFrame, labels: DataFrame, key: str, counts: str, stratum: Column, strata: int, scratch: Scratch, risk: float = RISK, level: float = LEVEL) -> DataFrame:
     """stratum and a cutoff bin for each rule (null: it rejects none).
 
     Labels other than 0 and 1, null keys and rows that the base rule fails are left out; a label that is
-    repeated counts once. Only a histogram of BINS a rule and stratum leaves the workers.
+    repeated counts once. Only histograms of BINS a rule, and of the steps, of each stratum leave the workers.
     """
     c = lambda n: F.col(f"{counts}.{n}")
     marks = labels.select(F.col("doc_id").alias("_label_key"), F.col("quality").alias("_label")).filter("_label in (0, 1) and _label_key is not null").distinct()
     bins = scored.filter(~base_failed(c)).select(F.col(key).alias("_key"), stratum.alias("stratum"), F.array(*(_bin(rule(c)) for rule in RULES.values())).alias("bins"))
-    found = bins.join(marks, F.col("_key") == F.col("_label_key")).select("stratum", "_label", F.posexplode("bins").alias("rule", "bin"))
-    found = found.groupBy("stratum", "rule", "bin").agg(F.sum("_label").alias("good"), F.sum(1 - F.col("_label")).alias("bad"))
+    guides = F.pmod(F.xxhash64(F.col("_key").cast("string"), F.lit(5)), F.lit(GUIDE)) == 0
+    found = bins.join(marks, F.col("_key") == F.col("_label_key")).select("stratum", (F.col("_label") == 1).alias("good"), guides.alias("guides"), "bins")
+    found = scratch.table(found, "labelled")
+    n_bins = BINS + 1
+
+    def order(rows: pd.DataFrame) -> pd.DataFrame:
+        at = rows["rule"] * n_bins + rows["bin"]
+        good, bad = (np.bincount(at, weights=rows[x], minlength=len(RULES) * n_bins).reshape(len(RULES), n_bins) for x in ("good", "bad"))
+        return pd.DataFrame([{"stratum": rows["stratum"].iloc[0], "steps": order_steps(good, bad).ravel().tolist()}])
+
+    is_good = F.col("good").cast("int")
+    guide = found.filter("guides or not good").select("stratum", is_good.alias("good"), F.posexplode("bins").alias("rule", "bin"))
+    guide = guide.groupBy("stratum", "rule", "bin").agg(F.sum("good").alias("good"), F.sum(1 - F.col("good")).alias("bad"))
+    orders = scratch.table(guide.groupBy("stratum").applyInPandas(order, "stratum string, steps array<int>"), "orders")
+
+    joined = found.filter("not (guides and good)").join(F.broadcast(orders) if strata <= BROADCAST_STRATA else orders, "stratum")
+    reached = F.array(*(F.nullif(F.get("steps", i * n_bins + F.col("bins")[i]), F.lit(0)) for i in range(len(RULES))))
+    tested = joined.select("stratum", is_good.alias("good"), F.coalesce(F.array_min(reached), F.lit(0)).alias("step"))
+    tested = tested.groupBy("stratum", "step").agg(F.sum("good").alias("good"), F.sum(1 - F.col("good")).alias("bad"))
     schema = T.StructType([T.StructField("stratum", T.StringType()), *(T.StructField(n, T.IntegerType()) for n in RULES)])
-    tests = max(1, strata) * len(RULES)
 
-    def choose(rows: pd.DataFrame) -> pd.DataFrame:
+    def choose(rows: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows) or not len(own):
+            return pd.DataFrame(columns=schema.names)
+        steps = np.array(own["steps"].iloc[0]).reshape(len(RULES), n_bins)
+        most = int(steps.max())
+        place = np.where(rows["step"] > 0, most + 1 - rows["step"], 0)  # the first step has the highest place
+        good, bad = (np.bincount(place, weights=rows[x], minlength=most + 1) for x in ("good", "bad"))
+        lowest = choose_cutoff(good, bad, risk, level / max(1, strata))
         out = {"stratum": rows["stratum"].iloc[0]}
-        for i, name in enumerate(RULES):
-            own = rows[rows["rule"] == i]
-            good, bad = (np.bincount(own["bin"], weights=own[x], minlength=BINS + 1) for x in ("good", "bad"))
-            out[name] = choose_cutoff(good, bad, risk / len(RULES), level / tests)
+        for name, own_steps in zip(RULES, steps, strict=True):
+            hit = np.flatnonzero((own_steps > 0) & (own_steps <= most + 1 - lowest)) if lowest is not None else []
+            out[name] = int(hit[0]) if len(hit) else None
         return pd.DataFrame([out]).astype({n: "Int32" for n in RULES})
 
-    return found.groupBy("stratum").applyInPandas(choose, schema)
+    return tested.groupBy("stratum").cogroup(orders.groupBy("stratum")).applyInPandas(choose, schema)
 
 
 def _stratum(df: DataFrame) -> Column:
@@ -221,7 +280,7 @@ def judge(docs: DataFrame, labels: DataFrame, scratch: Scratch, key: str = "doc_
     scored = scratch.table(with_counts(docs.select(*keep), "text", "counts").drop("text"), "counts")
     stratum = F.col("stratum")
     strata = scored.select("stratum").distinct().count()
-    cutoffs = scratch.table(learn_cutoffs(scored, labels, key, "counts", stratum, strata), "cutoffs")
+    cutoffs = scratch.table(learn_cutoffs(scored, labels, key, "counts", stratum, strata, scratch), "cutoffs")
     c = lambda n: F.col(f"counts.{n}")
     return _judged(scored, cutoffs, strata, "counts", stratum, "kept").select(key, *(c(n).alias(n) for n in COUNTS), base_failed(c).alias("base_failed"), "kept")
 
@@ -232,7 +291,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, scratch: Scratch, key: str = "
     strata = docs.select(_stratum(docs).alias("s")).distinct().count()
     # all texts are counted twice rather than shuffled to meet their labels
     scored = with_counts(docs.select(key, F.col(text).alias("text"), _stratum(docs).alias("stratum")), "text", "counts").drop("text")
-    cutoffs = scratch.publish(learn_cutoffs(scored, labels, key, "counts", F.col("stratum"), strata))
+    cutoffs = scratch.publish(learn_cutoffs(scored, labels, key, "counts", F.col("stratum"), strata, scratch))
     judged = _judged(with_counts(docs, text, counts), cutoffs, strata, counts, _stratum(docs), verdict)
     return judged.filter(F.col(verdict)).select(*(F.col(f"`{c}`") for c in docs.columns))
 

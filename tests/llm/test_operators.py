@@ -88,6 +88,32 @@ def test_quality_keeps_its_promise(spark):
     assert sum(got[i] for i, q in labels if not q) < 100
 
 
+def test_quality_rejects_in_small_strata(spark):
+    assert quality.least_labels(4) == 217
+    rng = random.Random(3)
+    rows, labels = [], []
+    for i in range(4 * 350):
+        bad = i // 4 % 8 == 0
+        words = ["w" + str(rng.randint(0, 9999)) + ("###" if bad else "") for _ in range(60)]
+        rows.append((i, " ".join(words), ("de", "en", "es", "fr")[i % 4]))
+        labels.append((i, 0 if bad else 1))
+    rows += [(9000 + i, t, "xx") for i, t, _ in rows[:100]]  # too few labels for a guarantee
+    labels += [(9000 + i, q) for i, q in labels[:100]]
+    df, marks = spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame(labels, "doc_id long, quality int")
+    with Scratch(spark, "t") as scratch:
+        got = {r["doc_id"]: r["kept"] for r in quality.judge(df, marks, scratch).collect()}
+    assert [got[i] for i, _ in labels] == [i >= 9000 or q == 1 for i, q in labels]
+
+
+def test_quality_rules_share_one_risk():
+    good, bad = np.zeros((2, 65)), np.zeros((2, 65))
+    good[:, :20], bad[0, 40], bad[1, 50], good[1, 45] = 10, 30, 20, 5
+    steps = quality.order_steps(good, bad)
+    assert steps[0, 64] == 1 and steps[0, 40] == 25 and steps[0, 39] == 0  # no bin below the last bad document
+    assert steps[1, 64] == 26 and steps[1, 50] == 40 and not steps[1, :50].any()
+    assert sorted(steps[steps > 0]) == list(range(1, 41))
+
+
 def test_gradients_of_the_network():
     net = langid.Network.random(["a", "b", "c"], 3, 1)
     for layer in (net.forward, net.backward):
