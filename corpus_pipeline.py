@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from strataflow.llm import bpe, decontaminate, jaccard, langid, quality
 from strataflow.llm._scratch import Scratch
 
+#: Near copies share this share, in percent, of their runs of so many words; op4's query has a contract of its own.
+STAGE_SHINGLE, STAGE_PERCENT = 5, 80
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is determined go on."""
@@ -23,7 +26,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group of near copies goes on."""
     with Scratch(spark, "pipeline-copies") as scratch:
-        return jaccard.keep_one_of_each(docs, scratch)
+        return jaccard.keep_one_of_each(docs, scratch, k=STAGE_SHINGLE, percent=STAGE_PERCENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """The pipeline on a small table, each stage against a brute-force version of its decision."""
 
 import hashlib
+import random
 
 import corpus_pipeline as p
 import public_tokenizers as P
@@ -8,7 +9,7 @@ import tiktoken
 
 from strataflow.llm import bpe
 from tests.llm.fixtures import odd
-from tests.llm.test_operators import brute_components, brute_counts
+from tests.llm.test_operators import brute_components, brute_counts, brute_shingles
 
 SF = "/root/testdata/sf0.001"
 
@@ -46,3 +47,20 @@ def test_stages_stand_odd_and_empty_tables(spark):
         for _, stage in p.STAGES:
             found = stage(spark, df, SF)
             assert found.count() <= df.count()
+
+
+def test_near_copies_take_five_words_and_80_percent(spark):
+    rng, rows = random.Random(4), []
+    for i in range(20):
+        words = [f"w{rng.randint(0, 99999)}" for _ in range(100)]
+        rows.append((2 * i, " ".join(words)))
+        for j in range(i % 4 + 1):
+            words[20 * (j + 1)] = f"v{rng.randint(0, 99999)}"
+        rows.append((2 * i + 1, " ".join(words)))
+    want = set()
+    for a, text in rows:
+        one = brute_shingles(text, 5)
+        if not any(100 * len(one & two) >= 80 * len(one | two) for two in (brute_shingles(t, 5) for b, t in rows if b < a)):
+            want.add(a)
+    got = {r["doc_id"] for r in p.near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()}
+    assert got == want and len(want) == 30
