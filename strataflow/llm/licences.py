@@ -86,8 +86,9 @@ RULES = [
     (("ISCgrant",), "ISC"),
     (("MPL2ref",), "MPL-2.0"),
 ]
-#: Every known sentence holds one of these, in lower case; a text without any has no licence sentence.
-HINTS = ("licen", "permi", "warrant", "redistribut", "free software", "copyright", "all rights", "contributors")
+#: Every known sentence holds one of these, in lower case; a text without any has no licence sentence. Each lies
+#: within one word, as any white space or punctuation may part words.
+HINTS = ("licen", "permi", "warrant", "redistribut", "copyright", "reserved", "contributors")
 #: A paragraph ends here; blank lines and lines that are a known sentence by themselves are set off by it.
 PARAGRAPH_END = "\u2029"
 #: A piece of a paragraph ends at one of these before white space.

@@ -384,6 +384,13 @@ def test_licence_headers_with_cuts_inside(spark):
     assert got == {1: ("MITspdx", "MIT"), 2: ("GPL3plus,GPLhope,GPLsee", "GPL-3.0-or-later"), 3: ("", ""), 4: ("CCBY4ref", "CC-BY-4.0")}
 
 
+def test_licence_hints_pass_every_sentence(spark):
+    assert not any(" " in h for h in licences.HINTS) and all(any(h in s for h in licences.HINTS) for s in licences.SENTENCES)
+    rows = [(1, "All\nrights reserved"), (2, "All  rights, reserved."), (3, "All\n# rights\n# reserved"), (4, "rights")]
+    got = {r["doc_id"]: r["n_sentences"] for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 0}
+
+
 def test_licence_queries_find_planted_lines(spark, docs):
     lines = {"Released under the MIT License.": "MIT", "Licensed under the Apache License, Version 2.0.": "Apache-2.0", "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0-only", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0"}
     got = {r["doc_id"]: r["licences"] for r in queries.queries()["op9_licences"](spark, SF).collect()}
