@@ -1,13 +1,17 @@
 """Language-model scoring with a hashed maximum-entropy model.
 
-A word's probability is that of its class times that of the word in its class; both are softmaxes over the
-summed weights of hashed features: a constant, the word before, the two words before, and the word before
-that alone (a skip). The most frequent words have classes; all others share one class, in which a word has
-its smoothed share of the corpus counts.
-
-Counts come from all training documents. Weights are trained by rounds of distributed updates: each round
-has a share of the training documents, each task runs adaptive gradient steps over its own from the weights
-of the round before, and the changes are averaged by the tokens that they come from.
+A word's probability is factored: that of its class times that of its group in the class, times its share of
+the group's smoothed corpus counts. The class is a softmax over CLASSES; the group is told by a run of softmaxes
+of two, each over the halves of what is left of the class, up to DEPTH of them. Scores are sums of a prior from
+the corpus counts and of the weights of hashed features: the word before, the two words before, and the word
+before that alone (a skip). Classes have equal shares of the corpus, so a frequent word is alone in its group,
+and a class of many rare words has many groups: every word of the corpus has a place in the model, and the
+number of groups and of weights follows the vocabulary.
+
+Counts come from all training documents. Weights are trained by rounds of distributed gradient updates: a
+round has a share of the training documents, each task sums the gradients of its own at the weights of the round
+before, with their expected counts or curvatures, and the sums of all tasks make one update. Which task has which
+document doesn't matter, but for rounding.
 """
 
 from __future__ import annotations
@@ -25,17 +29,18 @@ from pyspark.sql import functions as F
 from . import _text
 from ._scratch import Scratch
 
-#: Classes (the first is that of all other words) and the words in each of the rest.
-CLASSES, CLASS_WORDS = 32, 33
-#: Rows of the hashed weight tables; the first rows hold the constant feature.
-CLASS_ROWS, WORD_ROWS = 1 << 14, 1 << 15
-FEATURES = 4
-#: The constant feature's weight of a class or a place in it that no word has.
+#: Classes (the first is that of words whose counts aren't broadcast, and of unknown ones), and splits in one.
+CLASSES, DEPTH = 32, 13
+#: Hashed weights of splits: four for each distinct word, between these powers of two; classes have half as many.
+WEIGHT_BITS_LEAST, WEIGHT_BITS_MOST = 16, 21
+#: The prior of a class that no word has.
 UNUSED = -30.0
-#: Rounds of training, tokens in a gradient step, and the step size.
-ROUNDS, STEP_TOKENS, RATE = 2, 1 << 14, 0.08
-#: Tokens that a training task should have at least, as each sends all weights, and the tasks that there are at least.
-TASK_TOKENS, LEAST_TASKS = 2 << 20, 8
+#: Rounds of training, the size of an update, and what is added to the counts that a gradient is measured by.
+ROUNDS, RATE, SMOOTHING = 2, 0.65, 5.0
+#: Tokens handled at a time.
+STEP_TOKENS = 1 << 14
+#: Tokens that a training task should have at least, as each sends sums for all weights, and bounds of the tasks.
+TASK_TOKENS, LEAST_TASKS, MOST_TASKS = 4 << 20, 8, 4096
 #: Words whose counts are broadcast, at most; the counts of the others are joined by a shuffle.
 BROADCAST_WORDS = 1 << 18
 #: Folds of documents: those with this remainder of their key's checksum are held out.
@@ -86,20 +91,22 @@ def _sub_blocks(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np
 
 @dataclass
 class Vocabulary:
-    """What all tasks know of the counts; its size doesn't grow with the corpus."""
+    """What all tasks know of the counts; BROADCAST_WORDS and DEPTH bound its size."""
 
     words: np.ndarray  # hashes of the most frequent words, ascending
     counts: np.ndarray
-    classed: np.ndarray  # hashes of the words with a class, ascending
-    slots: np.ndarray  # class * CLASS_WORDS + place of each of them
+    classes: np.ndarray  # of each of them, 1 at least
+    depths: np.ndarray  # splits of each class
+    offsets: np.ndarray  # where a class begins in the next two
+    groups: np.ndarray  # smoothed count of each group
+    splits: np.ndarray  # prior score of the upper half at each split of a class: a heap, from place 1 on
+    class_prior: np.ndarray
     tokens: int  # N
     distinct: int  # V
-    other_tokens: int
-    other_distinct: int
 
     @classmethod
     def of(cls, counts: DataFrame, most: int = BROADCAST_WORDS) -> Vocabulary:
-        """From the whole table of counts; at most ``most`` rows of it come to the driver."""
+        """From the whole table of counts; at most ``most`` words and 2**DEPTH sums of it come to the driver."""
         bucket = F.floor(F.log2(F.col("c").cast("double")) * 16).cast("int")
         rows = counts.groupBy(bucket.alias("b")).agg(F.count("*").alias("words"), F.sum("c").alias("tokens"), F.min("c").alias("least")).collect()  # 16 a doubling of the count
         rows.sort(key=lambda r: -r["b"])
@@ -111,55 +118,78 @@ class Vocabulary:
         frequent = counts.filter(F.col("c") >= least).toPandas() if least is not None else None
         words = frequent["word"].to_numpy(np.int64).view(_U) if frequent is not None else np.empty(0, _U)
         n = frequent["c"].to_numpy(np.int64) if frequent is not None else np.empty(0, np.int64)
-        order = np.argsort(words)
-        words, n = words[order], n[order]
-        ranked = np.lexsort((words, -n))[: (CLASSES - 1) * CLASS_WORDS]
-        place = np.arange(len(ranked))
-        slots = (1 + place // CLASS_WORDS) * CLASS_WORDS + place % CLASS_WORDS
-        by_hash = np.argsort(words[ranked])
         tokens, distinct = sum(r["tokens"] for r in rows), sum(r["words"] for r in rows)
-        return cls(words, n, words[ranked][by_hash], slots[by_hash], tokens, distinct, tokens - int(n[ranked].sum()), distinct - len(ranked))
+        rare, depth = counts if least is None else counts.filter(F.col("c") < least), _depth(distinct - len(words))
+        path = F.shiftrightunsigned(F.shiftrightunsigned("word", 1), 63 - depth)
+        sums = np.ones(1 << depth)  # an unknown word has a place in each group
+        for r in rare.groupBy(path.alias("path")).agg(F.sum(F.col("c") + 1).alias("sum")).toLocalIterator() if distinct > len(words) else ():
+            sums[r["path"]] += r["sum"]
+        return cls.build(words, n, sums, tokens, distinct)
+
+    @classmethod
+    def build(cls, words: np.ndarray, counts: np.ndarray, others: np.ndarray, tokens: int, distinct: int) -> Vocabulary:
+        """From the most frequent words and the sums of the groups of all others."""
+        order = np.lexsort((words, -counts))
+        before = np.cumsum(counts[order] + 1.0) - (counts[order] + 1.0)
+        classes = np.empty(len(words), np.int64)
+        classes[order] = 1 + np.minimum(before * ((CLASSES - 1) / max(1.0, float((counts + 1).sum()))), CLASSES - 2).astype(np.int64)
+        depths = np.array([len(others).bit_length() - 1, *(_depth(n) for n in np.bincount(classes, minlength=CLASSES)[1:].tolist())])
+        offsets = np.concatenate(([0], np.cumsum(1 << depths)))
+        groups = np.bincount(offsets[classes] + _paths(words, depths[classes]), weights=counts + 1.0, minlength=offsets[-1])
+        groups[: len(others)] = others
+        splits, prior = np.zeros(offsets[-1], np.float32), np.full(CLASSES, UNUSED)
+        for c, (lo, depth) in enumerate(zip(offsets.tolist(), depths.tolist(), strict=False)):
+            sums = groups[lo : lo + (1 << depth)]
+            if sums.sum() > 0:
+                prior[c] = math.log(sums.sum())
+            for level in range(depth - 1, -1, -1):
+                halves = sums.reshape(-1, 2)
+                ratio = (halves[:, 1] + 1e-6) / (halves[:, 0] + 1e-6)  # a half may be empty
+                splits[lo + (1 << level) : lo + (2 << level)] = np.log(ratio)
+                sums = halves.sum(axis=1)
+        order = np.argsort(words)
+        return cls(words[order], counts[order], classes[order], depths, offsets, groups, splits, np.where(prior > UNUSED, prior - prior.max(), UNUSED).astype(np.float32), int(tokens), int(distinct))
+
+    @property
+    def weight_bits(self) -> int:
+        return min(WEIGHT_BITS_MOST, max(WEIGHT_BITS_LEAST, (self.distinct + 1).bit_length() + 2))
 
-    def count(self, words: np.ndarray) -> np.ndarray:
-        """The count of each word; -1 of one that isn't among the most frequent."""
-        return _lookup(self.words, self.counts, words)
+    def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(count, class, path in the class) of each word; the count is -1 of one that isn't among the most frequent."""
+        if not len(self.words):
+            counts, classes = np.full(len(words), -1, np.int64), np.zeros(len(words), np.int64)
+        else:
+            at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+            known = self.words[at] == words
+            counts, classes = np.where(known, self.counts[at], -1), np.where(known, self.classes[at], 0)
+        return counts, classes, _paths(words, self.depths[classes])
 
-    def slot(self, words: np.ndarray) -> np.ndarray:
-        """class * CLASS_WORDS + place of each word; 0 of one without a class of its own."""
-        return np.maximum(_lookup(self.classed, self.slots, words), 0)
 
+def _depth(words: int) -> int:
+    return min(DEPTH, max(0, int(words) - 1).bit_length())
 
-def _lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    if not len(keys):
-        return np.full(len(wanted), -1, np.int64)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, values[at], -1)
+
+def _paths(words: np.ndarray, depths: np.ndarray) -> np.ndarray:
+    """The first bits of each hash, as a number."""
+    return ((words >> _U(1)) >> (63 - depths).astype(_U)).astype(np.int64)
 
 
 class MaxEnt:
-    """Weights of classes, (CLASS_ROWS, CLASSES), and of words in classes, (WORD_ROWS, CLASS_WORDS)."""
+    """Weights of features for classes, (rows, CLASSES), and for the upper halves of splits, with the corpus' priors."""
 
-    def __init__(self, by_class: np.ndarray, by_word: np.ndarray):
-        self.by_class, self.by_word = by_class, by_word
+    def __init__(self, vocabulary: Vocabulary, by_class: np.ndarray, by_split: np.ndarray):
+        self.vocabulary, self.by_class, self.by_split = vocabulary, by_class, by_split
+        self.row_shift, self.split_shift = _U(64 - (len(by_class).bit_length() - 1)), _U(64 - (len(by_split).bit_length() - 1))
 
     @classmethod
     def start(cls, vocabulary: Vocabulary) -> MaxEnt:
-        """The constant feature's weights give each class and word its share of the counts; the rest are 0."""
-        by_class, by_word = np.zeros((CLASS_ROWS, CLASSES), np.float32), np.zeros((WORD_ROWS, CLASS_WORDS), np.float32)
-        totals = np.zeros((CLASSES, CLASS_WORDS))
-        totals.ravel()[vocabulary.slots] = np.maximum(vocabulary.count(vocabulary.classed), 0)
-        shares = totals.sum(axis=1)
-        shares[0] = vocabulary.other_tokens
-        shares[0] += 0.5
-        with np.errstate(divide="ignore"):
-            logs = np.log(shares), np.log(totals)
-        by_class[0] = np.maximum(logs[0] - logs[0].max(), UNUSED)
-        by_word[:CLASSES] = np.maximum(logs[1] - np.maximum(logs[1].max(axis=1, keepdims=True), 0), UNUSED)
-        return cls(by_class, by_word)
+        """Without weights: the corpus' shares alone."""
+        bits = vocabulary.weight_bits
+        return cls(vocabulary, np.zeros(((1 << bits - 1) // CLASSES, CLASSES), np.float32), np.zeros(1 << bits, np.float32))
 
     @staticmethod
     def features(words: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
-        """Hashes of each token's features but the constant; they see the tokens before it in its text only."""
+        """Hashes of each token's features; they see the tokens before it in its text only."""
         place = np.arange(len(words)) - np.repeat(first[:-1], np.diff(first))
         before = np.empty_like(words)
         before[1:], before[:1] = words[:-1], _START
@@ -169,126 +199,151 @@ class MaxEnt:
         skipped[place < 2] = _START
         return [_text.mix(before, 11), _text.mix(before * _U(0x9E3779B97F4A7C15) + skipped, 12), _text.mix(skipped, 13)]
 
-    @staticmethod
-    def class_rows(features: list[np.ndarray]) -> list[np.ndarray]:
-        return [np.zeros(len(features[0]), np.int64), *(((f >> _U(40)) % _U(CLASS_ROWS - 1)).astype(np.int64) + 1 for f in features)]
-
-    @staticmethod
-    def word_rows(features: list[np.ndarray], classes: np.ndarray) -> list[np.ndarray]:
-        salt = classes.astype(_U) * _U(0xD6E8FEB86659FD93)
-        return [classes, *((((f ^ salt) * _U(0xC2B2AE3D27D4EB4F) >> _U(40)) % _U(WORD_ROWS - CLASSES)).astype(np.int64) + CLASSES for f in features)]
+    def class_rows(self, features: list[np.ndarray]) -> list[np.ndarray]:
+        return [(f >> self.row_shift).astype(np.int64) for f in features]
 
-    @staticmethod
-    def log_softmax(table: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
-        scores = np.take(table, rows[0], axis=0)
+    def class_shares(self, rows: list[np.ndarray]) -> np.ndarray:
+        """The probability of each class, (tokens, CLASSES)."""
+        scores = np.take(self.by_class, rows[0], axis=0)
         for r in rows[1:]:
-            scores += np.take(table, r, axis=0)
+            scores += np.take(self.by_class, r, axis=0)
+        scores += self.vocabulary.class_prior
         scores -= scores.max(axis=1, keepdims=True)
-        scores -= np.log(np.exp(scores).sum(axis=1, keepdims=True))
+        np.exp(scores, out=scores)
+        scores /= scores.sum(axis=1, keepdims=True)
         return scores
 
-    def log_probabilities(self, words: np.ndarray, first: np.ndarray, slots: np.ndarray) -> np.ndarray:
-        """Natural logarithm of each token's probability; of a token without a slot, that of its class."""
+    def splits_of(self, features: list[np.ndarray], classes: np.ndarray, paths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+        """(token, whether it lies in the upper half, score of that half, places of its weights) of all splits of all tokens."""
+        depths = self.vocabulary.depths[classes]
+        token = np.repeat(np.arange(len(classes)), depths)
+        level = np.arange(len(token)) - np.repeat(np.cumsum(depths) - depths, depths)
+        left, path = depths[token] - level, paths[token]
+        split = self.vocabulary.offsets[classes[token]] + ((1 << level) | (path >> left))
+        salt = (split.astype(_U) + _U(1)) * _U(0x9E3779B97F4A7C15)
+        places = [((f[token] ^ salt) * _U(0xC2B2AE3D27D4EB4F) >> self.split_shift).astype(np.int64) for f in features]
+        score = self.vocabulary.splits[split]
+        for x in places:
+            score += self.by_split[x]
+        return token, (path >> (left - 1)) & 1, score, places
+
+    def log_probabilities(self, words: np.ndarray, first: np.ndarray, classes: np.ndarray, paths: np.ndarray) -> np.ndarray:
+        """Natural logarithm of the probability of each token's group, divided by the group's smoothed count."""
         out = np.empty(len(words))
         features = self.features(words, first)
         for lo in range(0, len(words), STEP_TOKENS):
             s = slice(lo, lo + STEP_TOKENS)
-            part, slot = [f[s] for f in features], slots[s]
-            classes = slot // CLASS_WORDS
-            found = self.log_softmax(self.by_class, self.class_rows(part))[np.arange(len(slot)), classes].astype(np.float64)
-            known = np.flatnonzero(classes)
-            if len(known):
-                inside = self.log_softmax(self.by_word, self.word_rows([f[known] for f in part], classes[known]))
-                found[known] += inside[np.arange(len(known)), slot[known] % CLASS_WORDS]
-            out[s] = found
+            part, own = [f[s] for f in features], classes[s]
+            found = np.log(np.maximum(self.class_shares(self.class_rows(part))[np.arange(len(own)), own].astype(np.float64), 1e-30))
+            token, upper, score, _ = self.splits_of(part, own, paths[s])
+            against = np.where(upper == 1, -score, score).astype(np.float64)
+            found -= np.bincount(token, weights=np.logaddexp(0, against), minlength=len(own))
+            out[s] = found - np.log(self.vocabulary.groups[self.vocabulary.offsets[own] + paths[s]])
         return out
 
 
-class Trainer:
-    """Adaptive gradient steps over the texts of one task."""
+class Gradients:
+    """Sums over the texts of one task, at fixed weights: each weight's gradient, and what it is measured by."""
 
     def __init__(self, model: MaxEnt):
-        self.model = MaxEnt(model.by_class.copy(), model.by_word.copy())
-        self.squares = [np.full(t.shape, 1e-2, np.float32) for t in (self.model.by_class, self.model.by_word)]
+        self.model = model
+        self.observed, self.expected = np.zeros(model.by_class.size, np.float32), np.zeros(model.by_class.shape, np.float32)
+        self.split_gradient, self.curvature = np.zeros(len(model.by_split), np.float32), np.zeros(len(model.by_split), np.float32)
         self.tokens = 0
 
-    def learn(self, words: np.ndarray, first: np.ndarray, slots: np.ndarray) -> None:
-        features = MaxEnt.features(words, first)
+    def add(self, words: np.ndarray, first: np.ndarray, classes: np.ndarray, paths: np.ndarray) -> None:
+        model, features = self.model, MaxEnt.features(words, first)
         for lo in range(0, len(words), STEP_TOKENS):
             s = slice(lo, lo + STEP_TOKENS)
-            part, slot = [f[s] for f in features], slots[s]
-            classes = slot // CLASS_WORDS
-            self._step(0, self.model.by_class, MaxEnt.class_rows(part), classes)
-            known = np.flatnonzero(classes)
-            if len(known):
-                self._step(1, self.model.by_word, MaxEnt.word_rows([f[known] for f in part], classes[known]), slot[known] % CLASS_WORDS)
+            part, own = [f[s] for f in features], classes[s]
+            rows = model.class_rows(part)
+            shares = model.class_shares(rows)
+            for r in rows:
+                ordered = np.sort(r * STEP_TOKENS + np.arange(len(r)))
+                at = ordered // STEP_TOKENS
+                starts = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+                self.expected[at[starts]] += np.add.reduceat(np.take(shares, ordered % STEP_TOKENS, axis=0), starts, axis=0)
+                np.add.at(self.observed, r * CLASSES + own, np.float32(1))
+            _, upper, score, places = model.splits_of(part, own, paths[s])
+            share = 1 / (1 + np.exp(np.clip(-score, -30, 30)))
+            gradient, curvature = (upper - share).astype(np.float32), (share * (1 - share)).astype(np.float32)
+            for x in places:
+                np.add.at(self.split_gradient, x, gradient)
+                np.add.at(self.curvature, x, curvature)
         self.tokens += len(words)
 
-    def _step(self, which: int, table: np.ndarray, rows: list[np.ndarray], target: np.ndarray) -> None:
-        error = np.exp(MaxEnt.log_softmax(table, rows))
-        error[np.arange(len(target)), target] -= 1
-        for r in rows:
-            order = np.argsort(r, kind="stable")
-            ordered = r[order]
-            starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-            gradient = np.add.reduceat(error[order], starts, axis=0)
-            at = ordered[starts]
-            squares = self.squares[which][at] + gradient * gradient
-            self.squares[which][at] = squares
-            table[at] -= np.float32(RATE) * gradient / np.sqrt(squares)
+    def sums(self) -> np.ndarray:
+        """(2, weights): gradients, and the expected counts of classes and curvatures of splits."""
+        expected = self.expected.ravel()
+        return np.stack((np.concatenate((self.observed - expected, self.split_gradient)), np.concatenate((expected, self.curvature))))
+
+
+def update(sums: np.ndarray) -> np.ndarray:
+    """The change of each weight: its gradient by what that is measured by, with large ones damped."""
+    return (RATE * np.arcsinh(sums[0] / (sums[1] + SMOOTHING))).astype(np.float32)
 
 
 def _pack(x: np.ndarray) -> bytes:
-    return zlib.compress(x.astype(np.float32).tobytes(), 1)
+    """The upper half of each number: sums of gradients need no more than 8 bits of precision."""
+    whole = np.ascontiguousarray(x, np.float32).view(np.uint32)
+    return zlib.compress(((whole + np.uint32(0x8000)) >> np.uint32(16)).astype(np.uint16).tobytes(), 1)
 
 
 def _unpack(x: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(x), np.float32)
+    return (np.frombuffer(zlib.decompress(x), np.uint16).astype(np.uint32) << np.uint32(16)).view(np.float32)
 
 
-_PART_SCHEMA = "part int, tokens long, change binary"
+def _sum_parts(batches: Iterator[pa.RecordBatch], pack) -> Iterator[pa.RecordBatch]:
+    """One row a part: the sum of its rows; holds PARTS arrays at most."""
+    totals: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for part, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            found = _unpack(packed.as_py())
+            if part in totals:
+                totals[part] += found
+            else:
+                totals[part] = found.astype(np.float64)
+    yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int32()), pa.array([pack(x) for x in totals.values()], pa.binary())], ["part", "sums"])
 
 
-def _sum_changes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums token-weighted changes by part; holds PARTS arrays at most."""
-    totals: dict[int, tuple[int, np.ndarray]] = {}
-    for batch in batches:
-        for part, tokens, change in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-            n, total = totals.get(part, (0, 0.0))
-            totals[part] = (n + tokens, total + _unpack(change.as_py()).astype(np.float64))
-    yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int32()), pa.array([n for n, _ in totals.values()], pa.int64()), pa.array([_pack(x) for _, x in totals.values()], pa.binary())], ["part", "tokens", "change"])
+def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _sum_parts(batches, _pack)
+
+
+def _updates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _sum_parts(batches, lambda x: zlib.compress(update(x.reshape(2, -1)).tobytes(), 1))
 
 
 def train(docs: DataFrame, key: str, text: str, vocabulary: Vocabulary, scratch: Scratch, rounds: int = ROUNDS) -> MaxEnt:
-    """A model trained on all of ``docs``: each round takes the documents that a checksum deals to it."""
+    """A model trained on all of ``docs``: each round takes the documents that a hash of their key deals to it."""
     model = MaxEnt.start(vocabulary)
     context = docs.sparkSession.sparkContext
-    known = context.broadcast(vocabulary)
-    tasks = max(LEAST_TASKS, -(-vocabulary.tokens // TASK_TOKENS))
+    tasks = min(MOST_TASKS, max(LEAST_TASKS, -(-vocabulary.tokens // TASK_TOKENS)))
+    schema = "part int, sums binary"
     for turn in range(rounds):
-        shared = context.broadcast((model.by_class, model.by_word))
+        shared = context.broadcast(model)
 
         def learn(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            begin = MaxEnt(*shared.value)
-            trainer = Trainer(begin)
+            found: Gradients | None = None
             for batch in batches:
                 for _, data, offsets in _text.text_blocks(batch.column(0)):
+                    found = found or Gradients(shared.value)
                     words, first = tokens_of(data, offsets)
-                    trainer.learn(words, first, known.value.slot(words))
-            if trainer.tokens:
-                change = np.concatenate([(new - old).ravel() for new, old in ((trainer.model.by_class, begin.by_class), (trainer.model.by_word, begin.by_word))]).astype(np.float32)
-                parts = np.array_split(change * np.float32(trainer.tokens), PARTS)
-                yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([trainer.tokens] * PARTS, pa.int64()), pa.array([_pack(x) for x in parts], pa.binary())], ["part", "tokens", "change"])
+                    found.add(words, first, *shared.value.vocabulary.find(words)[1:])
+            if found is not None:
+                parts = np.array_split(found.sums(), PARTS, axis=1)
+                for i, x in enumerate(parts):
+                    yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([_pack(x)], pa.binary())], ["part", "sums"])
 
         dealt = F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(rounds)) == turn
-        table = scratch.table(docs.filter(dealt).select(text).coalesce(tasks).mapInArrow(learn, _PART_SCHEMA), "changes")
-        changes = table.withColumn("salt", F.spark_partition_id() % 16).repartition(PARTS * 2, "part", "salt").select("part", "tokens", "change")
-        changes = changes.mapInArrow(_sum_changes, _PART_SCHEMA).repartition(PARTS, "part").mapInArrow(_sum_changes, _PART_SCHEMA)
-        found = {r["part"]: (r["tokens"], _unpack(bytes(r["change"]))) for r in changes.toLocalIterator()}  # PARTS rows
+        table = scratch.table(docs.filter(dealt).select(text).coalesce(tasks).mapInArrow(learn, schema), "sums")
+        sums = table.withColumn("salt", F.spark_partition_id() % 16).repartition(PARTS * 2, "part", "salt").select("part", "sums")
+        sums = sums.mapInArrow(_add_up, schema).repartition(PARTS, "part").mapInArrow(_updates, schema)
+        found = {r["part"]: np.frombuffer(zlib.decompress(bytes(r["sums"])), np.float32) for r in sums.toLocalIterator()}  # PARTS rows
         if found:
-            change = np.concatenate([found[i][1] / np.float32(found[i][0]) for i in range(PARTS)])
+            change = np.concatenate([found[i] for i in range(PARTS)])
             cut = model.by_class.size
-            model = MaxEnt(model.by_class + change[:cut].reshape(model.by_class.shape), model.by_word + change[cut:].reshape(model.by_word.shape))
+            model = MaxEnt(vocabulary, model.by_class + change[:cut].reshape(model.by_class.shape), model.by_split + change[cut:])
         scratch.drop(table)
         shared.unpersist()
     return model
@@ -302,36 +357,34 @@ def _rare_tokens(docs: DataFrame, known) -> DataFrame:
             marks = batch.column(0).to_numpy(zero_copy_only=False)
             for row, data, offsets in _text.text_blocks(batch.column(1)):
                 words, first = tokens_of(data, offsets)
-                rare = known.value.count(words) < 0
+                rare = known.value.vocabulary.find(words)[0] < 0
                 owner = np.repeat(np.arange(len(first) - 1), np.diff(first))[rare]
                 yield pa.RecordBatch.from_arrays([pa.array(marks[row + owner]), pa.array(words[rare].view(np.int64))], ["mark", "word"])
 
     return docs.select("mark", "text").mapInArrow(find, "mark long, word long")
 
 
-def _scored(docs: DataFrame, known, shared) -> DataFrame:
-    """For each row: n_tokens, n_known, the sum of log10(c + 1), and the model's part, all without rare words' counts."""
-    names = ["doc_id", "held_out", "mark", "n_tokens", "n_known", "n_other", "logs", "other_logs", "model"]
+def _scored(docs: DataFrame, known) -> DataFrame:
+    """For each row: n_tokens, n_known, the sum of log10(c + 1) but of rare words, and the model's part without it."""
+    names = ["doc_id", "held_out", "mark", "n_tokens", "n_known", "logs", "model"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary: Vocabulary = known.value
-        model = MaxEnt(*shared.value)
+        model: MaxEnt = known.value
         for batch in batches:
-            out: list[list[np.ndarray]] = [[] for _ in range(6)]
+            out: list[list[np.ndarray]] = [[] for _ in range(4)]
             for _, data, offsets in _text.text_blocks(batch.column(3)):
                 words, first = tokens_of(data, offsets)
-                counts, slots = vocabulary.count(words), vocabulary.slot(words)
+                counts, classes, paths = model.vocabulary.find(words)
                 logs = np.log10(np.maximum(counts, 0) + 1.0)
-                other = slots == 0
                 per_text = lambda x: np.add.reduceat(x, first[:-1])  # noqa: B023, E731  each text has a token
-                for column, x in zip(out, (np.ones(len(words), np.int64), (counts > 0).astype(np.int64), other.astype(np.int64), logs, np.where(other, logs, 0.0), model.log_probabilities(words, first, slots) / math.log(10)), strict=True):
+                for column, x in zip(out, (np.ones(len(words), np.int64), (counts > 0).astype(np.int64), logs, model.log_probabilities(words, first, classes, paths) / math.log(10)), strict=True):
                     column.append(per_text(x))
-            none = (np.empty(0, np.int64),) * 3 + (np.empty(0),) * 3
+            none = (np.empty(0, np.int64),) * 2 + (np.empty(0),) * 2
             columns = [pa.array(np.concatenate([e, *c])) for e, c in zip(none, out, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), *columns], names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "held_out", "mark", "text").mapInArrow(score, f"doc_id {kind}, held_out boolean, mark long, n_tokens long, n_known long, n_other long, logs double, other_logs double, model double")
+    return docs.select("doc_id", "held_out", "mark", "text").mapInArrow(score, f"doc_id {kind}, held_out boolean, mark long, n_tokens long, n_known long, logs double, model double")
 
 
 def score(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS, broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
@@ -340,7 +393,7 @@ def score(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "t
     Tokens are lower-cased (A-Z) words, then one end; a null text has the end alone. ``base_score`` is the
     add-one unigram log10 probability, ``score`` the model's. A row that repeats a key and a text is scored
     like the first and counts in training like any other. Without training documents all counts are 0 and
-    the model knows the class of other words alone. An empty table gives an empty one; other columns aren't read.
+    the model is uniform over unknown words. An empty table gives an empty one; other columns aren't read.
     """
     rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), (fold(F.col(key)) == HELD_OUT).alias("held_out"))
     rows = rows.withColumn("mark", F.xxhash64("doc_id", "text"))
@@ -349,15 +402,14 @@ def score(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "t
     vocabulary = Vocabulary.of(counts, broadcast_words)
     model = train(training, "doc_id", "text", vocabulary, scratch, rounds)
     context = docs.sparkSession.sparkContext
-    known, shared = context.broadcast(vocabulary), context.broadcast((model.by_class, model.by_word))
-    scored = scratch.table(_scored(rows, known, shared), "scored")
+    known = context.broadcast(model)
+    scored = scratch.table(_scored(rows, known), "scored")
     found = _rare_tokens(rows, known).join(counts, "word").groupBy("mark").agg(F.sum(F.log10(F.col("c") + 1.0)).alias("rare_logs"), F.count("*").alias("rare_known"))
     copies = scored.groupBy("mark").agg(F.count("*").alias("copies"))
     rare = scratch.table(found.join(copies, "mark").select("mark", (F.col("rare_logs") / F.col("copies")).alias("rare_logs"), (F.col("rare_known") / F.col("copies")).cast("long").alias("rare_known")), "rare")
     joined = scored.join(rare, "mark", "left")
     extra = F.coalesce("rare_logs", F.lit(0.0))
     size = math.log10(vocabulary.tokens + vocabulary.distinct + 1)
-    other = math.log10(vocabulary.other_tokens + vocabulary.other_distinct + 1)
     return joined.select(
         F.col("doc_id").alias(key),
         "held_out",
@@ -365,7 +417,7 @@ def score(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "t
         (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(vocabulary.tokens).cast("long").alias("train_tokens"),
         (F.col("logs") + extra - F.col("n_tokens") * size).alias("base_score"),
-        (F.col("model") + F.col("other_logs") + extra - F.col("n_other") * other).alias("score"),
+        (F.col("model") + F.col("logs") + extra).alias("score"),
     )
 
 
