@@ -10,7 +10,7 @@ from strataflow.functions import session
 from strataflow.plans import catalogue
 
 HEADLINE = [
-    "rig_summary", "daily_activity", "daily_issues", "top_wells", "worst_variables", "day_detail", "activity_calendar", "latest_per_key", "invalid_pairs_not_in", "interval_nearest_event", "provenance_join",
+    "rig_summary", "daily_activity", "report_variables", "top_wells", "worst_variables", "day_detail", "activity_calendar", "latest_per_key", "invalid_pairs_not_in", "interval_nearest_event", "provenance_join",
     "curve_stats", "curve_gradient_peaks", "curve_moving_var", "curve_outliers", "fuzzy_match", "coverage_report", "fragments", "lexicon_mentions", "conflict_sets", "fact_versions", "graph_bfs", "canonical_urls", "html_structure",
 ]
 

@@ -10,9 +10,19 @@ URL_NAMESPACE = "6ba7b8119dad11d180b400c04fd430c8"
 NUMBER = r"([0-9]+\.?[0-9]*)"
 
 
+def rounded(x: Column, digits: int) -> Column:
+    """Halves away from 0, as the decimal number that ``x`` stands for: 79.975 is 79.98 whatever its nearest double."""
+    return F.round(x.cast("decimal(38,10)"), digits).cast("double")
+
+
 def percent(part: Column, whole: Column, digits: int = 1) -> Column:
     """100 * part / whole, rounded; null where whole is 0."""
-    return F.round(part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0)) * 100, digits)
+    return rounded(part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0)) * 100, digits)
+
+
+def share(part: Column, whole: Column, digits: int) -> Column:
+    """100 * part / whole, rounded; 0 where whole isn't positive."""
+    return F.when(whole > 0, rounded(part / whole * 100, digits)).otherwise(F.lit(0.0))
 
 
 def idle_state(days: Column) -> Column:
@@ -20,7 +30,11 @@ def idle_state(days: Column) -> Column:
 
 
 def alert(present: Column, percent_range: Column, percent_present: Column, range_min: float = 85.0, present_min: float = 90.0) -> Column:
-    return F.when(present <= 0, "NO REGISTRADA").when(percent_range < range_min, "FUERA").when(percent_present < present_min, "INCOMPLETA").otherwise("OK")
+    return F.when(present <= 0, "NO REGISTRADA").when(percent_range < range_min, "FUERA DE RANGO").when(percent_present < present_min, "INCOMPLETA").otherwise("OK")
+
+
+def severity(alert_: Column) -> Column:
+    return F.when(alert_ == "NO REGISTRADA", 3).when(alert_ == "FUERA DE RANGO", 2).when(alert_ == "INCOMPLETA", 1).otherwise(0)
 
 
 def unit_equation(x: Column) -> Column:
