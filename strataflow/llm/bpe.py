@@ -10,8 +10,9 @@ after it are kept once the new table has run level with the old one).
 from __future__ import annotations
 
 import base64
+import functools
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import ahocorasick
 import pyarrow as pa
@@ -19,6 +20,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ._columns import found_path
+
 #: Entries that a worker keeps of encoded pieces; beyond it the cache starts anew. Results don't depend on it.
 CACHE_ENTRIES = 400_000
 #: Rows of an Arrow batch that are encoded at a time.
@@ -200,14 +203,15 @@ class TextEncoder:
 _loaded: dict[tuple[str, str], TextEncoder] = {}
 
 
-def text_encoder(path: str, pattern: str) -> TextEncoder:
-    """One for each worker, vocabulary and pattern."""
+def text_encoder(path: str | Callable[[], str], pattern: str) -> TextEncoder:
+    """One for each worker, vocabulary and pattern. ``path`` may be a function that the worker calls for it."""
+    path = found_path(path)
     if (path, pattern) not in _loaded:
         _loaded[path, pattern] = TextEncoder(PrefixEncoder(read_ranks(path)), pattern)
     return _loaded[path, pattern]
 
 
-def encode_texts(df: DataFrame, path: str, pattern: str, text: str = "text", out: str = "token_ids") -> DataFrame:
+def encode_texts(df: DataFrame, path: str | Callable[[], str], pattern: str, text: str = "text", out: str = "token_ids") -> DataFrame:
     """``df`` with the array column ``out``: the token ids of each text (null: empty).
 
     Every other column stays as it is, whatever its name; a column already called ``out`` is replaced. An
@@ -226,7 +230,7 @@ def encode_texts(df: DataFrame, path: str, pattern: str, text: str = "text", out
     return df.select(*keep).mapInArrow(encode, schema)
 
 
-def decode_ids(df: DataFrame, path: str, pattern: str, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
+def decode_ids(df: DataFrame, path: str | Callable[[], str], pattern: str, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
     """``df`` with the binary column ``out``: the bytes of each list of ids (null: empty). An unknown id is an error."""
     keep = [c for c in df.columns if c != out]
     schema = T.StructType([*(df.schema[c] for c in keep), T.StructField(out, T.BinaryType())])
@@ -240,10 +244,11 @@ def decode_ids(df: DataFrame, path: str, pattern: str, ids: str = "token_ids", o
     return df.select(*keep).mapInArrow(decode, schema)
 
 
-def token_digests(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def token_digests(df: DataFrame, path: str | Callable[[], str], pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_tokens, ids_sha256, decoded_sha256 of each row: encodes a whole text, then decodes its ids.
 
-    A null text counts as empty: 0 tokens and the hash of no bytes. Repeated rows give repeated results.
+    A null text counts as empty: 0 tokens and the hash of no bytes. Repeated rows give repeated results, ties don't
+    arise, a text of any length is encoded whole, an empty table gives an empty one, and other columns aren't read.
     """
     schema = T.StructType([T.StructField(key, df.schema[key].dataType), *DIGEST_SCHEMA.fields[1:]])
 
@@ -282,4 +287,4 @@ def documents_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return token_digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return token_digests(docs, functools.partial(public_tokenizers.path, "byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)

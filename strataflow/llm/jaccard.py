@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import _text
 from ._columns import fresh
@@ -44,6 +45,8 @@ SMALL_ENTRY = 64
 BITMAP, WIDE_BITMAP = 256, 1024
 #: Bits of the filter that picks documents whose sets must be fetched: so many a document, up to the limit.
 FILTER_BITS_EACH, FILTER_BITS_MOST = 16, 1 << 27
+#: Keys of documents that go are broadcast up to so many, 24 bytes each; with more of them, documents are shuffled.
+BROADCAST_KEYS = 1 << 20
 
 _U = np.uint64
 _NO_TOKEN = np.int64(-1)  # no token has its top bit set, so this is none
@@ -499,6 +502,12 @@ def near_copies(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: st
     own key. Repeated rows are documents of equal sets; a null key is never the least unless no other is
     there. An empty table gives an empty one; other columns aren't read.
     """
+    found = _classes(docs, scratch, key, text, k, percent)
+    return found.select(F.col("doc_id").alias(key), F.col("n").alias("n_shingles"), "component_id")
+
+
+def _classes(docs: DataFrame, scratch: Scratch, key: str, text: str, k: int, percent: int) -> DataFrame:
+    """doc_id, n, set_id, component_id of each row of ``docs``."""
     documents, links = GroupedPrefixJoin(docs, scratch, key, text, k, percent).run()
     roots = components(links, scratch)
     least = documents.filter("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
@@ -506,25 +515,41 @@ def near_copies(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: st
     root = least.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     found = scratch.table(least.join(root, "root").select(F.col("set_id").alias("own"), "component_id"), "found")
     out = documents.join(found, (F.col("set_id") == F.col("own")) & (F.col("n") > 0), "left")
-    return out.select(F.col("doc_id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.select("doc_id", "n", "set_id", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def _with_set_id(df: DataFrame, text: str, k: int, out: str) -> DataFrame:
+    """``df`` with the id of each text's set."""
+    schema = T.StructType([*df.schema.fields, T.StructField(out, T.LongType())])
+
+    def identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [_identity(own) for _, data, offsets in _text.text_blocks(batch.column(text)) for own in sets_of(data, offsets, k)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.int64())], schema.names)
+
+    return df.mapInArrow(identify, schema)
 
 
 def keep_one_of_each(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text", k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each component, that with the least key.
 
     Rows with a null key all stay, and so do rows without words. Of rows that repeat a key and a text one
-    stays; documents of one key and different texts stay, as nothing tells which is meant. Only the keys of
-    what goes outlive ``scratch``.
+    stays. Rows of one key and different texts are judged each by its own text: one goes where its component
+    has a lesser key, the others stay, as nothing tells which is meant. Only the keys of what goes outlive
+    ``scratch``.
     """
-    found = near_copies(docs, scratch, key, text, k, percent)
-    name = fresh(docs.columns, "_gone")
-    gone = scratch.publish(found.filter(F.col(key) != F.col("component_id")).select(F.col(key).alias(name)).distinct())
-    kept = docs.join(gone, F.col(key) == F.col(name), "left_anti")
-    repeated = scratch.publish(docs.groupBy(F.col(key).alias(name)).agg(F.count("*").alias("rows")).filter(f"rows > 1 and `{name}` is not null").select(name))
+    found = scratch.table(_classes(docs, scratch, key, text, k, percent), "classes")
+    name, set_name = fresh(docs.columns, "_gone"), fresh(docs.columns, "_gone_set")
+    gone = scratch.publish(found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(name), F.col("set_id").alias(set_name)).distinct())
+    repeated = scratch.publish(found.groupBy(F.col("doc_id").alias(name)).agg(F.count("*").alias("rows")).filter(f"rows > 1 and `{name}` is not null").select(name))
+    gone = scratch.broadcast_if_small(gone, BROADCAST_KEYS)
+    same = F.col(f"`{key}`") == F.col(name)
     if repeated.isEmpty():
-        return kept
-    same = F.col(key) == F.col(name)
-    return kept.join(repeated, same, "left_anti").union(kept.join(repeated, same, "left_semi").dropDuplicates([key, text]))
+        return docs.join(gone, same, "left_anti")
+    single = docs.join(repeated, same, "left_anti").join(gone, same, "left_anti")
+    own = fresh([*docs.columns, name, set_name], "_own_set")
+    several = _with_set_id(docs.join(repeated, same, "left_semi"), text, k, own).join(gone, same & (F.col(own) == F.col(set_name)), "left_anti")
+    return single.union(several.drop(own).dropDuplicates([key, text]))
 
 
 def documents_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,8 +21,8 @@ from ._columns import fresh
 
 #: Units a direction, and the bytes that a window has; states start anew at each window.
 UNITS, WINDOW = 8, 64
-#: The sample: so many texts a language at most, so many characters of each, of so many languages, the most frequent.
-SAMPLE_TEXTS, SAMPLE_CHARS, MAX_LANGUAGES = 128, 4096, 256
+#: The sample: so many texts a language at most, and so many characters of each. More languages than that are an error.
+SAMPLE_TEXTS, SAMPLE_CHARS, MAX_LANGUAGES = 128, 4096, 4096
 #: Training: windows in a step, steps, and the step size at the start.
 BATCH, STEPS, RATE, SEED = 512, 260, 0.03, 20
 #: Windows that are read at a time.
@@ -93,7 +93,7 @@ class Network:
             state = self.forward.step(windows[t, : live[t]], state[:, : live[t]])[0]
             logits.append(self.output[:, :u] @ state + self.bias)
         total = np.zeros((len(self.languages), n), np.float32)
-        labels = np.zeros(windows.shape, np.uint8)
+        labels = np.zeros(windows.shape, np.uint16)
         state = np.zeros((u, 0), np.float32)
         for t in range(len(windows) - 1, -1, -1):
             if state.shape[1] < live[t]:
@@ -177,7 +177,7 @@ def train(texts: list[bytes], labels: list[str], units: int = UNITS, steps: int
     parameters = network.parameters()
     first, second = [np.zeros_like(p) for p in parameters], [np.zeros_like(p) for p in parameters]
     for step in range(1, steps + 1):
-        target = np.arange(batch) % len(languages)
+        target = (np.arange(batch) + (step - 1) * batch) % len(languages)
         starts = [int(rng.integers(0, len(tracks[y]) - window)) for y in target]
         windows = np.stack([tracks[y][s : s + window] for y, s in zip(target, starts, strict=True)], axis=1)
         _, gradients = network.loss_and_gradients(windows, target)
@@ -237,8 +237,10 @@ def training_sample(docs: DataFrame, key: str = "doc_id", text: str = "text", la
     rows = rows.select(F.col(label).cast("string").alias("label"), hash_.alias("hash"), F.col(text).alias("text"))
     rows = rows.withColumn("bucket", F.pmod("hash", F.lit(SAMPLE_TEXTS)))
     buckets = rows.groupBy("label", "bucket").agg(F.min("hash").alias("least"), F.count("*").alias("rows")).persist()
-    languages = [r["label"] for r in buckets.groupBy("label").agg(F.sum("rows").alias("rows")).orderBy(F.desc("rows"), "label").limit(MAX_LANGUAGES).collect()]
-    least = F.broadcast(buckets.filter(F.col("label").isin(languages)).select(F.col("label").alias("l"), F.col("least").alias("h")))  # SAMPLE_TEXTS * MAX_LANGUAGES rows at most
+    languages = buckets.select("label").distinct().count()
+    if languages > MAX_LANGUAGES:
+        raise ValueError(f"{languages} languages are more than one network is meant for ({MAX_LANGUAGES})")
+    least = F.broadcast(buckets.select(F.col("label").alias("l"), F.col("least").alias("h")))  # SAMPLE_TEXTS * MAX_LANGUAGES rows at most
     start = F.greatest(F.lit(1), F.pmod(F.col("hash"), F.greatest(F.lit(1), F.length("text") - SAMPLE_CHARS)) + 1).cast("int")
     found = rows.join(least, (F.col("label") == F.col("l")) & (F.col("hash") == F.col("h")))
     # rows of one key share a hash: one of them is enough

@@ -49,7 +49,9 @@ def _jump_column(shards: int):
 
 
 def with_shard(df: DataFrame, key: str, shards: int, out: str = "shard") -> DataFrame:
-    """``df`` with the shard of each row. Equal keys, nulls included, share a shard; other columns don't matter."""
+    """``df`` with the shard of each row. Equal keys, nulls included, share a shard; a column named ``out`` is an error."""
+    if out.lower() in (c.lower() for c in df.columns):
+        raise ValueError(f"there is a column {out} already")
     return df.withColumn(out, _jump_column(shards)(F.xxhash64(F.col(key))))
 
 
@@ -60,7 +62,8 @@ def shard_rows(df: DataFrame, scratch: Scratch, key: str = "doc_id", text: str =
     number the rows of a shard from 0 without gaps: rows are dealt into runs of about ``run_rows``, sorted
     within each, and each run begins where the one before it ends, so no shard is ever in one task. The
     rows are written first, so a repeated task numbers the same runs. Repeated rows have slots of their own;
-    a null key is a key like any other; an empty table gives an empty one.
+    a null key is a key like any other; rows that tie in key and text take any order; only the sizes and checksums
+    of texts are kept, however long they are; an empty table gives an empty one; other columns aren't read.
     """
     bytes_ = F.coalesce(F.encode(F.col(text), "UTF-8"), F.lit(b""))
     rows = df.select(

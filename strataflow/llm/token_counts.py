@@ -7,8 +7,9 @@ without a merge leaves the arrays, and its surviving symbols are its tokens.
 
 from __future__ import annotations
 
+import functools
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ._columns import found_path
+
 #: Fixed value: the pre-token pattern of byte-level tokenizer files with "use_regex".
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Counts of pre-tokens that a worker keeps; beyond it the cache starts anew. Results don't depend on it.
@@ -152,17 +155,19 @@ class TokenCounter:
 _loaded: dict[str, TokenCounter] = {}
 
 
-def token_counts(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", limit: int = TOKEN_LIMIT) -> DataFrame:
+def token_counts(df: DataFrame, path: str | Callable[[], str], key: str = "doc_id", text: str = "text", limit: int = TOKEN_LIMIT) -> DataFrame:
     """key, n_bytes, n_tokens, over_limit of each row of ``df``.
 
     A null text counts as empty (0 bytes, 0 tokens, not over the limit). Repeated rows give repeated results,
-    an empty table an empty one; other columns aren't read. A whole text is counted, however long.
+    an empty table an empty one; other columns aren't read. A whole text is counted, however long. ``path`` is
+    that of the tokenizer's file on every worker, or a function that a worker calls for it.
     """
     schema = T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("over_limit", T.BooleanType())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _loaded.setdefault(path, None) or TokenCounter(path)
-        _loaded[path] = counter
+        file = found_path(path)
+        counter = _loaded.setdefault(file, None) or TokenCounter(file)
+        _loaded[file] = counter
         for batch in batches:
             step = max(1, int(batch.num_rows * BATCH_BYTES / max(BATCH_BYTES, batch.column(text).nbytes)))
             for at in range(0, batch.num_rows, step):
@@ -178,4 +183,4 @@ def token_counts(df: DataFrame, path: str, key: str = "doc_id", text: str = "tex
 def documents_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return token_counts(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_counts(spark.read.parquet(f"{sf_dir}/documents.parquet"), functools.partial(public_tokenizers.path, "byte_bpe_50k.json"))

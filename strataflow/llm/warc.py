@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
+import urllib.parse
 import uuid
 from collections.abc import Iterator
 
@@ -46,19 +47,21 @@ def record(page: str | None, url: str | None, payload: bytes, digest: str, refer
     """One record; with ``refers_to`` a revisit, which keeps the HTTP head and leaves the payload out."""
     http = _head([("Content-Type", "text/html; charset=utf-8"), ("Content-Length", str(len(payload)))], "HTTP/1.1 200 OK")
     block = http if refers_to is not None else http + payload
-    lines = [("WARC-Type", "response" if refers_to is None else "revisit"), ("WARC-Record-ID", _record_id(page)), ("WARC-Date", RECORD_DATE)]
+    lines = [("WARC-Type", "response" if refers_to is None else "revisit"), ("WARC-Record-ID", _record_id(page, url, digest)), ("WARC-Date", RECORD_DATE)]
     if url is not None:
         lines.append(("WARC-Target-URI", _plain(url)))
     if page is not None:
-        lines.append(("X-Page", _plain(page)))
+        lines.append(("X-Page", urllib.parse.quote(page)))
     if refers_to is not None:
-        lines += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", _record_id(refers_to)), ("X-Refers-To-Page", _plain(refers_to))]
+        lines += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", _record_id(refers_to)), ("X-Refers-To-Page", urllib.parse.quote(refers_to))]
     lines += [("WARC-Payload-Digest", f"sha256:{digest}"), ("Content-Type", "application/http;msgtype=response"), ("Content-Length", str(len(block)))]
     return _head(lines, "WARC/1.1") + block + b"\r\n\r\n"
 
 
-def _record_id(page: str | None) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page}') if page is not None else uuid.uuid4()}>"
+def _record_id(page: str | None, url: str | None = None, digest: str = "") -> str:
+    """From the page's key, or without one from what is known of it, so that a repeated task names records alike."""
+    seed = f"page:{page}" if page is not None else f"no page:{url}:{digest}"
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, seed)}>"
 
 
 def _info(name: str) -> bytes:
@@ -131,7 +134,8 @@ def _described(raw: bytes) -> tuple[str | None, int, str, str, str | None] | Non
     digest = headers["WARC-Payload-Digest"].removeprefix("sha256:")
     if kind == "response" and (len(payload) != size or hashlib.sha256(payload).hexdigest() != digest):
         raise ValueError(f"the payload of {headers['WARC-Record-ID']} isn't what was archived")
-    return headers.get("X-Page"), size, digest, kind, headers.get("X-Refers-To-Page")
+    page, refers = (None if x is None else urllib.parse.unquote(x) for x in (headers.get("X-Page"), headers.get("X-Refers-To-Page")))
+    return page, size, digest, kind, refers
 
 
 def _with_originals(pages: DataFrame, scratch: Scratch, key: str, url: str, html: str) -> DataFrame:
@@ -149,7 +153,8 @@ def _with_originals(pages: DataFrame, scratch: Scratch, key: str, url: str, html
 def write_archives(pages: DataFrame, scratch: Scratch, folder: str, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Writes a record for each row of ``pages`` under ``folder``; returns path, records, bytes of each archive.
 
-    A null html is an empty payload. Of rows with equal payloads of REVISIT_BYTES or more, the one with the
+    A null html is an empty payload; keys of any type come back as they were; texts may be as long as memory for
+    one record allows, and other columns aren't read, whatever their names. Of rows with equal payloads of REVISIT_BYTES or more, the one with the
     least key is the response and the others revisit it; rows that tie for the least key are all responses,
     and where every key of a group is null all are. An archive is written by one task under a name of its
     own and counts only once its row is in the returned table, so a task that is lost or repeated leaves at

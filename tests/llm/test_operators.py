@@ -415,6 +415,9 @@ PRINTED = {
     "without any warranty without even": "WITHOUT ANY WARRANTY; without even",
     "mozilla public license v 2.0": "Mozilla Public License, v. 2.0",
     "spdx-license-identifier ": "SPDX-License-Identifier: ",
+    "at https www.eclipse.org legal epl-2.0": "at https://www.eclipse.org/legal/epl-2.0/",
+    "at https mozilla.org mpl 2.0": "at https://mozilla.org/MPL/2.0/",
+    "all rights reserved this program": "All rights reserved. This program",
 }
 
 
@@ -437,7 +440,67 @@ def test_licence_headers_with_cuts_inside(spark):
     gpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU General Public License for more details."
     rows = [(1, "// SPDX-License-Identifier: MIT\nint main;"), (2, gpl), (3, "SPDX-License-Identifier:\n\nMIT\n"), (4, "Not so: licensed under CC BY 4.0.")]
     got = {r["doc_id"]: (r["sentence_ids"], r["licences"]) for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {1: ("MITspdx", "MIT"), 2: ("GPL3plus,GPLhope,GPLsee", "GPL-3.0-or-later"), 3: ("", ""), 4: ("CCBY4ref", "CC-BY-4.0")}
+    assert got == {1: ("SPDX-MIT", "MIT"), 2: ("GPL3plus,GPLhope,GPLsee", "GPL-3.0-or-later"), 3: ("", ""), 4: ("CCBY4ref", "CC-BY-4.0")}
+
+
+def plain_licences(text):
+    """(identifiers, licences, sentences that no rule took), piece by piece and rule by rule."""
+    def normal(x):
+        x = re.sub(r"[^a-z0-9.+\-\x80-\U0010ffff]+", " ", x.lower())
+        return " ".join(y for w in x.split(" ") if (y := w.strip(".+-")))
+
+    paragraphs, at = [[]], 0
+    for line in re.split("\r?\n", text or ""):
+        line = re.sub(r"^[ \t]*(?:#+|//+|/?\*+/?|;+|--)[ \t]*", "", line)
+        if line.strip(" ") == "":
+            paragraphs.append([])
+        elif normal(line) in licences.SENTENCES:
+            paragraphs += [[line], []]
+        else:
+            paragraphs[-1].append(line)
+    ids = []
+    for lines in paragraphs:
+        pieces = [p for x in re.split(r"(?<=[.!?:;])[ \t\r\x0b\f\n]+", " ".join(lines)) if (p := normal(x))]
+        at = 0
+        while at < len(pieces):
+            for end in range(len(pieces), at, -1):
+                if (found := licences.SENTENCES.get(" ".join(pieces[at:end]))) is not None:
+                    ids.append(found)
+                    break
+            else:
+                end = at + 1
+            at = end
+    rest, names = list(ids), set()
+    for run, name in licences.RULES:
+        i = 0
+        while i + len(run) <= len(rest):
+            if tuple(rest[i : i + len(run)]) == run:
+                rest[i : i + len(run)] = [None]
+                names.add(name)
+            i += 1
+    return ids, sorted(names), sum(x is not None for x in rest)
+
+
+def test_licences_equal_a_plain_matcher(spark):
+    rng = random.Random(6)
+    known = [printed(s) for s in licences.SENTENCES]
+    fillers = ["Some words.", "\n", "\n\n", " ", "// ", "Note: ", "licence;", "and so on", "\r\n", "# "]
+    texts = ["".join(rng.choice(known if rng.random() < 0.5 else fillers) + rng.choice([".", ". ", "\n", "; ", ""]) for _ in range(rng.randint(1, 14))) for _ in range(800)]
+    mit, apache = [printed(next(s for s, n in licences.SENTENCES.items() if n == x)) for x in ("MITgrant", "MITnotice")], [printed(next(s for s, n in licences.SENTENCES.items() if n == x)) for x in ("Apache2ref", "ApacheMayNot")]
+    texts += [f"{apache[0]}.\n{mit[0]}.\n{mit[1]}.\n{apache[1]}.", None, "", "x" * 100_000 + "\nAll rights reserved."]
+    got = {r["doc_id"]: r for r in licences.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, t in enumerate(texts):
+        ids, names, rest = plain_licences(t)
+        r = got[i]
+        assert (r["sentence_ids"], r["licences"], r["n_sentences"], r["n_unmatched"]) == (",".join(ids), ",".join(names), len(ids), rest), t
+
+
+@pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.01"])
+def test_licence_query_equals_a_plain_matcher(spark, sf):
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    got = {r["doc_id"]: (r["sentence_ids"], r["licences"], r["n_unmatched"]) for r in queries.queries()["op9_licences"](spark, sf).collect()}
+    found = {i: plain_licences(t) for i, t in rows}
+    assert got == {i: (",".join(x), ",".join(y), z) for i, (x, y, z) in found.items()} and sum(z[1] != [] for z in found.values()) > 0
 
 
 def test_licence_hints_pass_every_sentence(spark):
