@@ -1,7 +1,10 @@
 """Benchmark decontamination with DataFrame operations only.
 
-The benchmark's word windows form a small hash table. Each document's windows are hashed, probed, and every
-hit is verified word by word; then hit spans or whole documents go.
+The benchmark's word windows form a small hash table, with the items that hold each. Each document's windows are
+hashed, probed, and every hit is verified word by word; then hit spans or whole documents go.
+
+The table is broadcast where it is measured to be small. A larger one meets the windows in a shuffle of their
+hashes and places alone: the words come in again for the few documents with a hash hit.
 """
 
 from __future__ import annotations
@@ -10,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._columns import fresh, lower_ascii
+from ._scratch import Scratch
 
 #: Words of a window; an item of fewer is one window of all its words.
 WINDOW = 10
@@ -18,6 +22,10 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: The window table is broadcast up to so many bytes; a larger one is joined by a shuffle.
 BROADCAST_BYTES = 48 << 20
+#: A window's hash is dealt to so many tasks in that shuffle, as a passage may occur in a third of all documents.
+SALTS = 16
+#: Documents with hits are broadcast by their keys up to so many; more are joined by a shuffle.
+BROADCAST_KEYS = 1 << 20
 
 
 def words(text: Column) -> Column:
@@ -36,13 +44,13 @@ def _windows(words_: Column, length: int) -> Column:
 
 
 def benchmark_windows(items: DataFrame, item: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """hash, length, words, item of each distinct window and item. Items without words have none."""
+    """hash, length, run, items of each distinct window. Items without words have none; a null item isn't listed."""
     w = F.col("words")
     made = items.select(F.col(item).alias("item"), words(F.col(text)).alias("words")).filter(F.size("words") > 0)
     made = made.withColumn("length", F.least(F.size("words"), F.lit(window)))
     made = made.withColumn("place", F.explode(F.sequence(F.lit(1), F.size("words") - F.col("length") + 1)))
     run = F.slice(w, F.col("place"), F.col("length"))
-    return made.select(F.xxhash64(run).alias("hash"), "length", run.alias("run"), "item").distinct()
+    return made.select("length", run.alias("run"), "item").groupBy("length", "run").agg(F.collect_set("item").alias("items")).withColumn("hash", F.xxhash64("run"))
 
 
 def _identity(key: str, text: str) -> list[Column]:
@@ -50,44 +58,51 @@ def _identity(key: str, text: str) -> list[Column]:
     return [F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("mark"), F.crc32(F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")).alias("mark2")]
 
 
-def find_hits(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def find_hits(docs: DataFrame, items: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """key, mark, mark2, places (word numbers from 1 inside hits, ascending), items (distinct, not null) of each text with a hit.
 
-    Two things are measured on the benchmark first: its window lengths (``window`` at most) and the bytes of
-    its window table, which is broadcast only up to ``broadcast_bytes``.
+    The benchmark's window table is written first and measured: its window lengths (``window`` at most) and its
+    bytes, which are broadcast only up to ``broadcast_bytes``.
     """
-    table = benchmark_windows(items, item, item_text, window)
+    table = scratch.table(benchmark_windows(items, item, item_text, window), "windows")
     lengths = {}
-    for row in table.groupBy("length").agg(F.sum(F.length(F.concat_ws(" ", "run")) * 2 + 64).alias("bytes")).collect():  # a row for each length
+    size = F.length(F.concat_ws(" ", "run")) * 2 + 64 + F.size("items") * 16
+    for row in table.groupBy("length").agg(F.sum(size).alias("bytes")).collect():  # a row for each length
         lengths[row["length"]] = row["bytes"]
-    found = docs.select(*_identity(key, text), words(F.col(text)).alias("words"))
+    texts = docs.select(*_identity(key, text), words(F.col(text)).alias("words"))
     w = F.col("words")
     arrays = [_windows(w, n) for n in sorted(lengths, reverse=True)] or [_windows(w, window)]
     # the outer form, as a filter inferred from the inner one would cut the words anew for each window
-    probes = found.withColumn("windows", F.concat(*arrays)).select("key", "mark", "mark2", "words", F.inline_outer("windows"))
-    table = table.select(F.col("hash").alias("b_hash"), F.col("run").alias("b_run"), "item")
+    probes = texts.withColumn("windows", F.concat(*arrays)).select("key", "mark", "mark2", "words", F.inline_outer("windows"))
+    table = table.select(F.col("hash").alias("b_hash"), F.col("run").alias("b_run"), "items")
     run = F.slice(w, F.col("place"), F.col("length"))
+    # two comparisons make the word by word check a condition on hash hits; an equality would become a join key of every window
+    verified = (run >= F.col("b_run")) & (run <= F.col("b_run"))
     if sum(lengths.values()) <= broadcast_bytes:
-        table = F.broadcast(table)
+        hits = probes.join(F.broadcast(table), (F.col("hash") == F.col("b_hash")) & verified).select("key", "mark", "mark2", "place", "length", "items")
     else:
-        probes = probes.select("key", "mark", "mark2", "place", "length", "hash", run.alias("words"))
-        run, table = w, table.hint("merge")
-    # two comparisons make the word by word check a condition on hash hits; an equality would become a join key of every window
-    same = (F.col("hash") == F.col("b_hash")) & (run >= F.col("b_run")) & (run <= F.col("b_run"))
-    hits = probes.join(table, same).select("key", "mark", "mark2", "place", "length", "item")
+        probes = probes.select("key", "mark", "mark2", "place", "length", "hash", F.pmod("mark", F.lit(SALTS)).alias("salt"))
+        salted = table.withColumn("b_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))).hint("merge")
+        maybe = scratch.table(probes.join(salted, (F.col("hash") == F.col("b_hash")) & (F.col("salt") == F.col("b_salt"))).select("key", "mark", "mark2", "place", "length", "b_run", "items"), "maybe")
+        keys = scratch.broadcast_if_small(scratch.table(maybe.select(F.col("key").alias("m_key"), F.col("mark").alias("m_mark"), F.col("mark2").alias("m_mark2")).distinct(), "keys"), BROADCAST_KEYS)
+        own = F.col("key").eqNullSafe(F.col("m_key")) & F.col("mark").eqNullSafe(F.col("m_mark")) & (F.col("mark2") == F.col("m_mark2"))
+        again = docs.select(*_identity(key, text), F.col(text).alias("text")).join(keys, own, "left_semi").dropDuplicates(["key", "mark", "mark2"])
+        again = again.select(F.col("key").alias("m_key"), F.col("mark").alias("m_mark"), F.col("mark2").alias("m_mark2"), words(F.col("text")).alias("words"))
+        hits = maybe.join(again, own).filter(verified).select("key", "mark", "mark2", "place", "length", "items")
     spans = F.transform(F.collect_set(F.struct("place", "length")), lambda x: F.sequence(x["place"], x["place"] + x["length"] - 1))
-    return hits.groupBy("key", "mark", "mark2").agg(F.array_sort(F.array_distinct(F.flatten(spans))).alias("places"), F.collect_set("item").alias("items"))
+    found = hits.groupBy("key", "mark", "mark2").agg(F.array_sort(F.array_distinct(F.flatten(spans))).alias("places"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
+    return scratch.table(found, "hits")
 
 
-def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """key, n_words, n_hit, n_items, items_sha256, contaminated of each row of ``docs``.
 
-    A null or empty text has no words and no hits. Repeated documents each have their row; repeated items
-    count once; windows of an item without id hit, but no item is counted for them. Empty tables are fine on
-    either side. Other columns aren't read.
+    A null or empty text has no words and no hits; texts count whole, however long. Repeated documents each have
+    their row; repeated items count once, and where several items share a window each counts; windows of an item
+    without id hit, but no item is counted for them. Empty tables are fine on either side. Other columns aren't read.
     """
+    hits = scratch.broadcast_if_small(find_hits(docs, items, scratch, key, text, **options), BROADCAST_KEYS)
     rows = docs.select(*_identity(key, text), F.size(words(F.col(text))).cast("long").alias("n_words"))
-    hits = find_hits(docs, items, key, text, **options)
     ids = F.array_sort(F.transform(F.coalesce(F.col("h.items"), F.array().cast("array<string>")), lambda x: x.cast("string")))
     same = F.col("r.key").eqNullSafe(F.col("h.key")) & F.col("r.mark").eqNullSafe(F.col("h.mark")) & (F.col("r.mark2") == F.col("h.mark2"))
     n_hit = F.when(F.col("h.places").isNull(), F.lit(0)).otherwise(F.size("h.places")).cast("long")
@@ -101,18 +116,21 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     )
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", remove: str = "documents", **options) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text", remove: str = "documents", **options) -> DataFrame:
     """``docs`` without contaminated documents, or (remove="spans") with the hit words cut out of their texts.
 
-    Columns and their order stay. A cut span leaves one blank; rows without hits keep their very text.
+    Columns and their order stay. A cut span leaves one blank; rows without hits keep their very text. The hits are
+    found and counted first, so that documents stay where they are unless very many are hit; only the hits outlive
+    ``scratch``.
     """
     if remove not in ("documents", "spans"):
         raise ValueError("remove is either 'documents' or 'spans'")
-    hits = find_hits(docs, items, key, text, **options)
     names = {n: fresh(docs.columns, f"_{n}") for n in ("key", "mark", "mark2", "places")}
+    hits = find_hits(docs, items, scratch, key, text, **options)
+    kept = ("key", "mark", "mark2") if remove == "documents" else ("key", "mark", "mark2", "places")
+    hits = scratch.broadcast_if_small(scratch.publish(hits.select(*(F.col(n).alias(names[n]) for n in kept))), BROADCAST_KEYS).alias("h")
     marks = [c.alias(names[n]) for c, n in zip(_identity(key, text), ("key", "mark", "mark2"), strict=True)]
     rows = docs.select("*", *marks[1:]).alias("r")
-    hits = hits.select(F.col("key").alias(names["key"]), F.col("mark").alias(names["mark"]), F.col("mark2").alias(names["mark2"]), F.col("places").alias(names["places"])).alias("h")
     same = F.col(f"r.`{key}`").eqNullSafe(F.col(f"h.{names['key']}")) & F.col(f"r.{names['mark']}").eqNullSafe(F.col(f"h.{names['mark']}")) & (F.col(f"r.{names['mark2']}") == F.col(f"h.{names['mark2']}"))
     if remove == "documents":
         return rows.join(hits, same, "left_anti").select(*(F.col(f"r.`{c}`") for c in docs.columns))
@@ -140,7 +158,8 @@ def without_places(parts: Column, places: Column) -> Column:
 
 
 def documents_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    with Scratch(spark, "contamination") as scratch:
+        return scratch.publish(contamination(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), scratch))
 
 
 ORACLE_SQL = r"""

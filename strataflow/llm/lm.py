@@ -30,13 +30,15 @@ from . import _text
 from ._scratch import Scratch
 
 #: Classes (the first is that of words whose counts aren't broadcast, and of unknown ones), and splits in one.
-CLASSES, DEPTH = 32, 13
+CLASSES, DEPTH = 32, 10
 #: Hashed weights of splits: four for each distinct word, between these powers of two; classes have half as many.
 WEIGHT_BITS_LEAST, WEIGHT_BITS_MOST = 16, 21
 #: The prior of a class that no word has.
 UNUSED = -30.0
 #: Rounds of training, the size of an update, and what is added to the counts that a gradient is measured by.
 ROUNDS, RATE, SMOOTHING = 2, 0.65, 5.0
+#: Units of a gradient; a task's sum of one weight may reach 2**31 of them.
+FIXED = 1 << 10
 #: Tokens handled at a time.
 STEP_TOKENS = 1 << 14
 #: Tokens that a training task should have at least, as each sends sums for all weights, and bounds of the tasks.
@@ -179,6 +181,7 @@ class MaxEnt:
 
     def __init__(self, vocabulary: Vocabulary, by_class: np.ndarray, by_split: np.ndarray):
         self.vocabulary, self.by_class, self.by_split = vocabulary, by_class, by_split
+        self.log_groups = np.log(np.maximum(vocabulary.groups, 1e-9)).astype(np.float32)
         self.row_shift, self.split_shift = _U(64 - (len(by_class).bit_length() - 1)), _U(64 - (len(by_split).bit_length() - 1))
 
     @classmethod
@@ -213,19 +216,22 @@ class MaxEnt:
         scores /= scores.sum(axis=1, keepdims=True)
         return scores
 
-    def splits_of(self, features: list[np.ndarray], classes: np.ndarray, paths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-        """(token, whether it lies in the upper half, score of that half, places of its weights) of all splits of all tokens."""
+    def splits_of(self, features: list[np.ndarray], classes: np.ndarray, paths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]]:
+        """For each level: (tokens that are split there, whether each goes to the upper half, that half's score, places of its weights)."""
         depths = self.vocabulary.depths[classes]
-        token = np.repeat(np.arange(len(classes)), depths)
-        level = np.arange(len(token)) - np.repeat(np.cumsum(depths) - depths, depths)
-        left, path = depths[token] - level, paths[token]
-        split = self.vocabulary.offsets[classes[token]] + ((1 << level) | (path >> left))
-        salt = (split.astype(_U) + _U(1)) * _U(0x9E3779B97F4A7C15)
-        places = [((f[token] ^ salt) * _U(0xC2B2AE3D27D4EB4F) >> self.split_shift).astype(np.int64) for f in features]
-        score = self.vocabulary.splits[split]
-        for x in places:
-            score += self.by_split[x]
-        return token, (path >> (left - 1)) & 1, score, places
+        order = np.argsort(-depths.astype(np.int8), kind="stable")
+        depths, paths, base = depths[order], paths[order], self.vocabulary.offsets[classes[order]]
+        features = [f[order] for f in features]
+        live = np.searchsorted(-depths, -np.arange(1, DEPTH + 1), "right")
+        for level, n in enumerate(live[live > 0].tolist()):
+            left, path = depths[:n] - level, paths[:n]
+            split = base[:n] + ((path >> left) | (1 << level))
+            salt = (split.astype(_U) + _U(1)) * _U(0x9E3779B97F4A7C15)
+            places = [((f[:n] ^ salt) * _U(0xC2B2AE3D27D4EB4F) >> self.split_shift).view(np.int64) for f in features]
+            score = self.vocabulary.splits[split]
+            for x in places:
+                score += self.by_split[x]
+            yield order[:n], (path >> (left - 1)) & 1, score, places
 
     def log_probabilities(self, words: np.ndarray, first: np.ndarray, classes: np.ndarray, paths: np.ndarray) -> np.ndarray:
         """Natural logarithm of the probability of each token's group, divided by the group's smoothed count."""
@@ -235,47 +241,49 @@ class MaxEnt:
             s = slice(lo, lo + STEP_TOKENS)
             part, own = [f[s] for f in features], classes[s]
             found = np.log(np.maximum(self.class_shares(self.class_rows(part))[np.arange(len(own)), own].astype(np.float64), 1e-30))
-            token, upper, score, _ = self.splits_of(part, own, paths[s])
-            against = np.where(upper == 1, -score, score).astype(np.float64)
-            found -= np.bincount(token, weights=np.logaddexp(0, against), minlength=len(own))
-            out[s] = found - np.log(self.vocabulary.groups[self.vocabulary.offsets[own] + paths[s]])
+            for tokens, upper, score, _ in self.splits_of(part, own, paths[s]):
+                against = np.minimum(np.where(upper == 1, -score, score), np.float32(60))
+                found[tokens] -= np.log1p(np.exp(against))
+            out[s] = found - self.log_groups[self.vocabulary.offsets[own] + paths[s]]
         return out
 
 
 class Gradients:
-    """Sums over the texts of one task, at fixed weights: each weight's gradient, and what it is measured by."""
+    """Sums over the texts of one task, at fixed weights: each weight's gradient, and what it is measured by.
+
+    Those of splits lie together in one number, the gradient in the lower and the curvature in the upper half, both
+    in units of 1 / FIXED, so that a weight is fetched once.
+    """
 
     def __init__(self, model: MaxEnt):
         self.model = model
-        self.observed, self.expected = np.zeros(model.by_class.size, np.float32), np.zeros(model.by_class.shape, np.float32)
-        self.split_gradient, self.curvature = np.zeros(len(model.by_split), np.float32), np.zeros(len(model.by_split), np.float32)
+        self.observed, self.expected = np.zeros(model.by_class.size, np.float32), np.zeros(model.by_class.size, np.float32)
+        self.by_split = np.zeros(len(model.by_split), np.int64)
         self.tokens = 0
 
     def add(self, words: np.ndarray, first: np.ndarray, classes: np.ndarray, paths: np.ndarray) -> None:
-        model, features = self.model, MaxEnt.features(words, first)
+        model, features, across = self.model, MaxEnt.features(words, first), np.arange(CLASSES)
         for lo in range(0, len(words), STEP_TOKENS):
             s = slice(lo, lo + STEP_TOKENS)
             part, own = [f[s] for f in features], classes[s]
             rows = model.class_rows(part)
-            shares = model.class_shares(rows)
+            shares = model.class_shares(rows).ravel()
             for r in rows:
-                ordered = np.sort(r * STEP_TOKENS + np.arange(len(r)))
-                at = ordered // STEP_TOKENS
-                starts = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-                self.expected[at[starts]] += np.add.reduceat(np.take(shares, ordered % STEP_TOKENS, axis=0), starts, axis=0)
+                np.add.at(self.expected, (r[:, None] * CLASSES + across).ravel(), shares)
                 np.add.at(self.observed, r * CLASSES + own, np.float32(1))
-            _, upper, score, places = model.splits_of(part, own, paths[s])
-            share = 1 / (1 + np.exp(np.clip(-score, -30, 30)))
-            gradient, curvature = (upper - share).astype(np.float32), (share * (1 - share)).astype(np.float32)
-            for x in places:
-                np.add.at(self.split_gradient, x, gradient)
-                np.add.at(self.curvature, x, curvature)
+            for _, upper, score, places in model.splits_of(part, own, paths[s]):
+                share = 1 / (1 + np.exp(np.clip(-score, -30, 30)))
+                both = np.rint((upper - share) * FIXED).astype(np.int64) + (np.rint(share * (1 - share) * FIXED).astype(np.int64) << 32)
+                for x in places:
+                    np.add.at(self.by_split, x, both)
         self.tokens += len(words)
 
     def sums(self) -> np.ndarray:
         """(2, weights): gradients, and the expected counts of classes and curvatures of splits."""
-        expected = self.expected.ravel()
-        return np.stack((np.concatenate((self.observed - expected, self.split_gradient)), np.concatenate((expected, self.curvature))))
+        gradient = self.by_split.astype(np.int32)  # the lower half, with its sign
+        curvature = (self.by_split - gradient) >> 32
+        as_float = lambda x: (x / FIXED).astype(np.float32)
+        return np.stack((np.concatenate((self.observed - self.expected, as_float(gradient))), np.concatenate((self.expected, as_float(curvature)))))
 
 
 def update(sums: np.ndarray) -> np.ndarray:

@@ -202,24 +202,31 @@ def test_near_copies(spark, monkeypatch, block):
 
 def test_decontamination_forms(spark):
     docs, items = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
-    want = sorted(map(tuple, decontaminate.contamination(docs, items).collect()))
-    assert sorted(map(tuple, decontaminate.contamination(docs, items, broadcast_bytes=0).collect())) == want
-    dirty = {r[0] for r in want if r[5]}
-    assert dirty
-    left = decontaminate.decontaminate(docs, items)
-    assert left.columns == docs.columns and {r["doc_id"] for r in left.collect()} == {r[0] for r in want} - dirty
-    cut = decontaminate.decontaminate(docs, items, remove="spans")
-    assert cut.count() == docs.count() and decontaminate.contamination(cut, items).agg(F.sum("n_hit")).first()[0] == 0
-
-
-def test_short_items_and_cut_spans(spark):
-    docs = spark.createDataFrame([(1, "See: Hello, World! Bye."), (2, "hello there world"), (3, None)], "doc_id long, text string")
-    items = spark.createDataFrame([(10, "HELLO world"), (9, "?!"), (11, None), (10, "HELLO world"), (None, "bye")], "item_id long, text string")
-    got = {r["doc_id"]: r for r in decontaminate.contamination(docs, items).collect()}
-    assert (got[1]["n_words"], got[1]["n_hit"], got[1]["n_items"]) == (4, 3, 1) and got[1]["items_sha256"] == hashlib.sha256(b"10").hexdigest()
-    assert not got[2]["contaminated"] and got[3]["n_words"] == 0 and got[3]["items_sha256"] == hashlib.sha256(b"").hexdigest()
-    texts = {r["doc_id"]: r["text"] for r in decontaminate.decontaminate(docs, items, remove="spans").collect()}
-    assert texts[2] == "hello there world" and texts[3] is None and "Hello" not in texts[1] and texts[1].startswith("See")
+    with Scratch(spark, "t") as scratch:
+        want = sorted(map(tuple, decontaminate.contamination(docs, items, scratch).collect()))
+        assert sorted(map(tuple, decontaminate.contamination(docs, items, scratch, broadcast_bytes=0).collect())) == want
+        dirty = {r[0] for r in want if r[5]}
+        assert dirty
+        for options in ({}, {"broadcast_bytes": 0}):
+            left = decontaminate.decontaminate(docs, items, scratch, **options)
+            assert left.columns == docs.columns and {r["doc_id"] for r in left.collect()} == {r[0] for r in want} - dirty
+        cut = decontaminate.decontaminate(docs, items, scratch, remove="spans")
+        assert cut.count() == docs.count() and decontaminate.contamination(cut, items, scratch).agg(F.sum("n_hit")).first()[0] == 0
+
+
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0}])
+def test_short_items_and_cut_spans(spark, options):
+    docs = spark.createDataFrame([(1, "See: Hello, World! Bye."), (2, "hello there world"), (3, None), (1, "again hello world"), (None, "hello world")], "doc_id long, text string")
+    items = spark.createDataFrame([(10, "HELLO world"), (9, "?!"), (11, None), (10, "HELLO world"), (None, "bye"), (12, "hello, world")], "item_id long, text string")
+    with Scratch(spark, "t") as scratch:
+        got = {(r["doc_id"], r["n_words"]): r for r in decontaminate.contamination(docs, items, scratch, **options).collect()}
+        texts = {(r["doc_id"], r["text"]) for r in decontaminate.decontaminate(docs, items, scratch, remove="spans", **options).collect()}
+        left = decontaminate.decontaminate(docs, items, scratch, **options).collect()
+    assert got[1, 4]["n_hit"] == 3 and got[1, 4]["n_items"] == 2 and got[1, 4]["items_sha256"] == hashlib.sha256(b"10,12").hexdigest()
+    assert got[1, 3]["n_hit"] == got[None, 2]["n_hit"] == 2
+    assert not got[2, 3]["contaminated"] and got[3, 0]["items_sha256"] == hashlib.sha256(b"").hexdigest()
+    assert (2, "hello there world") in texts and (3, None) in texts and not any("Hello" in (t or "") for _, t in texts) and any(t and t.startswith("See") for _, t in texts)
+    assert sorted(str(r["doc_id"]) for r in left) == ["2", "3"]
 
 
 def test_warc(spark):
@@ -519,7 +526,7 @@ def test_licence_queries_find_planted_lines(spark, docs):
 OPERATORS = {
     "quality": lambda s, d, x: quality.judge(d, s.createDataFrame([(4, 1, 0), (None, None, 1)], "doc_id long, quality int, toxic int"), x),
     "language": lambda s, d, x: langid.identify(d),
-    "decontamination": lambda s, d, x: decontaminate.contamination(d, s.createDataFrame([(1, "word"), (2, None), (None, "long long")], "item_id long, text string")),
+    "decontamination": lambda s, d, x: decontaminate.contamination(d, s.createDataFrame([(1, "word"), (2, None), (None, "long long")], "item_id long, text string"), x),
     "near_copies": lambda s, d, x: jaccard.near_copies(d, x),
     "sharding": lambda s, d, x: sharding.shard_rows(d, x),
     "token_counts": lambda s, d, x: token_counts.token_counts(d, P.path("byte_bpe_50k.json")),
