@@ -207,8 +207,9 @@ class MaxEnt:
 
     def class_shares(self, rows: list[np.ndarray]) -> np.ndarray:
         """The probability of each class, (tokens, CLASSES)."""
-        scores = np.take(self.by_class, rows[0], axis=0)
-        for r in rows[1:]:
+        # an array of numpy's own type: what pickled weights are made into isn't, and ufunc.at is slow with it
+        scores = np.zeros((len(rows[0]), CLASSES), np.float32)
+        for r in rows:
             scores += np.take(self.by_class, r, axis=0)
         scores += self.vocabulary.class_prior
         scores -= scores.max(axis=1, keepdims=True)
