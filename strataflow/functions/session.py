@@ -8,10 +8,12 @@ from pyspark.sql import SparkSession
 
 
 def ensure_checkpoints(spark: SparkSession) -> None:
-    """Checkpoints go where spark.checkpoint.dir says; a folder of our own serves where that is unset (local runs)."""
+    """Checkpoints go where spark.checkpoint.dir says; a folder of our own serves where that is unset, in local runs only."""
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="strataflow-"))
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,3 +59,33 @@ def sorted_tokens(x: Column) -> Column:
 def can_reach(a: Column, b: Column, least: float) -> Column:
     """False where the lengths alone keep the ratio under ``least``: a native filter before ``similarity``."""
     return 200.0 * F.least(F.length(a), F.length(b)) >= least * (F.length(a) + F.length(b))
+
+
+def letters(x: Column) -> Column:
+    """A set of 64 bits of the characters of a text."""
+    return F.aggregate(F.split(x, ""), F.lit(0).cast("long"), lambda bits, c: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(c) % 64)))
+
+
+def letters_can_reach(a: Column, b: Column, a_letters: Column, b_letters: Column, least: float) -> Column:
+    """False where the characters that only one text has keep the ratio under ``least``: each costs a deletion at least."""
+    apart = F.bit_count(a_letters.bitwiseXOR(b_letters))
+    return 100.0 * apart <= (100.0 - least) * (F.length(a) + F.length(b))
+
+
+def similar_pairs(left: DataFrame, right: DataFrame, a: str, b: str, least: float, keys: list[str] = (), where: Column | None = None) -> DataFrame:
+    """Pairs of rows of equal ``keys`` with ratio(a, b) >= ``least``, and the ratio as ``ratio``. No such pair is lost.
+
+    Two texts that are similar enough differ in length by a bounded factor, so texts meet by the logarithm of
+    their length: a left row looks into its own bucket and both neighbours, which is a hash join. Lengths and
+    characters are compared natively before the subsequence is searched. Rows should be distinct in what they
+    compare; columns of both sides must differ but for ``keys``. Empty texts equal only each other.
+    """
+    factor = (200.0 - least) / least  # the longer of two similar texts has so many times the other's length at most
+    bucket = lambda c: F.when(F.length(c) == 0, F.lit(-9).cast("long")).otherwise(F.floor(F.log(F.length(c).cast("double")) / F.lit(math.log(factor) if factor > 1 else 1e-9) + 1e-9).cast("long"))
+    left = left.withColumns({"_a_letters": letters(F.col(a)), "_bucket": F.explode(F.array(*(bucket(F.col(a)) + i for i in (-1, 0, 1))))})
+    right = right.withColumns({"_b_letters": letters(F.col(b)), "_bucket": bucket(F.col(b))})
+    pairs = left.join(right, [*keys, "_bucket"])
+    if where is not None:
+        pairs = pairs.filter(where)
+    pairs = pairs.filter(can_reach(F.col(a), F.col(b), least) & letters_can_reach(F.col(a), F.col(b), F.col("_a_letters"), F.col("_b_letters"), least))
+    return pairs.withColumn("ratio", similarity(a, b)).filter(F.col("ratio") >= least).drop("_bucket", "_a_letters", "_b_letters")

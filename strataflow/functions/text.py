@@ -22,7 +22,7 @@ INCOMPATIBLE_FACTOR = 0.5
 
 
 def collapse(x: Column) -> Column:
-    return F.trim(F.regexp_replace(x, r"\s+", " "))
+    return F.trim(F.regexp_replace(x, r"(?U)\s+", " "))
 
 
 def comparable(x: Column) -> Column:
@@ -33,7 +33,7 @@ def comparable(x: Column) -> Column:
 
 def well_name(x: Column) -> Column:
     """Upper case, N for Ñ, only letters, digits, underscores, blanks and - . ( ) /, the last as -."""
-    plain = F.regexp_replace(F.regexp_replace(F.upper(x), "Ñ", "N"), r"[^\w\s\-.()/]", "")
+    plain = F.regexp_replace(F.regexp_replace(F.upper(x), "Ñ", "N"), r"(?U)[^\w\s\-.()/]", "")
     return collapse(F.regexp_replace(plain, "/", "-"))
 
 
@@ -105,15 +105,61 @@ def category_factor(a: Column, b: Column) -> Column:
 
 
 def name_parts(x: Column) -> Column:
-    """struct(code, number, suffix, field) of a well name; all null where no form fits."""
+    """struct(code, number, suffix, field) of a well name; all null where no form fits.
+
+    Forms in order: FIELD.code-number, CODE-number, and the last word before a number, each with an optional letter
+    behind it. A code of four letters loses the last where a letter follows; of a long dotted one the last part counts.
+    """
     dotted, plain = r"([A-Z]+)\.([a-zA-Z]+)[\s\-]+(\d+)(?:[(\s\-/]*([A-Z]))?", r"([A-Z.\-]+)[\s\-]+(\d+)(?:[(\s\-/]*([A-Z]))?"
+    last_word = r"([A-Z]+)[\s\-]+(\d+)(?:.*[(]([A-Z])[)])?.*"
     get = lambda pattern, i: F.nullif(F.regexp_extract(x, pattern, i), F.lit(""))
-    code, suffix = F.replace(get(plain, 1), F.lit("-"), F.lit("")), get(plain, 3)
+    code, suffix = F.replace(F.regexp_extract(x, plain, 1), F.lit("-"), F.lit("")), get(plain, 3)
     code = F.when((F.length(code) == 4) & suffix.isNotNull(), F.substring(code, 1, 3)).when((F.length(code) > 6) & F.contains(code, F.lit(".")), F.substring_index(code, ".", -1)).otherwise(code)
-    is_dotted = x.rlike(dotted)
+    is_dotted, is_plain, is_last = x.rlike(dotted), x.rlike(plain), x.rlike(last_word)
+    pick = lambda a, b, c: F.when(is_dotted, a).when(is_plain, b).when(is_last, c)
     return F.struct(
-        F.when(is_dotted, F.upper(get(dotted, 2))).otherwise(code).alias("code"),
-        F.when(is_dotted, get(dotted, 3)).otherwise(get(plain, 2)).alias("number"),
-        F.when(is_dotted, get(dotted, 4)).otherwise(suffix).alias("suffix"),
+        pick(F.upper(get(dotted, 2)), code, get(last_word, 1)).alias("code"),
+        pick(get(dotted, 3), get(plain, 2), get(last_word, 2)).alias("number"),
+        pick(get(dotted, 4), suffix, get(last_word, 3)).alias("suffix"),
         F.when(is_dotted, get(dotted, 1)).alias("field"),
     )
+
+
+def has_suffix(well: Column) -> Column:
+    """Whether a well's name ends with a letter or has one in brackets."""
+    return F.contains(well, F.lit("(")) | F.translate(well, "- ", "").rlike("[A-Z]$")
+
+
+def without_half(x: Column) -> Column:
+    """Words in upper case; where the second half repeats the first, one half of them."""
+    words = F.split(collapse(F.upper(x)), " ")
+    half = F.floor(F.size(words) / 2).cast("int")
+    twice = (F.size(words) > 1) & (F.size(words) % 2 == 0) & (F.slice(words, F.lit(1), half) == F.slice(words, half + 1, half))
+    return F.array_join(F.when(twice, F.slice(words, F.lit(1), half)).otherwise(words), " ")
+
+
+def file_name(path: Column) -> Column:
+    """The last part of a path, in lower case."""
+    return F.lower(F.element_at(F.split(path, "/"), -1))
+
+
+def context(text: Column, start: Column, end: Column, width: int = 40) -> Column:
+    """struct(before, match, after) of a span, counted from 0, with up to ``width`` characters either way."""
+    first = F.greatest(start - width, F.lit(0))
+    part = lambda lo, hi: F.substring(text, (lo + 1).cast("int"), (hi - lo).cast("int"))
+    return F.struct(part(first, start).alias("before"), part(start, end).alias("match"), part(end, end + width).alias("after"))
+
+
+def nth_start(text: Column, needle: Column, occurrence: Column) -> Column:
+    """Where the needle occurs for the n-th time (both from 0), in any case and without overlap; null if it doesn't.
+
+    Behind the n-th cut at the needle, all the parts before it and the needles between them have been passed.
+    """
+    parts = F.split(F.lower(text), F.concat(F.lit("\\Q"), F.lower(needle), F.lit("\\E")), -1)
+    before = F.aggregate(F.slice(parts, F.lit(1), (occurrence + 1).cast("int")), F.lit(0), lambda n, p: n + F.length(p))
+    return F.when((F.length(needle) > 0) & (F.size(parts) > occurrence + 1), before + occurrence * F.length(needle))
+
+
+def summary(*parts: Column) -> Column:
+    """The parts that aren't empty, with blanks between."""
+    return F.concat_ws(" ", *(F.nullif(F.trim(p), F.lit("")) for p in parts))

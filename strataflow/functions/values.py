@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 #: Fixed value: the namespace of URL ids, as bytes in hexadecimal.
 URL_NAMESPACE = "6ba7b8119dad11d180b400c04fd430c8"
-NUMBER = r"([0-9]+\.?[0-9]*)"
+NUMBER = r"(-?[0-9]+\.?[0-9]*)"
 
 
 def rounded(x: Column, digits: int) -> Column:
@@ -38,8 +38,8 @@ def severity(alert_: Column) -> Column:
 
 
 def unit_equation(x: Column) -> Column:
-    """struct(factor, slope offset) of a linear unit equation in x; nulls where it isn't one."""
-    text = F.regexp_replace(F.lower(x), r"\s+", "")
+    """struct(factor, offset) of a linear unit equation in x; nulls where it isn't one or divides by 0. Numbers may be negative."""
+    text = F.replace(F.lower(x), F.lit(" "))
     get = lambda pattern, i: F.nullif(F.regexp_extract(text, pattern, i), F.lit(""))
     shift = r"(?:([+-])" + NUMBER + r")?$"
     forms = {"times": "^x\\*" + NUMBER + shift, "by": "^" + NUMBER + "\\*x" + shift, "over": "^x/" + NUMBER + shift, "plain": "^x" + shift}
@@ -52,6 +52,11 @@ def unit_equation(x: Column) -> Column:
     return F.struct(F.round(factor, 10).alias("factor"), F.round(offset, 10).alias("offset"))
 
 
+def converted(value: Column, factor: Column, offset: Column) -> Column:
+    """A value in its target unit; null where no conversion is known."""
+    return value * factor + offset
+
+
 def url_id(seed: Column) -> Column:
     """The name-based id (version 5) of a seed in the URL namespace."""
     digest = F.sha1(F.concat(F.unhex(F.lit(URL_NAMESPACE)), F.encode(F.trim(seed), "UTF-8")))
@@ -59,11 +64,6 @@ def url_id(seed: Column) -> Column:
     return F.concat_ws("-", F.substring(digest, 1, 8), F.substring(digest, 9, 4), F.concat(F.lit("5"), F.substring(digest, 14, 3)), F.concat(variant, F.substring(digest, 18, 3)), F.substring(digest, 21, 12))
 
 
-def parse_date(x: Column, formats: tuple[str, ...]) -> Column:
-    """The first of the formats that fits; null where none does."""
-    return F.coalesce(*(F.try_to_timestamp(x, F.lit(f)) for f in formats)).cast("date")
-
-
 def step_seconds(size: Column, unit: Column) -> Column:
     """A step in whole seconds; a blank or unknown unit means seconds; halves go to the even neighbour."""
     name = F.upper(F.trim(F.coalesce(unit, F.lit(""))))

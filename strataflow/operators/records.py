@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import session
+from ..functions import dates, session
 
 #: Event type and letter by kind of rig.
 RIG_EVENTS = {"PER": (1, "P"), "PUL": (8, "R"), "WO": (7, "W")}
@@ -25,15 +25,10 @@ def in_range_labels(first: Column, second: Column, since: Column, until: Column)
 
 def record_time(cell: Column, as_of: Column) -> Column:
     """A cell with a time of the day of ``as_of``, or with a date; null of anything else."""
-    day = F.date_format(as_of, "yyyy-MM-dd")
-    return F.when(F.length(cell) <= 5, F.try_to_timestamp(F.concat(day, F.lit(" "), cell), F.lit("yyyy-MM-dd H:mm"))).otherwise(F.try_to_timestamp(cell, F.lit("d-MMM-yy")))
-
-
-def date_in_name(name: Column) -> Column:
-    """The date in a file's name: dd-mm-yyyy, or yyyymmdd by itself; an invalid first match gives null."""
-    long_ = F.regexp_extract(name, r"(\d{2}[-_]\d{2}[-_]\d{4})", 1)
-    short = F.regexp_extract(name, r"(?:^|\D)(\d{8})(?:\D|$)", 1)
-    return F.when(long_ != "", F.try_to_timestamp(F.replace(long_, F.lit("_"), F.lit("-")), F.lit("dd-MM-yyyy"))).when(short != "", F.try_to_timestamp(short, F.lit("yyyyMMdd"))).cast("date")
+    plain, clock = F.trim(cell), r"^(\d{1,2}):(\d{1,2})$"
+    part = lambda i: F.nullif(F.regexp_extract(plain, clock, i), F.lit("")).cast("int")
+    today = F.try_make_timestamp(F.year(as_of), F.month(as_of), F.day(as_of), part(1), part(2), F.lit(0))
+    return F.when(F.contains(plain, F.lit(":")) & (F.length(plain) <= 5), today).otherwise(dates.spelled(plain, "d-b-y"))
 
 
 def name_variants(code: Column, number: Column, suffix: Column, field: Column) -> Column:
@@ -42,6 +37,7 @@ def name_variants(code: Column, number: Column, suffix: Column, field: Column) -
     plain = F.flatten(F.transform(ends, lambda e: F.array(F.concat(code, F.lit("-"), e), F.concat(code, F.lit(" "), e))))
     with_suffix = F.when(suffix.isNotNull(), F.array(F.concat(code, F.lit("."), suffix, F.lit("-"), number)))
     in_field = F.when(field.isNotNull(), F.flatten(F.transform(ends, lambda e: F.array(F.concat(field, F.lit("."), code, F.lit("-"), e), F.concat(field, F.lit("."), F.lower(code), F.lit("-"), e)))))
+    in_field = F.concat(in_field, F.array(F.concat(field, F.lit("."), code, F.lit(" "), number), F.concat(field, F.lit("."), F.lower(code), F.lit(" "), number)))
     none = F.array().cast("array<string>")
     return F.array_sort(F.array_distinct(F.concat(plain, F.coalesce(with_suffix, none), F.coalesce(in_field, none))))
 
@@ -73,22 +69,21 @@ def ambiguous_aliases(df: DataFrame, alias: str, scope: str, identity: str) -> D
     return df.groupBy(F.lower(F.trim(alias)).alias("alias"), scope).agg(F.countDistinct(identity).alias("meanings")).filter("meanings > 1")
 
 
-def hierarchy_problems(df: DataFrame, key: str, parent: str, depth: int = 32) -> DataFrame:
-    """Keys whose parent is unknown, and keys that lie on a cycle of up to ``depth`` steps.
+def hierarchy_problems(df: DataFrame, key: str, parent: str) -> DataFrame:
+    """Keys whose parent is unknown, and keys that lie on a cycle of any length.
 
-    Each step joins every key that is still climbing with its next parent; those that reach a root leave.
+    Each round joins every key with the key twice as many steps above it; those that pass a root leave. A key that
+    is still there after more steps than there are keys climbs towards a cycle, and what is reached by such climbs
+    is on one. Keys are unique.
     """
     session.ensure_checkpoints(df.sparkSession)
     edges = df.select(F.col(key).alias("k"), F.col(parent).alias("p"))
     unknown = edges.filter("p is not null").join(edges.select(F.col("k").alias("p")), "p", "left_anti").select(F.col("k").alias("key"), F.lit("unknown_parent").alias("problem"))
-    climb, cycles = edges.filter("p is not null").select(F.col("k").alias("start"), F.col("p").alias("at")), None
-    for _ in range(depth):
-        found = climb.filter("start = at").select(F.col("start").alias("key"), F.lit("cycle").alias("problem"))
-        cycles = found if cycles is None else cycles.union(found)
-        climb = climb.filter("start <> at").join(edges, F.col("at") == F.col("k")).filter("p is not null").select("start", F.col("p").alias("at")).checkpoint()
-        if climb.isEmpty():
-            break
-    return unknown.union(cycles)
+    climb, steps, keys = edges.filter("p is not null").checkpoint(), 1, edges.count()
+    while steps <= keys and not climb.isEmpty():
+        climb = climb.join(climb.select(F.col("k").alias("p"), F.col("p").alias("further")), "p").select("k", F.col("further").alias("p")).checkpoint()
+        steps *= 2
+    return unknown.union(climb.select(F.col("p").alias("key"), F.lit("cycle").alias("problem")).distinct())
 
 
 def last_checkpoint(runs: DataFrame, payload: str, path: str, finished: str) -> DataFrame:
@@ -103,3 +98,54 @@ def synonym_problems(df: DataFrame, key: str, terms: str) -> DataFrame:
     first = plain.groupBy("terms").agg(F.min("key").alias("first"))
     few = plain.filter(F.size("terms") < 2).select("key", F.lit("too_few").alias("problem"))
     return few.union(plain.join(first, "terms").filter(F.col("key") > F.col("first")).select("key", F.lit("repeated").alias("problem")))
+
+
+def placeholder_id(name: Column) -> Column:
+    """'PH_', up to 7 of the name's letters and digits, and 8 digits that the whole name gives; 20 characters at most."""
+    letters = F.substring(F.regexp_replace(name, "[^a-zA-Z0-9_-]", ""), 1, 7)
+    digits = F.lpad(F.pmod(F.xxhash64(name), F.lit(10**8)).cast("string"), 8, "0")
+    return F.substring(F.concat_ws("_", F.lit("PH"), letters, digits), 1, 20)
+
+
+def report_events(reports: DataFrame, events: DataFrame) -> DataFrame:
+    """Events to make from production reports (report_id, event_key, event_code, start_date, well, rig) that no event has yet.
+
+    The code gives the type and letter; the newest report of an event counts.
+    """
+    fresh = reports.join(events.select("event_key"), "event_key", "left_anti")
+    newest = fresh.withColumn("_place", F.row_number().over(Window.partitionBy("event_key").orderBy(F.desc("start_date"), F.desc("report_id")))).filter("_place = 1").drop("_place")
+    code = F.col("event_code")
+    return newest.withColumns({"type_event": F.when(code.isin("1", "7", "8"), code.cast("int")).otherwise(F.lit(0)), "letter": F.when(code == "1", "P").when(code == "7", "W").when(code == "8", "R")})
+
+
+def download_window(runs: DataFrame, key: str, last_data: str, file_time: str, as_of: Column) -> DataFrame:
+    """The period to download next for each key: from the last data there are, else midnight, to the newest file's time, else midnight."""
+    midnight = F.date_trunc("day", as_of)
+    return runs.groupBy(key).agg(F.coalesce(F.max(last_data), midnight).alias("since"), F.coalesce(F.max(file_time), midnight).alias("until"))
+
+
+def newest_file(files: DataFrame, by: str, path: str, modified: str) -> DataFrame:
+    """The path of the file that was changed last in each group; of equal times the greater path."""
+    return files.groupBy(by).agg(F.max_by(path, F.struct(modified, path)).alias("path"))
+
+
+def plan_steps(steps: DataFrame, plan: str, order: str) -> DataFrame:
+    """Each step of a plan with its number from 1 and the step it follows."""
+    w = Window.partitionBy(plan).orderBy(order)
+    return steps.withColumns({"sequence": F.row_number().over(w).cast("long"), "follows": F.lag(order).over(w)})
+
+
+def queue_transition(batch: DataFrame, outcome: Column) -> DataFrame:
+    """A batch of pending files after a run: OK, or ERROR_ and what went wrong; each file by itself."""
+    return batch.withColumn("state", F.when(outcome.isNull(), "OK").otherwise(F.concat(F.lit("ERROR_"), F.upper(F.regexp_replace(outcome, r"[^A-Za-z0-9]+", "_")))))
+
+
+def canonical_json(fields: dict[str, Column]) -> Column:
+    """JSON with the keys in order: equal contents give equal texts."""
+    return F.to_json(F.struct(*(fields[k].alias(k) for k in sorted(fields))), {"ignoreNullFields": "false"})
+
+
+def last_values(pairs: Column) -> Column:
+    """A map of pairs (key, value), the last value of a key counting."""
+    kept = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.greatest(F.size(pairs), F.lit(1))), lambda q: q["key"] == p["key"]))
+    return F.map_from_entries(kept)

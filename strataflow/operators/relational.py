@@ -80,3 +80,113 @@ def state_shares(df: DataFrame, state: str) -> DataFrame:
 def missing_rows(wanted: DataFrame, present: DataFrame, keys: list[str]) -> DataFrame:
     """Rows to insert: those whose keys aren't there yet."""
     return wanted.join(present.select(*keys), keys, "left_anti")
+
+
+def not_in_column(df: DataFrame, other: DataFrame, column: str) -> DataFrame:
+    """Rows whose value isn't in the other table's column, as an anti join decides: rows with a null stay."""
+    return df.join(other.select(F.col(column).alias("_other")).distinct(), F.col(column) == F.col("_other"), "left_anti")
+
+
+def with_ids_of(df: DataFrame, key: str, ids: DataFrame, other: str) -> DataFrame:
+    """Rows whose key occurs in the other table."""
+    return df.join(ids.select(F.col(other).alias("_id")), F.col(key) == F.col("_id"), "left_semi")
+
+
+def updated(df: DataFrame, source: DataFrame, on: list[Column], column: str, value: str) -> DataFrame:
+    """``df`` with a column taken from the source where the condition meets it, and left as it is elsewhere."""
+    joined = df.alias("t").join(source.alias("s"), on, "left")
+    return joined.select(*(F.coalesce(F.col(f"s.{value}"), F.col(f"t.{c}")).alias(c) if c == column else F.col(f"t.{c}") for c in df.columns))
+
+
+def found_in_list(df: DataFrame, keys: list[str], listed: DataFrame) -> DataFrame:
+    """``df`` with ``found``: whether the keys, trimmed and in lower case, are in the list."""
+    plain = lambda c: F.lower(F.trim(F.col(c)))
+    there = listed.select(*(plain(k).alias(f"_{k}") for k in keys)).distinct().withColumn("_there", F.lit(True))
+    joined = df.join(there, [plain(k) == F.col(f"_{k}") for k in keys], "left")
+    return joined.select(*(F.col(c) for c in df.columns), F.col("_there").isNotNull().alias("found"))
+
+
+def first_rows(df: DataFrame, order: list[Column], most: int) -> DataFrame:
+    return df.orderBy(*order).limit(most)
+
+
+def after(df: DataFrame, column: str, last: str | None, most: int) -> DataFrame:
+    """The next rows behind a checkpoint, in the column's order; from the start without one."""
+    rows = df if last is None else df.filter(F.col(column) > last)
+    return rows.orderBy(column).limit(most)
+
+
+def pending(df: DataFrame, state: str, states: list[str], or_null: bool) -> DataFrame:
+    """Rows in one of the states; null is no state of a list, and counts only with ``or_null``."""
+    inside = F.col(state).isin(states)
+    return df.filter(inside | F.col(state).isNull() if or_null else inside)
+
+
+def own_or_global(df: DataFrame, tenant: str, value, active: str) -> DataFrame:
+    """Active rows of a tenant, and those of none."""
+    return df.filter(F.col(active) & ((F.col(tenant) == value) | F.col(tenant).isNull()))
+
+
+def same_text(a: Column, b: Column) -> Column:
+    """Equal whatever the case, as the reference's database compares."""
+    return F.upper(a) == F.upper(b)
+
+
+def allowed_url(url: Column, domains: list[str]) -> Column:
+    """A web address whose host is one of the domains or lies within one."""
+    host = F.lower(F.try_parse_url(url, F.lit("HOST")))
+    inside = F.lit(False)
+    for d in domains:
+        inside = inside | (host == d.lower()) | F.endswith(host, F.lit("." + d.lower()))
+    return F.coalesce(F.try_parse_url(url, F.lit("PROTOCOL")).isin("http", "https") & inside, F.lit(False))
+
+
+def discovered(urls: DataFrame, url: str, domains: list[str], most: int) -> DataFrame:
+    """Distinct allowed addresses in order, the first of them."""
+    return urls.filter(allowed_url(F.col(url), domains)).select(url).distinct().orderBy(url).limit(most)
+
+
+def largest_match(df: DataFrame, pattern: str, column: str, value: str) -> DataFrame:
+    """One row: the largest value of rows that are like the pattern, whose % and _ are wildcards."""
+    return df.filter(F.col(column).like(pattern)).agg(F.max(value).alias("value"))
+
+
+def best_of(frames: list[DataFrame], key: str, score: str) -> DataFrame:
+    """The rows of several tables with one a key: the highest score, of equal ones the earlier table's."""
+    rows = None
+    for i, f in enumerate(frames):
+        part = f.withColumn("_turn", F.lit(i))
+        rows = part if rows is None else rows.unionByName(part)
+    place = F.row_number().over(Window.partitionBy(key).orderBy(F.desc(score), "_turn"))
+    return rows.withColumn("_place", place).filter("_place = 1").drop("_turn", "_place")
+
+
+def counted_since(df: DataFrame, when: str, since: Column, needed: str, by: str) -> DataFrame:
+    """Rows of each group from a time on that have a value in ``needed``."""
+    return df.filter((F.col(when) >= since) & F.col(needed).isNotNull()).groupBy(by).agg(F.count("*").alias("n"))
+
+
+def lineage_versions(df: DataFrame, lineage: str, order: list[str]) -> DataFrame:
+    """Rows numbered within their lineage, from 1, as one version after the other was seen."""
+    return df.withColumn("version", F.row_number().over(Window.partitionBy(lineage).orderBy(*order)).cast("long"))
+
+
+def latest_of(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """One row for each of the keys as they are once trimmed and in upper case: the first in the order."""
+    plain = {k: F.upper(F.trim(F.col(k))) for k in keys}
+    return first_by(df.withColumns({f"_{k}": c for k, c in plain.items()}), [f"_{k}" for k in keys], order).withColumns({k: F.col(f"_{k}") for k in keys}).drop(*(f"_{k}" for k in keys))
+
+
+def upserted(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """The target with the source's rows in place of those with their keys, and the new ones."""
+    return target.join(source.select(key).distinct(), key, "left_anti").unionByName(source.select(*target.columns))
+
+
+def inserted(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """The target and the source's rows whose keys it lacks."""
+    return target.unionByName(source.select(*target.columns).join(target.select(key), key, "left_anti"))
+
+
+def replaced(target: DataFrame, source: DataFrame) -> DataFrame:
+    """The source in the target's columns: what a table holds once it is emptied and filled anew."""
+    return source.select(*(F.col(c) if c in source.columns else F.lit(None).cast(target.schema[c].dataType).alias(c) for c in target.columns))

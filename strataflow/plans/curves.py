@@ -8,26 +8,32 @@ from ..operators import curves
 from .adapters import CURVE_SQL, curve, table
 from .registry import query
 
-STATS_SQL = f"""{CURVE_SQL}, st AS (SELECT series, count(*) AS n, min(value) AS lo, max(value) AS hi, round(CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) / count(*), 6) AS mean,
+STATS_SQL = f"""{CURVE_SQL}, st AS (SELECT series, count(*) AS n, min(value) AS lo, max(value) AS hi, round(avg(value), 6) AS mean,
   round(quantile_cont(value, 0.5), 6) AS median, round(stddev_pop(value), 6) AS std, count(DISTINCT value) AS distinct_values, round(quantile_cont(value, 0.01), 6) AS p01, round(quantile_cont(value, 0.05), 6) AS p05,
   round(quantile_cont(value, 0.25), 6) AS p25, round(quantile_cont(value, 0.75), 6) AS p75, round(quantile_cont(value, 0.95), 6) AS p95, round(quantile_cont(value, 0.99), 6) AS p99,
   round(count_if(value > 0) / count(*) * 100, 4) AS active_pct FROM curve WHERE value IS NOT NULL GROUP BY series)"""
 NUMBERED_SQL = f"{CURVE_SQL}, numbered AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY ts, row) - 1 AS i, count(*) OVER (PARTITION BY series) AS n FROM curve WHERE value IS NOT NULL)"
 GRADIENT_SQL = f"""{NUMBERED_SQL}, g AS (SELECT *, lag(value) OVER w AS a, lead(value) OVER w AS b FROM numbered WINDOW w AS (PARTITION BY series ORDER BY ts, row)),
-  sloped AS (SELECT *, round(CASE WHEN a IS NULL THEN b - value WHEN b IS NULL THEN value - a ELSE (b - a) / 2 END, 6) AS gradient FROM g),
+  sloped AS (SELECT *, CASE WHEN a IS NULL THEN b - value WHEN b IS NULL THEN value - a ELSE (b - a) / 2 END AS gradient FROM g),
   sized AS (SELECT *, abs(gradient) AS size FROM sloped WHERE gradient IS NOT NULL), limits AS (SELECT series, quantile_cont(size, 0.95) AS most FROM sized GROUP BY series),
   marked AS (SELECT *, lag(size) OVER w AS before, lead(size) OVER w AS behind FROM sized WINDOW w AS (PARTITION BY series ORDER BY ts, row)),
-  peaks AS (SELECT series, i, gradient FROM marked JOIN limits USING (series) WHERE size > most AND size > before AND size > behind)"""
+  peaks AS (SELECT series, i, round(gradient, 6) AS gradient FROM marked JOIN limits USING (series) WHERE size > most AND size > before AND size > behind)"""
+
+
+def _rounded_stats(spark, sf_dir):
+    """The statistics as they are compared: six decimals."""
+    found = curves.stats(curve(spark, sf_dir))
+    return found.select("series", "n", "lo", "hi", "distinct_values", *(F.round(c, 6).alias(c) for c in ("mean", "median", "std", "p01", "p05", "p25", "p75", "p95", "p99")), F.round("active_pct", 4).alias("active_pct"))
 
 
 @query("curve_stats", f"WITH {STATS_SQL} SELECT * FROM st")
 def curve_stats(spark, sf_dir):
-    return curves.stats(curve(spark, sf_dir))
+    return _rounded_stats(spark, sf_dir)
 
 
 @query("curve_gradient_peaks", f"WITH {GRADIENT_SQL} SELECT * FROM peaks")
 def curve_gradient_peaks(spark, sf_dir):
-    return curves.peaks(curves.numbered(curve(spark, sf_dir)))
+    return curves.peaks(curves.numbered(curve(spark, sf_dir))).withColumn("gradient", F.round("gradient", 6))
 
 
 @query("curve_spaced_peaks", f"""WITH RECURSIVE {GRADIENT_SQL}, kept AS (SELECT series, min(i) AS i FROM peaks GROUP BY series UNION ALL
@@ -50,24 +56,69 @@ def curve_outliers(spark, sf_dir):
 
 
 @query("curve_moving_var", f"""WITH {NUMBERED_SQL}, starts AS (SELECT series, n, unnest(range(0, greatest(n - 20, 0), 10)) AS start FROM (SELECT DISTINCT series, n FROM numbered)),
-  m AS (SELECT s.series, s.start, CAST(sum(CAST(value AS DECIMAL(14,4))) AS DOUBLE) AS s, CAST(sum(CAST(value AS DECIMAL(14,4)) * CAST(value AS DECIMAL(14,4))) AS DOUBLE) AS q, count(*) AS m
-  FROM starts s JOIN numbered c ON c.series = s.series AND c.i >= s.start AND c.i < s.start + 20 GROUP BY ALL)
-  SELECT series, start, round(q / m - (s / m) * (s / m), 4) AS variance, round(q / m - (s / m) * (s / m), 4) < 1.0 AS is_constant FROM m""")
+  m AS (SELECT s.series, s.start, var_pop(value) AS v FROM starts s JOIN numbered c ON c.series = s.series AND c.i >= s.start AND c.i < s.start + 20 GROUP BY ALL)
+  SELECT series, start, round(v, 4) AS variance, v < 1.0 AS is_constant FROM m""")
 def curve_moving_var(spark, sf_dir):
-    return curves.moving_variance(curves.numbered(curve(spark, sf_dir)), 20, 10)
+    return curves.moving_variance(curves.numbered(curve(spark, sf_dir)), 20, 10).withColumn("variance", F.round("variance", 4))
 
 
 @query("curve_correlation", "SELECT l_suppkey, count(*) AS n, round(corr(l_quantity, l_extendedprice), 6) AS corr FROM lineitem GROUP BY l_suppkey")
 def curve_correlation(spark, sf_dir):
-    return curves.correlation(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_quantity", "l_extendedprice")
+    return curves.correlation(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_quantity", "l_extendedprice").withColumn("corr", F.round("corr", 6))
+
+
+REGIMES_SQL = """c AS (SELECT *, CASE WHEN std / nullif(mean, 0) < 0.1 THEN 'estable' WHEN std / nullif(mean, 0) > 0.5 THEN 'alta' ELSE 'moderada' END AS cv_class, p25 - 0.5 * (p75 - p25) AS under, p75 + 0.5 * (p75 - p25) AS above FROM st),
+  regimes AS (SELECT series, cv_class, count_if(value < under) AS low, count_if(value > above) AS high, count_if(value >= under AND value <= above) AS middle FROM curve JOIN c USING (series) WHERE value IS NOT NULL GROUP BY ALL)"""
 
 
-@query("curve_regimes_cv", f"""WITH {STATS_SQL}, c AS (SELECT *, CASE WHEN std / nullif(abs(mean), 0) < 0.1 THEN 'estable' WHEN std / nullif(abs(mean), 0) < 0.5 THEN 'moderada' ELSE 'alta' END AS cv_class, 0.5 * (p75 - p25) AS half FROM st)
-  SELECT series, cv_class, count_if(value < median - half) AS low, count_if(value > median + half) AS high, count_if(abs(value - median) <= half) AS middle FROM curve JOIN c USING (series) GROUP BY ALL""")
+@query("curve_regimes_cv", f"WITH {STATS_SQL}, {REGIMES_SQL} SELECT * FROM regimes")
 def curve_regimes_cv(spark, sf_dir):
     return curves.regimes(curve(spark, sf_dir))
 
 
+@query("curve_behaviour", f"""WITH {GRADIENT_SQL}, {STATS_SQL[len(CURVE_SQL) + 2:]}, {REGIMES_SQL}, e AS (SELECT series, count(*) AS events FROM peaks GROUP BY 1), k AS (SELECT series, corr(row, value) AS corr FROM curve GROUP BY 1)
+  SELECT series, CASE WHEN low > 0.7 * (low + high + middle) THEN 'TIPICO' WHEN corr > 0.5 THEN 'CONFUSION' WHEN coalesce(events, 0) > (low + high + middle) // 1000 THEN 'EVENTOS' ELSE 'ATIPICO' END AS behaviour
+  FROM regimes JOIN k USING (series) LEFT JOIN e USING (series)""")
+def curve_behaviour(spark, sf_dir):
+    own = curve(spark, sf_dir)
+    events = curves.peaks(curves.numbered(own)).groupBy("series").agg(F.count("*").alias("events"))
+    found = curves.regimes(own).join(curves.correlation(own, "series", "row", "value"), "series").join(events, "series", "left")
+    total = F.col("low") + F.col("high") + F.col("middle")
+    return found.select("series", curves.behaviour(F.col("low"), total, F.col("corr"), F.coalesce("events", F.lit(0))).alias("behaviour"))
+
+
+@query("curve_boxplot", f"""WITH {STATS_SQL}, b AS (SELECT series, p25, median, p75, p25 - 1.5 * (p75 - p25) AS lo_, p75 + 1.5 * (p75 - p25) AS hi_ FROM st)
+  SELECT series, p25, median, p75, min(CASE WHEN value BETWEEN lo_ AND hi_ THEN value END) AS whisker_lo, max(CASE WHEN value BETWEEN lo_ AND hi_ THEN value END) AS whisker_hi, count_if(value NOT BETWEEN lo_ AND hi_) AS outside FROM curve JOIN b USING (series) GROUP BY ALL""")
+def curve_boxplot(spark, sf_dir):
+    return curves.boxplot(curve(spark, sf_dir)).withColumns({c: F.round(c, 6) for c in ("p25", "median", "p75")})
+
+
+@query("curve_extremes", f"""WITH {CURVE_SQL} SELECT series, 'top' AS side, row_number() OVER (PARTITION BY series ORDER BY value DESC, row) AS rank, row, value FROM curve WHERE value IS NOT NULL QUALIFY rank <= 10
+  UNION ALL SELECT series, 'bottom', row_number() OVER (PARTITION BY series ORDER BY value, row) AS rank, row, value FROM curve WHERE value IS NOT NULL QUALIFY rank <= 10""")
+def curve_extremes(spark, sf_dir):
+    return curves.extremes(curve(spark, sf_dir))
+
+
+@query("curve_ranges", f"""WITH {STATS_SQL}, g AS (SELECT c_custkey AS series, c_nationkey * 0.02 AS lo_least, 450.0 + c_nationkey AS hi_most FROM customer)
+  SELECT series, CAST(lo_least AS DOUBLE) AS lo_least, CAST(hi_most AS DOUBLE) AS hi_most, lo BETWEEN lo_least AND hi_most AND hi BETWEEN lo_least AND hi_most AS inside FROM st JOIN g USING (series)""")
+def curve_ranges(spark, sf_dir):
+    key = F.col("c_nationkey")
+    config = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("series"), (key * 0.02).alias("lo_least"), (key + 450.0).alias("hi_most"))
+    return curves.within_configured(curves.stats(curve(spark, sf_dir)), config)
+
+
+_HINTED_SQL = "SELECT p_size AS file_id, p_partkey AS place, CASE p_partkey % 5 WHEN 0 THEN 'csg_' || p_name WHEN 1 THEN 'Presion ' || p_name ELSE p_name END AS mnemonic, CASE p_partkey % 7 WHEN 0 THEN 'de zunchado' WHEN 1 THEN 'x' END AS description FROM part"
+
+
+@query("pressure_curves", f"""WITH c AS ({_HINTED_SQL}), h AS (SELECT *, upper(mnemonic) || ' ' || upper(coalesce(description, '')) AS t FROM c), k AS (SELECT * FROM h WHERE regexp_matches(t, 'ZUNCH|CSG|CASING|PRESION|PRESS|ANNULAR|CIRCULACION|HYDRAULIC|TORQUE'))
+  SELECT file_id, place, mnemonic, description, row_number() OVER (PARTITION BY file_id ORDER BY CASE WHEN contains(t, 'ZUNCH') THEN 0 WHEN contains(t, 'PRESION') THEN 1 ELSE 2 END, place) = 1 AS chosen FROM k""")
+def pressure_curves(spark, sf_dir):
+    key = F.col("p_partkey")
+    name = F.when(key % 5 == 0, F.concat(F.lit("csg_"), "p_name")).when(key % 5 == 1, F.concat(F.lit("Presion "), "p_name")).otherwise(F.col("p_name"))
+    found = table(spark, sf_dir, "part").select(F.col("p_size").alias("file_id"), key.alias("place"), name.alias("mnemonic"), F.when(key % 7 == 0, "de zunchado").when(key % 7 == 1, "x").alias("description"))
+    return curves.pressure_curves(found)
+
+
 @query("histogram", "SELECT least(49, CAST(floor((value - lo) / ((hi - lo) / 50)) AS BIGINT)) AS bin, count(*) AS n FROM events, (SELECT min(value) AS lo, max(value) AS hi FROM events) GROUP BY 1")
 def histogram(spark, sf_dir):
     return curves.histogram(table(spark, sf_dir, "events"), "value")
@@ -79,9 +130,13 @@ def stopped_rows(spark, sf_dir):
     return curves.stopped(lines, "turning", "advancing", "l_quantity").select("l_orderkey", "l_linenumber", "l_quantity")
 
 
-@query("curve_spectrum")
+@query("curve_spectrum", f"""WITH {NUMBERED_SQL}, c AS (SELECT series, i, n, value - avg(value) OVER (PARTITION BY series) AS v FROM numbered), k AS (SELECT DISTINCT series, n, unnest(range(n)) AS k FROM c),
+  d AS (SELECT k.series, k.n, k.k, sum(v * cos(2 * pi() * ((i * k.k) % k.n) / k.n)) AS re, sum(v * sin(2 * pi() * ((i * k.k) % k.n) / k.n)) AS im FROM k JOIN c ON c.series = k.series GROUP BY ALL),
+  t AS (SELECT series, n, k, round(re * re + im * im, 2) AS power FROM d QUALIFY row_number() OVER (PARTITION BY series ORDER BY round(re * re + im * im, 3) DESC, k) <= 4)
+  SELECT series, round(CASE WHEN 2 * k < n THEN k ELSE k - n END / n, 9) AS frequency, power FROM t""")
 def curve_spectrum(spark, sf_dir):
-    return curves.spectrum_top(curves.numbered(curve(spark, sf_dir)))
+    found = curves.spectrum_top(curves.numbered(curve(spark, sf_dir)), 4)
+    return found.select("series", F.round("frequency", 9).alias("frequency"), F.round("power", 2).alias("power"))
 
 
 @query("unit_plausibility", f"WITH {STATS_SQL} SELECT series, CASE WHEN lo >= 0 AND hi <= 300 THEN 'psi' WHEN hi > 400 OR mean > 300 THEN 'torque' ELSE 'desconocida' END AS unit FROM st")

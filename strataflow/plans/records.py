@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import dates
 from ..operators import records
 from .adapters import rigs, table
 from .registry import query
@@ -23,30 +24,87 @@ def range_labels(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", found["either"].alias("either"), found["both"].alias("both_"))
 
 
-CELLS = ["14:30", "8:05", "22:70", "15-Jan-23", "", "nada", None]
+_CELL_SQL = "CASE o_orderkey % 7 WHEN 0 THEN strftime(o_orderdate, '%H:%M') WHEN 1 THEN (o_orderkey % 24) || ':' || (o_orderkey % 70) WHEN 2 THEN strftime(o_orderdate, '%d-%b-%y') WHEN 3 THEN '' WHEN 4 THEN ' 7-feb-68 ' WHEN 5 THEN o_orderpriority END"
 
 
-@query("record_times", """SELECT x, CAST(CASE WHEN length(x) <= 5 THEN try_strptime('2024-06-01 ' || x, '%Y-%m-%d %H:%M') ELSE try_strptime(x, '%d-%b-%y') END AS VARCHAR) AS at FROM (SELECT unnest(['14:30','8:05','22:70','15-Jan-23','','nada',NULL]) AS x)""")
+def _cell():
+    k, at = F.col("o_orderkey"), F.col("o_orderdate")
+    return F.when(k % 7 == 0, F.date_format(at, "HH:mm")).when(k % 7 == 1, F.concat((k % 24).cast("string"), F.lit(":"), (k % 70).cast("string"))).when(k % 7 == 2, F.date_format(at, "dd-MMM-yy")).when(k % 7 == 3, "").when(k % 7 == 4, " 7-feb-68 ").when(k % 7 == 5, F.col("o_orderpriority"))
+
+
+@query("record_times", f"""SELECT o_orderkey, CAST(CASE WHEN contains(trim(x), ':') AND length(trim(x)) <= 5 THEN try_strptime('2024-06-01 ' || trim(x), '%Y-%m-%d %H:%M') ELSE try_strptime(trim(x), '%d-%b-%y') END AS VARCHAR) AS at FROM (SELECT o_orderkey, {_CELL_SQL} AS x FROM orders)""")
 def record_times(spark, sf_dir):
-    rows = spark.createDataFrame([(c,) for c in CELLS], "x string")
-    return rows.select("x", F.date_format(records.record_time(F.col("x"), F.lit("2024-06-01").cast("date")), "yyyy-MM-dd HH:mm:ss").alias("at"))
+    at = records.record_time(_cell(), F.lit("2024-06-01").cast("date"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.date_format(at, "yyyy-MM-dd HH:mm:ss").alias("at"))
+
+
+@query("spud_dates", f"SELECT o_orderkey, strftime(try_strptime(trim({_CELL_SQL}), '%d-%b-%y'), '%Y-%m-%d') AS day FROM orders")
+def spud_dates(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select("o_orderkey", dates.spud_date(F.trim(_cell())).alias("day"))
+
+
+#: How DuckDB writes the spellings of dates.
+_FORMATS = {s: s.replace("d", "%d").replace("m", "%m").replace("b", "%b").replace("Y", "%Y").replace("y", "%y").replace("T", "%H:%M:%S") for s in dates.SPELLINGS}
+_JAVA = {"d": "d", "m": "M", "b": "MMM", "Y": "yyyy", "y": "yy", "T": "HH:mm:ss"}
+_DATE_SQL = "CASE o_orderkey % 20 " + " ".join(f"WHEN {i} THEN strftime(t, '{f}')" for i, f in enumerate(_FORMATS.values())) + " WHEN 18 THEN '31/02/' || o_orderkey ELSE strftime(t, '%d/%m/%Y') || ' : start' END"
+_TIMED_SQL = f"timed AS (SELECT o_orderkey, {_DATE_SQL} AS x FROM (SELECT o_orderkey, o_orderdate + to_seconds(o_orderkey % 86400) AS t FROM orders))"
+_PARSE_SQL = "coalesce(" + ", ".join(f"CASE WHEN regexp_full_match(d, '{dates_pattern}') THEN try_strptime(d, '{f}') END" for f, dates_pattern in ((f, "".join({"d": r"\d{1,2}", "m": r"\d{1,2}", "b": "[A-Za-z]{3}", "Y": r"\d{4}", "y": r"\d{2}", "T": r"\d{1,2}:\d{1,2}:\d{1,2}"}.get(c, c) for c in s)) for s, f in _FORMATS.items())) + ")"
+
+
+def _dated(spark, sf_dir):
+    k = F.col("o_orderkey")
+    at = F.col("o_orderdate") + F.make_dt_interval(secs=(k % 86400).cast("decimal(18,6)"))
+    found = F.when(k % 20 == 18, F.concat(F.lit("31/02/"), k.cast("string")))
+    for i, s in enumerate(dates.SPELLINGS):
+        found = found.when(k % 20 == i, F.date_format(at, "".join(_JAVA.get(c, c) for c in s)))
+    return table(spark, sf_dir, "orders").select("o_orderkey", found.otherwise(F.concat(F.date_format(at, "dd/MM/yyyy"), F.lit(" : start"))).alias("x"))
+
 
+@query("date_parsing", f"WITH {_TIMED_SQL} SELECT o_orderkey, CAST({_PARSE_SQL} AS VARCHAR) AS at FROM (SELECT o_orderkey, trim(split_part(x, ' : ', 1)) AS d FROM timed)")
+def date_parsing(spark, sf_dir):
+    return _dated(spark, sf_dir).select("o_orderkey", F.date_format(dates.parsed(F.col("x")), "yyyy-MM-dd HH:mm:ss").alias("at"))
 
-FILE_NAMES = ["RIG9_LMC-12_28-07-2025_1.las", "RIG_20240131.las", "x99-99-2024_20240131.las", "no date", "RIG1_31_12_2023.las"]
 
+_NAME_SQL = "'RIG' || o_custkey || CASE o_orderkey % 6 WHEN 0 THEN '_' || strftime(o_orderdate, '%d-%m-%Y') || '_1' WHEN 1 THEN '_' || strftime(o_orderdate, '%Y%m%d') WHEN 2 THEN '_99-99-2024_20240131' WHEN 3 THEN '_18991231' WHEN 4 THEN strftime(o_orderdate, '_%d_%m_%Y') ELSE '' END || '.las'"
+_NAMED_SQL = r"""CASE WHEN regexp_matches(name, '\d{2}[-_]\d{2}[-_]\d{4}') THEN try_strptime(replace(regexp_extract(name, '(\d{2}[-_]\d{2}[-_]\d{4})', 1), '_', '-'), '%d-%m-%Y')
+  WHEN CAST(nullif(regexp_extract(name, '(?:^|\D)(\d{4})\d{4}(?:\D|$)', 1), '') AS INT) BETWEEN 1900 AND 2030 THEN try_strptime(regexp_extract(name, '(?:^|\D)(\d{8})(?:\D|$)', 1), '%Y%m%d') END"""
 
-@query("dates_in_names", r"""SELECT x, CAST(CAST(CASE WHEN regexp_matches(x, '\d{2}[-_]\d{2}[-_]\d{4}') THEN try_strptime(replace(regexp_extract(x, '(\d{2}[-_]\d{2}[-_]\d{4})', 1), '_', '-'), '%d-%m-%Y')
-  WHEN regexp_matches(x, '(?:^|\D)\d{8}(?:\D|$)') THEN try_strptime(regexp_extract(x, '(?:^|\D)(\d{8})(?:\D|$)', 1), '%Y%m%d') END AS DATE) AS VARCHAR) AS day
-  FROM (SELECT unnest(['RIG9_LMC-12_28-07-2025_1.las','RIG_20240131.las','x99-99-2024_20240131.las','no date','RIG1_31_12_2023.las']) AS x)""")
+
+def _file_name():
+    k, at = F.col("o_orderkey"), F.col("o_orderdate")
+    middle = F.when(k % 6 == 0, F.concat(F.lit("_"), F.date_format(at, "dd-MM-yyyy"), F.lit("_1"))).when(k % 6 == 1, F.concat(F.lit("_"), F.date_format(at, "yyyyMMdd"))).when(k % 6 == 2, "_99-99-2024_20240131").when(k % 6 == 3, "_18991231").when(k % 6 == 4, F.date_format(at, "_dd_MM_yyyy")).otherwise("")
+    return F.concat(F.lit("RIG"), F.col("o_custkey").cast("string"), middle, F.lit(".las"))
+
+
+@query("dates_in_names", f"SELECT o_orderkey, CAST(CAST({_NAMED_SQL} AS DATE) AS VARCHAR) AS day FROM (SELECT o_orderkey, {_NAME_SQL} AS name FROM orders)")
 def dates_in_names(spark, sf_dir):
-    rows = spark.createDataFrame([(n,) for n in FILE_NAMES], "x string")
-    return rows.select("x", records.date_in_name(F.col("x")).cast("string").alias("day"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", dates.date_in_name(_file_name(), F.lit(2030)).cast("string").alias("day"))
+
+
+@query("reference_dates", f"""WITH {_TIMED_SQL}, n AS (SELECT o_orderkey, {_NAME_SQL} AS name FROM orders), p AS (SELECT o_orderkey, name, {_PARSE_SQL} AS found FROM (SELECT o_orderkey, name, trim(split_part(x, ' : ', 1)) AS d FROM timed JOIN n USING (o_orderkey)))
+  SELECT o_orderkey, CAST(coalesce(CASE WHEN o_orderkey % 3 = 0 THEN CAST(found AS DATE) END, CAST({_NAMED_SQL} AS DATE), CASE WHEN o_orderkey % 3 = 1 THEN CAST(found AS DATE) END, DATE '2025-01-01') AS VARCHAR) AS day FROM p""")
+def reference_dates(spark, sf_dir):
+    rows = _dated(spark, sf_dir).join(table(spark, sf_dir, "orders").select("o_orderkey", _file_name().alias("name")), "o_orderkey")
+    at = lambda i: F.when(F.col("o_orderkey") % 3 == i, F.col("x"))
+    return rows.select("o_orderkey", dates.reference_date(at(0), F.col("name"), at(1), F.lit("2025-01-01").cast("date")).cast("string").alias("day"))
+
+
+@query("sample_times", """SELECT event_id, CAST(CASE WHEN event_id % 4 = 0 THEN TIMESTAMP '2025-07-28' + to_seconds(event_id * 5) ELSE date_trunc('second', ts) END AS VARCHAR) AS at FROM events""")
+def sample_times(spark, sf_dir):
+    day, clock = F.date_format("ts", "dd/MMM/yyyy"), F.date_format("ts", "HH:mm:ss")
+    at = dates.sample_time(F.when(F.col("event_id") % 8 != 0, day).otherwise("nan"), F.when(F.col("event_id") % 8 != 4, clock), F.lit("2025-07-28").cast("timestamp"), F.col("event_id"))
+    return table(spark, sf_dir, "events").select("event_id", F.date_format(at, "yyyy-MM-dd HH:mm:ss").alias("at"))
+
+
+@query("download_suffixes", "SELECT o_orderkey, CASE WHEN d < 0 THEN 'NO_DOWNLOAD_MIN_DATE_TOO_RECENT' WHEN d = 0 THEN '_nws' ELSE '_' || d END AS suffix, strftime(o_orderdate, '%d-%b-%y') AS day FROM (SELECT *, DATE '1998-06-15' - CAST(o_orderdate AS DATE) AS d FROM orders)")
+def download_suffixes(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select("o_orderkey", dates.download_suffix(F.to_date("o_orderdate"), F.lit("1998-06-15").cast("date")).alias("suffix"), dates.page_day(F.col("o_orderdate")).alias("day"))
 
 
 @query("name_variants", """WITH p AS (SELECT s_suppkey, 'LMC' AS c, CAST(s_suppkey AS VARCHAR) AS n, CASE WHEN s_suppkey % 2 = 0 THEN 'H' END AS s, CASE WHEN s_suppkey % 3 = 0 THEN 'PZ' END AS f FROM supplier),
   e AS (SELECT *, unnest(CASE WHEN s IS NULL THEN [n] ELSE [n, n || s, n || '(' || s || ')', n || ' (' || s || ')'] END) AS e FROM p),
   v AS (SELECT s_suppkey, c || '-' || e AS v FROM e UNION SELECT s_suppkey, c || ' ' || e FROM e UNION SELECT s_suppkey, c || '.' || s || '-' || n FROM p WHERE s IS NOT NULL
-    UNION SELECT s_suppkey, f || '.' || c || '-' || e FROM e WHERE f IS NOT NULL UNION SELECT s_suppkey, f || '.' || lower(c) || '-' || e FROM e WHERE f IS NOT NULL)
+    UNION SELECT s_suppkey, f || '.' || c || '-' || e FROM e WHERE f IS NOT NULL UNION SELECT s_suppkey, f || '.' || lower(c) || '-' || e FROM e WHERE f IS NOT NULL UNION SELECT s_suppkey, f || '.' || unnest([c, lower(c)]) || ' ' || n FROM p WHERE f IS NOT NULL)
   SELECT s_suppkey, string_agg(v, '|' ORDER BY v) AS variants FROM v GROUP BY s_suppkey""")
 def name_variants(spark, sf_dir):
     key = F.col("s_suppkey")

@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from strataflow.operators import curves, knowledge, mapping, relational
+from strataflow.operators import curves, knowledge, records, relational
 from strataflow.sources import documents, html, las
 from strataflow.streaming import queue
 
@@ -37,16 +37,51 @@ def test_curve_against_numpy(spark):
     spaced = [r["i"] for r in curves.spaced(spark.createDataFrame([(1, x) for x in (0, 10, 51, 60, 102, 103)], "series long, i long")).orderBy("i").collect()]
     assert spaced == [0, 51, 102]
     wave = spark.createDataFrame([(1, i, i, float(np.sin(2 * np.pi * i / 20))) for i in range(400)], "series long, ts long, row long, value double")
-    best = curves.spectrum_top(curves.numbered(wave), 1).first()
-    assert abs(best["frequency"] - 0.05) < 1e-9
-
-
-def test_map_curves(spark):
-    c = spark.createDataFrame([(1, 9, "WHP", "b"), (2, 9, "Hook Load", "b"), (3, 9, "casing presure", "b"), (4, 9, "zzz", "b")], "curve_id int, rig_id int, mnemonic string, block string")
-    rules = spark.createDataFrame([(9, "WHP", 100)], "rig_id int, mnemonic string, variable_id int")
-    variables = spark.createDataFrame([(9, 200, "Carga", "hook_load,hkl", "b"), (9, 300, "casing pressure", "", "b")], "rig_id int, variable_id int, name string, aliases string, block string")
-    got = {r["curve_id"]: (r["variable_id"], r["method"]) for r in mapping.map_curves(c, rules, variables).collect()}
-    assert got[1] == (100, "rule") and got[2] == (200, "alias") and 4 not in got
+    best = curves.spectrum_top(curves.numbered(wave), 2).collect()
+    assert sorted(round(r["frequency"], 9) for r in best) == [-0.05, 0.05]
+
+
+def test_curves_do_not_depend_on_buckets(spark):
+    rng = np.random.default_rng(2)
+    rows = [(s, float(rng.integers(0, 60)), i, None if i % 17 == 0 else float(rng.normal() * 1e-5 + (1e15 if s == 2 else 0))) for s in (1, 2) for i in range(300)]
+    df = spark.createDataFrame(rows, "series long, ts double, row long, value double")
+    want = {}
+    for s in (1, 2):
+        own = np.array([v for _, _, v in sorted((t, i, v) for k, t, i, v in rows if k == s and v is not None)])
+        want[s] = own
+    for width in (1.0, 7.0, 1e9):
+        found = curves.numbered(df, width).collect()
+        for s, own in want.items():
+            assert [r["value"] for r in sorted((r for r in found if r["series"] == s), key=lambda r: r["i"])] == own.tolist() and {r["n"] for r in found if r["series"] == s} == {len(own)}
+    slopes = curves.gradient(curves.numbered(df)).collect()
+    for s, own in want.items():
+        assert np.allclose([r["gradient"] for r in sorted((r for r in slopes if r["series"] == s), key=lambda r: r["i"])], np.gradient(own), atol=1e-9)
+    small = {r["series"]: r for r in curves.stats(df).collect()}
+    assert abs(small[1]["mean"] - want[1].mean()) < 1e-12 and small[1]["std"] > 1e-6 and abs(small[2]["mean"] - 1e15) < 10
+    regimes = {r["series"]: (r["low"], r["high"], r["middle"]) for r in curves.regimes(df).collect()}
+    q1, q3 = np.percentile(want[1], [25, 75])
+    low, high = (want[1] < q1 - 0.5 * (q3 - q1)).sum(), (want[1] > q3 + 0.5 * (q3 - q1)).sum()
+    assert regimes[1] == (low, high, len(want[1]) - low - high)
+
+
+def test_spaced_peaks_equal_a_pass(spark):
+    rng = np.random.default_rng(3)
+    places = {s: sorted(set(rng.integers(0, 200_000, 3000).tolist())) for s in (1, 2)}
+    want = set()
+    for s, own in places.items():
+        last = None
+        for i in own:
+            if last is None or i - last > 50:
+                want.add((s, i))
+                last = i
+    df = spark.createDataFrame([(s, i) for s, own in places.items() for i in own], "series long, i long")
+    assert {(r["series"], r["i"]) for r in curves.spaced(df).collect()} == want
+
+
+def test_hierarchies_of_any_depth(spark):
+    rows = [(i, i + 1) for i in range(100)] + [(100, None), (200, 201), (500, 999)] + [(201 + i, 201 + (i + 1) % 77) for i in range(77)]
+    found = records.hierarchy_problems(spark.createDataFrame(rows, "k int, p int"), "k", "p").collect()
+    assert {(r["key"], r["problem"]) for r in found} == {(500, "unknown_parent")} | {(201 + i, "cycle") for i in range(77)}
 
 
 def test_graph_and_life_cycle(spark):
