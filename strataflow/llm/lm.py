@@ -358,42 +358,33 @@ def train(docs: DataFrame, key: str, text: str, vocabulary: Vocabulary, scratch:
     return model
 
 
-def _rare_tokens(docs: DataFrame, known) -> DataFrame:
-    """mark, word of each token whose count wasn't broadcast."""
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            marks = batch.column(0).to_numpy(zero_copy_only=False)
-            for row, data, offsets in _text.text_blocks(batch.column(1)):
-                words, first = tokens_of(data, offsets)
-                rare = known.value.vocabulary.find(words)[0] < 0
-                owner = np.repeat(np.arange(len(first) - 1), np.diff(first))[rare]
-                yield pa.RecordBatch.from_arrays([pa.array(marks[row + owner]), pa.array(words[rare].view(np.int64))], ["mark", "word"])
-
-    return docs.select("mark", "text").mapInArrow(find, "mark long, word long")
-
-
 def _scored(docs: DataFrame, known) -> DataFrame:
-    """For each row: n_tokens, n_known, the sum of log10(c + 1) but of rare words, and the model's part without it."""
-    names = ["doc_id", "held_out", "mark", "n_tokens", "n_known", "logs", "model"]
+    """For each row: n_tokens, n_known, the sum of log10(c + 1) but of rare words, and the model's part without it.
+
+    Each token whose count wasn't broadcast gives a row of its own, of mark and word alone.
+    """
+    names = ["doc_id", "held_out", "mark", "word", "n_tokens", "n_known", "logs", "model"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: MaxEnt = known.value
         for batch in batches:
-            out: list[list[np.ndarray]] = [[] for _ in range(4)]
-            for _, data, offsets in _text.text_blocks(batch.column(3)):
+            marks = batch.column(2).to_numpy(zero_copy_only=False)
+            for row, data, offsets in _text.text_blocks(batch.column(3)):
                 words, first = tokens_of(data, offsets)
                 counts, classes, paths = model.vocabulary.find(words)
-                logs = np.log10(np.maximum(counts, 0) + 1.0)
-                per_text = lambda x: np.add.reduceat(x, first[:-1])  # noqa: B023, E731  each text has a token
-                for column, x in zip(out, (np.ones(len(words), np.int64), (counts > 0).astype(np.int64), logs, model.log_probabilities(words, first, classes, paths) / math.log(10)), strict=True):
-                    column.append(per_text(x))
-            none = (np.empty(0, np.int64),) * 2 + (np.empty(0),) * 2
-            columns = [pa.array(np.concatenate([e, *c])) for e, c in zip(none, out, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), *columns], names)
+                logs, model_logs = np.log10(np.maximum(counts, 0) + 1.0), model.log_probabilities(words, first, classes, paths) / math.log(10)
+                n = len(first) - 1
+                per_text = [pa.array(np.add.reduceat(x, first[:-1])) for x in ((counts > 0).astype(np.int64), logs, model_logs)]  # each text has a token
+                own = [batch.column(i).slice(row, n) for i in range(3)]
+                yield pa.RecordBatch.from_arrays([*own, pa.nulls(n, pa.int64()), pa.array(np.diff(first)), *per_text], names)
+                rare = np.flatnonzero(counts < 0)
+                if len(rare):
+                    nothing = [pa.nulls(len(rare), x.type) for x in (own[0], own[1], *per_text)]
+                    owner = marks[row + np.searchsorted(first, rare, "right") - 1]
+                    yield pa.RecordBatch.from_arrays([nothing[0], nothing[1], pa.array(owner), pa.array(words[rare].view(np.int64)), pa.nulls(len(rare), pa.int64()), *nothing[2:]], names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "held_out", "mark", "text").mapInArrow(score, f"doc_id {kind}, held_out boolean, mark long, n_tokens long, n_known long, logs double, model double")
+    return docs.select("doc_id", "held_out", "mark", "text").mapInArrow(score, f"doc_id {kind}, held_out boolean, mark long, word long, n_tokens long, n_known long, logs double, model double")
 
 
 def score(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS, broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
@@ -412,8 +403,9 @@ def score(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "t
     model = train(training, "doc_id", "text", vocabulary, scratch, rounds)
     context = docs.sparkSession.sparkContext
     known = context.broadcast(model)
-    scored = scratch.table(_scored(rows, known), "scored")
-    found = _rare_tokens(rows, known).join(counts, "word").groupBy("mark").agg(F.sum(F.log10(F.col("c") + 1.0)).alias("rare_logs"), F.count("*").alias("rare_known"))
+    both = scratch.table(_scored(rows, known), "scored")
+    scored = both.filter("word is null").drop("word")
+    found = both.filter("word is not null").select("mark", "word").join(counts, "word").groupBy("mark").agg(F.sum(F.log10(F.col("c") + 1.0)).alias("rare_logs"), F.count("*").alias("rare_known"))
     copies = scored.groupBy("mark").agg(F.count("*").alias("copies"))
     rare = scratch.table(found.join(copies, "mark").select("mark", (F.col("rare_logs") / F.col("copies")).alias("rare_logs"), (F.col("rare_known") / F.col("copies")).cast("long").alias("rare_known")), "rare")
     joined = scored.join(rare, "mark", "left")
