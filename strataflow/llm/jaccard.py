@@ -423,6 +423,7 @@ class GroupedPrefixJoin:
         found = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
         links = self.scratch.table(found.mapInArrow(_similar(self.percent), "a long, b long").distinct(), "links")
         self.scratch.drop(sets, chosen, pairs)
+        picked.unpersist()
         return links
 
     def run(self) -> tuple[DataFrame, DataFrame]:
@@ -449,6 +450,7 @@ class GroupedPrefixJoin:
             rows = self.mixed(rows, components(links, self.scratch))
             more = self.verified(self.apart(rows, forest), members, documents, classes)
             links = links.union(more)
+        classes.unpersist()
         return documents, links
 
     def mixed(self, rows: DataFrame, parts: DataFrame) -> DataFrame:
