@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import session, text, values
+from . import extraction
 
 #: Allowed changes of an assertion's state.
 TRANSITIONS = [("CANDIDATE", "SUPPORTED"), ("CANDIDATE", "REJECTED"), ("SUPPORTED", "ACCEPTED"), ("SUPPORTED", "REJECTED"), ("SUPPORTED", "INVALIDATED"), ("SUPPORTED", "SUPERSEDED"), ("ACCEPTED", "INVALIDATED"), ("ACCEPTED", "SUPERSEDED")]
@@ -28,11 +29,12 @@ def duplicate_groups(df: DataFrame, key: str, content: Column) -> DataFrame:
     return groups.filter("n > 1")
 
 
-def fragments(df: DataFrame, key: str, body: str, separator: str = r"\n") -> DataFrame:
-    """Non-blank parts of each text, in order, with their hash."""
+def fragments(df: DataFrame, key: str, body: str, separator: str = r"\n", kind: str = "paragraph") -> DataFrame:
+    """Non-blank parts of each text, in order, with the hash of their version, kind, ordinal from 1, normalised text and trace."""
     parts = df.select(F.col(key), F.posexplode(F.split(F.col(body), separator)).alias("place", "part"))
     parts = parts.select(key, F.col("place").cast("long").alias("place"), F.trim("part").alias("part")).filter("part <> ''")
-    return parts.withColumn("hash", F.sha2(F.concat_ws("|", F.col(key).cast("string"), F.col("place").cast("string"), "part").cast("binary"), 256))
+    none = F.lit(None).cast("string")
+    return parts.withColumn("hash", extraction.fragment_hash(F.col(key), F.lit(kind), F.col("place") + 1, text.normal(F.col("part")), none, none, none, none, F.col("place") + 1))
 
 
 def section_of(df: DataFrame, key: str, place: str, heading: Column) -> DataFrame:
@@ -110,8 +112,48 @@ def breadth_first(edges: DataFrame, start: DataFrame, depth: int = 8) -> DataFra
     return reached
 
 
-def search_like(df: DataFrame, key: str, body: str, needle: str, most: int) -> DataFrame:
-    return df.filter(F.contains(F.lower(body), F.lit(needle.lower()))).orderBy(key).limit(most)
+def trace(edges: DataFrame, start: DataFrame, depth: int = 8) -> tuple[DataFrame, DataFrame]:
+    """(nodes with their distance, the edges between them): what lies within ``depth`` steps, along edges either way."""
+    nodes = breadth_first(edges, start, depth)
+    both = nodes.select(F.col("node").alias("_a"))
+    inner = edges.join(both, F.col("src") == F.col("_a"), "left_semi").join(both.withColumnRenamed("_a", "_b"), F.col("dst") == F.col("_b"), "left_semi")
+    return nodes, inner
+
+
+def graph_projection(entities: DataFrame, relations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(nodes, edges) of entities (kind, external_id, attributes map) and relations (kind, source_kind, source_id, target_kind, target_id, attributes map).
+
+    Ids come from what they stand for, so a projection that is run again gives the same graph; equal nodes and edges count once, and
+    an edge whose ends aren't both there goes. The signature tells whether contents changed.
+    """
+    seed = lambda *parts: values.url_id(F.concat_ws(":", *parts))
+    signature = lambda c: F.sha2(F.to_json(F.map_from_entries(F.array_sort(F.map_entries(c)))).cast("binary"), 256)
+    nodes = entities.select(seed(F.lit("node"), "kind", "external_id").alias("node_id"), "kind", "external_id", "attributes", signature(F.col("attributes")).alias("signature")).dropDuplicates(["node_id"])
+    ends = relations.select("kind", seed(F.lit("node"), "source_kind", "source_id").alias("src"), seed(F.lit("node"), "target_kind", "target_id").alias("dst"), "attributes")
+    ids = nodes.select("node_id")
+    ends = ends.join(ids.withColumnRenamed("node_id", "src"), "src", "left_semi").join(ids.withColumnRenamed("node_id", "dst"), "dst", "left_semi")
+    edges = ends.select(seed(F.lit("edge"), "kind", "src", "dst").alias("edge_id"), "kind", "src", "dst", "attributes", signature(F.col("attributes")).alias("signature")).dropDuplicates(["edge_id"])
+    return nodes, edges
+
+
+#: The search index of each kind of source.
+INDEXES = {"variable": "ikc-variables-v1", "document": "ikc-documents-v1", "fragment": "ikc-fragments-v1", "assertion": "ikc-assertions-v1", "fact": "ikc-facts-v1"}
+
+
+def search_documents(sources: DataFrame) -> DataFrame:
+    """A search document for each row (kind, source_id, parts array): its index, its text of the parts that aren't empty, and a stand-in embedding."""
+    index = F.try_element_at(F.create_map(*(F.lit(x) for pair in INDEXES.items() for x in pair)), F.col("kind"))
+    body = F.array_join(F.filter(F.transform("parts", lambda p: F.trim(p)), lambda p: p != ""), " ")
+    rows = sources.select(values.url_id(F.concat_ws(":", F.lit("search"), "kind", "source_id")).alias("document_id"), "kind", "source_id", index.alias("index_name"), body.alias("index_text"))
+    return rows.withColumn("embedding", F.array(F.length("index_name").cast("float"), F.length("index_text").cast("float")))
+
+
+def search_like(df: DataFrame, key: str, body: str, needle: str, most: int, source: tuple[str, str] | None = None) -> DataFrame:
+    """The first rows whose text holds the needle in any case; its % and _ are wildcards. ``source`` is a column and its value."""
+    found = df.filter(F.lower(body).like(f"%{needle.lower()}%"))
+    if source is not None:
+        found = found.filter(F.col(source[0]) == source[1])
+    return found.orderBy(key).limit(most)
 
 
 def relevance(name: Column, alias: Column, code: Column, body: Column, needle: str) -> Column:

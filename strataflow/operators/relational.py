@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,20 +17,27 @@ def latest_snapshot(df: DataFrame, stamp: str) -> DataFrame:
 def not_in_pairs(df: DataFrame, other: DataFrame, columns: list[str]) -> DataFrame:
     """Rows whose tuple isn't in the other table, with SQL's rule for nulls in NOT IN.
 
-    A hash anti join takes the exact matches. Only rows with a null, and rows of the other table with one,
-    then need the rule that a null may equal anything.
+    A null may equal anything, so rows with nulls in some columns are compared in the rest: for each pattern of nulls
+    that occurs on either side there is one hash anti join on the columns that neither has null, and where none is
+    left the pair of patterns takes all rows. Which patterns occur is counted first, a row for each.
     """
-    other = other.select(*(F.col(c).alias(f"_{c}") for c in columns)).distinct()
-    has_null = lambda names: F.greatest(*(F.col(c).isNull().cast("int") for c in names), F.lit(0)) == 1
-    inner = [f"_{c}" for c in columns]
-    exact = df.join(other, [F.col(c) == F.col(f"_{c}") for c in columns], "left_anti")
-    maybe = None
-    for c in columns:
-        part = (F.col(c) == F.col(f"_{c}")) | F.col(c).isNull() | F.col(f"_{c}").isNull()
-        maybe = part if maybe is None else maybe & part
-    whole, holed = exact.filter(~has_null(columns)), exact.filter(has_null(columns))
-    whole = whole.join(other.filter(has_null(inner)), maybe, "left_anti")
-    return whole.union(holed.join(other, maybe, "left_anti"))
+    flags = [F.col(c).isNull().alias(f"_n{i}") for i, c in enumerate(columns)]
+    patterns = lambda table: sorted(tuple(r) for r in table.select(*flags).distinct().collect())  # noqa: E731  2 ** len(columns) rows at most
+    matching = lambda pattern: functools.reduce(operator.and_, (F.col(c).isNull() == F.lit(n) for c, n in zip(columns, pattern, strict=True)))
+    other = other.select(*columns)
+    theirs, out = patterns(other), df.filter(F.lit(False))
+    for own in patterns(df):
+        rows = df.filter(matching(own))
+        for their in theirs:
+            both = [c for c, a, b in zip(columns, own, their, strict=True) if not a and not b]
+            if not both:
+                rows = None
+                break
+            partners = other.filter(matching(their)).select(*(F.col(c).alias(f"_{c}") for c in both)).distinct()
+            rows = rows.join(partners, [F.col(c) == F.col(f"_{c}") for c in both], "left_anti")
+        if rows is not None:
+            out = out.union(rows)
+    return out
 
 
 def first_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

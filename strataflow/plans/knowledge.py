@@ -22,7 +22,7 @@ def exact_duplicates(spark, sf_dir):
 
 
 @query("fragments", r"""WITH p AS (SELECT doc_id, unnest(range(len(parts))) AS place, trim(unnest(parts)) AS part FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))
-  SELECT doc_id, place, sha256(doc_id || '|' || place || '|' || part) AS hash FROM p WHERE part <> ''""")
+  SELECT doc_id, place, sha256(doc_id || '|paragraph|' || (place + 1) || '|' || lower(trim(regexp_replace(part, '\s+', ' ', 'g'))) || '|||||' || (place + 1)) AS hash FROM p WHERE part <> ''""")
 def fragments(spark, sf_dir):
     return k.fragments(table(spark, sf_dir, "documents"), "doc_id", "text").select("doc_id", "place", "hash")
 
@@ -111,17 +111,17 @@ def graph_neighbors(spark, sf_dir):
     return _graph(spark, sf_dir).groupBy(F.col("dst").alias("node"), "kind").agg(F.count("*").alias("neighbors"))
 
 
-@query("search_like", "SELECT doc_id, source FROM documents WHERE contains(lower(text), 'license') ORDER BY doc_id LIMIT 20")
+@query("search_like", "SELECT doc_id, source FROM documents WHERE lower(text) LIKE '%lic%se%' AND source <> '' ORDER BY doc_id LIMIT 20")
 def search_like(spark, sf_dir):
-    return k.search_like(table(spark, sf_dir, "documents"), "doc_id", "text", "license", 20).select("doc_id", "source")
+    return k.search_like(table(spark, sf_dir, "documents"), "doc_id", "text", "lic%se", 20).select("doc_id", "source")
 
 
-@query("search_ranked", """WITH s AS (SELECT p_partkey, CASE WHEN lower(p_name) = 'part 7' THEN 100 WHEN lower(p_brand) = 'part 7' THEN 90 WHEN lower(p_type) = 'part 7' THEN 80
-  WHEN contains(lower(p_name || ' ' || p_brand), 'part') AND contains(lower(p_name || ' ' || p_brand), '7') THEN 70 ELSE 0 END AS score FROM part)
+@query("search_ranked", """WITH s AS (SELECT p_partkey, CASE WHEN lower(p_name) = 'small' THEN 100 WHEN lower(p_brand) = 'small' THEN 90 WHEN lower(p_type) = 'small' THEN 80
+  WHEN contains(lower(p_name || ' ' || p_brand), 'small') THEN 70 ELSE 0 END AS score FROM part)
   SELECT p_partkey, CAST(score AS BIGINT) AS score FROM s WHERE score > 0 ORDER BY score DESC, p_partkey LIMIT 25""")
 def search_ranked(spark, sf_dir):
     part = table(spark, sf_dir, "part")
-    score = k.relevance(F.col("p_name"), F.col("p_brand"), F.col("p_type"), F.concat_ws(" ", "p_name", "p_brand"), "part 7")
+    score = k.relevance(F.col("p_name"), F.col("p_brand"), F.col("p_type"), F.concat_ws(" ", "p_name", "p_brand"), "small")
     return part.select("p_partkey", score.cast("long").alias("score")).filter("score > 0").orderBy(F.desc("score"), "p_partkey").limit(25)
 
 
@@ -146,6 +146,48 @@ def lifecycle_violations(spark, sf_dir):
     return k.invalid_transitions(rows, "before", "after")
 
 
+@query("graph_trace", f"""WITH RECURSIVE {EDGES_SQL}, sides AS (SELECT src, dst FROM edges UNION SELECT dst, src FROM edges), b AS (SELECT 'r0' AS node, 0 AS depth UNION SELECT dst, depth + 1 FROM b JOIN sides ON src = node WHERE depth < 2)
+  SELECT src, dst, kind FROM edges WHERE src IN (SELECT node FROM b) AND dst IN (SELECT node FROM b)""")
+def graph_trace(spark, sf_dir):
+    return k.trace(_graph(spark, sf_dir), spark.createDataFrame([("r0",)], "node string"), 2)[1]
+
+
+def _projected(spark, sf_dir):
+    t = lambda n: table(spark, sf_dir, n)
+    text = lambda c: F.col(c).cast("string")
+    attributes = lambda *pairs: F.create_map(*(x for name, c in pairs for x in (F.lit(name), c)))
+    nations = t("nation").select(F.lit("nation").alias("kind"), text("n_nationkey").alias("external_id"), attributes(("name", F.col("n_name"))).alias("attributes"))
+    entities = nations.union(nations).union(t("customer").select(F.lit("customer"), text("c_custkey"), attributes(("segment", F.col("c_mktsegment")), ("name", F.col("c_name")))))
+    relations = t("customer").select(F.lit("lives_in").alias("kind"), F.lit("customer").alias("source_kind"), text("c_custkey").alias("source_id"), F.lit("nation").alias("target_kind"), (F.col("c_nationkey") * 2).cast("string").alias("target_id"), attributes(("since", F.lit("1"))).alias("attributes"))
+    return k.graph_projection(entities, relations)
+
+
+@query("projected_nodes", """SELECT kind, external_id, sha256(json) AS signature FROM (SELECT 'nation' AS kind, n_nationkey || '' AS external_id, '{"name":"' || n_name || '"}' AS json FROM nation UNION ALL SELECT 'customer', c_custkey || '', '{"name":"' || c_name || '","segment":"' || c_mktsegment || '"}' FROM customer)""")
+def projected_nodes(spark, sf_dir):
+    return _projected(spark, sf_dir)[0].select("kind", "external_id", "signature")
+
+
+@query("projected_edges", "SELECT 'lives_in' AS kind, count(*) AS n, count(DISTINCT c_nationkey) AS targets FROM customer WHERE c_nationkey * 2 IN (SELECT n_nationkey FROM nation)")
+def projected_edges(spark, sf_dir):
+    return _projected(spark, sf_dir)[1].groupBy("kind").agg(F.count("*").alias("n"), F.countDistinct("dst").alias("targets"))
+
+
+@query("search_documents", """SELECT 'variable' AS kind, p_partkey || '' AS source_id, 'ikc-variables-v1' AS index_name, concat_ws(' ', p_name, CASE WHEN p_size % 2 = 0 THEN p_brand END) AS index_text FROM part UNION ALL SELECT 'document', doc_id || '', 'ikc-documents-v1', coalesce(lang, '') || CASE WHEN lang IS NOT NULL AND source IS NOT NULL THEN ' ' ELSE '' END || coalesce(source, '') FROM documents""")
+def search_documents(spark, sf_dir):
+    part = table(spark, sf_dir, "part").select(F.lit("variable").alias("kind"), F.col("p_partkey").cast("string").alias("source_id"), F.array("p_name", F.when(F.col("p_size") % 2 == 0, F.col("p_brand")).otherwise(" ")).alias("parts"))
+    docs = table(spark, sf_dir, "documents").select(F.lit("document"), F.col("doc_id").cast("string"), F.array(F.coalesce("lang", F.lit("")), F.coalesce("source", F.lit(""))))
+    return k.search_documents(part.union(docs)).select("kind", "source_id", "index_name", "index_text")
+
+
 @query("html_structure")
 def html_structure(spark, sf_dir):
     return html.structure(table(spark, sf_dir, "pages"), "page_id", "html")
+
+
+@query("html_elements", f"""SELECT p_partkey, CAST(unnest(range(7)) AS BIGINT) AS place, unnest(['title', 'heading2', 'paragraph', 'table_row', 'figure', 'link']) AS kind, unnest([p_name, p_type, p_size || '', '1|' || p_size, p_brand, 'l']) AS text FROM part""".replace("range(7)", "range(6)"))
+def html_elements(spark, sf_dir):
+    """Pages whose elements are known: text before a nested element isn't its own, and blank rows go."""
+    join = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
+    size = F.col("p_size").cast("string")
+    page = join("<title>", F.col("p_name"), "</title><h2>", F.col("p_type"), "</h2><p>a <b>x</b> ", size, "</p><table><caption>c</caption><tr><td>1</td><td>", size, "</td></tr><tr><td></td></tr></table><img alt='", F.col("p_brand"), "'><a href='/u'>l</a>")
+    return html.structure(table(spark, sf_dir, "part").select("p_partkey", page.alias("page")), "p_partkey", "page").select("p_partkey", "place", "kind", "text")

@@ -1,16 +1,20 @@
 """LAS well logs as data sources: ``las_header`` reads no data rows, ``las_data`` gives a row a curve and value.
 
-Both are registered with ``register(spark)`` and read with ``spark.read.format("las_header").load(path)``.
-The path may be a glob or a folder; files are listed and opened through pyarrow's file systems.
+Both are registered with ``register(spark)`` and read with ``spark.read.format("las_header").load(path)``. The path
+may be a glob or a folder, on file systems that pyarrow opens. For any other that Spark reads, ``headers_of`` and
+``data_of`` take the rows (path, content) of Spark's own binaryFile source. A header's file is read up to its data
+section; the option ``hash`` reads all of it for its checksum.
 """
 
 from __future__ import annotations
 
 import fnmatch
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,10 +22,13 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 #: The null value of files that name none, and the encodings that are tried in order.
 NULL_VALUE = -999.25
-ENCODINGS = ("utf-8-sig", "latin-1")
+ENCODINGS = ("utf-8-sig", "utf-8", "latin-1", "cp1252", "ascii")
+#: Bytes of a header that are read at a time.
+HEAD_BYTES = 64 << 10
 
 HEADER_SCHEMA = "path string, section string, place int, mnemonic string, unit string, value string, description string, sha256 string"
 DATA_SCHEMA = "path string, row bigint, place int, mnemonic string, unit string, value double, text string"
+_DATA = re.compile(rb"^[ \t]*~[Aa][^\n]*$", re.MULTILINE)
 _LINE = re.compile(r"^\s*([^.:\s][^.]*?)\s*\.(\S*)\s*(.*?)\s*:\s*([^:]*)$")
 
 
@@ -53,15 +60,21 @@ def header(lines: list[str]) -> Iterator[tuple[str, int, str, str, str, str]]:
 def data(lines: list[str]) -> Iterator[tuple[int, int, str, str, float | None, str | None]]:
     """(row, place, mnemonic, unit, value, text) of each cell; null values, NaN and text give a null value."""
     heads = list(header(lines))
+    option = lambda name, none: next((v.strip().upper() for s, _, m, _, v, _ in heads if s == "V" and m.upper() == name), none)
+    separator, wrapped = {"COMMA": ",", "TAB": "\t"}.get(option("DLM", "SPACE")), option("WRAP", "NO") == "YES"
     curves = [(m, u) for s, _, m, u, _, _ in heads if s == "C"]
     null = next((float(v) for s, _, m, _, v, _ in heads if s == "W" and m.upper() == "NULL" and re.fullmatch(r"[-+0-9.eE]+", v)), NULL_VALUE)
     inside, row = False, 0
+    cells: list[str] = []
     for line in lines:
         stripped = line.strip()
         if stripped.startswith("~"):
             inside = stripped[1:2].upper() == "A"
         elif inside and stripped and not stripped.startswith("#"):
-            for place, (cell, (mnemonic, unit)) in enumerate(zip(stripped.split(), curves)):
+            cells += [c.strip() for c in stripped.split(separator)]
+            if wrapped and len(cells) < len(curves):  # a row goes on in the next line
+                continue
+            for place, (cell, (mnemonic, unit)) in enumerate(zip(cells, curves)):
                 try:
                     number = float(cell)
                     text = None
@@ -70,7 +83,7 @@ def data(lines: list[str]) -> Iterator[tuple[int, int, str, str, float | None, s
                 if number is not None and (number != number or number == null):
                     number = None
                 yield row, place, mnemonic, unit, number, text
-            row += 1
+            row, cells = row + 1, []
 
 
 class _File(InputPartition):
@@ -81,7 +94,7 @@ class _File(InputPartition):
 class _Reader(DataSourceReader):
     def __init__(self, options: dict[str, str], whole: bool):
         self.path, self.whole = options["path"], whole
-        self.recursive = options.get("recursive", "false") == "true"
+        self.recursive, self.hash = options.get("recursive", "false") == "true", options.get("hash", "false") == "true"
 
     def partitions(self) -> list[_File]:
         base, _, pattern = self.path.rpartition("/") if any(c in self.path for c in "*?[") or self.path.lower().endswith(".las") else (self.path, "", "*.las")
@@ -93,17 +106,27 @@ class _Reader(DataSourceReader):
     def read(self, partition: _File) -> Iterator[tuple]:
         source, at = fs.FileSystem.from_uri(partition.path)
         with source.open_input_stream(at) as file:
-            raw = file.read()
+            raw = file.read() if self.whole or self.hash else head_of(file)
         lines = decode(raw).splitlines()
         if self.whole:
             for cell in data(lines):
                 yield (partition.path, *cell)
         else:
-            digest = hashlib.sha256(raw).hexdigest()
+            digest = hashlib.sha256(raw).hexdigest() if self.hash else None
             for line in header(lines):
                 yield (partition.path, *line, digest)
 
 
+def head_of(file) -> bytes:
+    """A file's bytes up to the line that begins its data section; pieces are read until one has it."""
+    raw = b""
+    while piece := file.read(HEAD_BYTES):
+        raw += piece
+        if found := _DATA.search(raw):
+            return raw[: found.start()]
+    return raw
+
+
 class LasHeader(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -128,6 +151,31 @@ class LasData(LasHeader):
         return _Reader(self.options, True)
 
 
+def _parsed(files: DataFrame, schema: str, parse) -> DataFrame:
+    names = [c.split()[0] for c in schema.split(", ")]
+    kinds = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64()}
+    types = [kinds[c.split()[1]] for c in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                rows = parse(path, content.as_py() or b"")
+                while part := list(itertools.islice(rows, 50_000)):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*part, strict=True), types, strict=True)], names)
+
+    return files.select("path", "content").mapInArrow(run, schema)
+
+
+def headers_of(files: DataFrame) -> DataFrame:
+    """The header lines of files (path, content), with the checksum of each."""
+    return _parsed(files, HEADER_SCHEMA, lambda path, raw: ((path, *line, hashlib.sha256(raw).hexdigest()) for line in header(decode(raw).splitlines())))
+
+
+def data_of(files: DataFrame) -> DataFrame:
+    """The cells of files (path, content)."""
+    return _parsed(files, DATA_SCHEMA, lambda path, raw: ((path, *cell) for cell in data(decode(raw).splitlines())))
+
+
 def register(spark: SparkSession) -> None:
     for source in (LasHeader, LasData):
         spark.dataSource.register(source)

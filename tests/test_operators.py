@@ -1,8 +1,12 @@
+import io
+import zipfile
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from strataflow.operators import curves, knowledge, records, relational
-from strataflow.sources import documents, html, las
+from strataflow.sources import documents, html, las, tables
 from strataflow.streaming import queue
 
 
@@ -113,7 +117,13 @@ def test_las(spark, tmp_path):
     (tmp_path / "RIG9_bad_99-99-2025.LAS").write_bytes(LAS.replace("hook", "guiñ").encode("latin-1"))
     las.register(spark)
     heads = spark.read.format("las_header").load(str(tmp_path))
-    assert heads.filter("section = 'C'").count() == 6
+    assert heads.filter("section = 'C'").count() == 6 and heads.filter("sha256 is not null").count() == 0
+    assert spark.read.format("las_header").option("hash", "true").load(str(tmp_path)).filter("sha256 is null").count() == 0
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.las").load(str(tmp_path))
+    assert las.headers_of(files).count() * 2 == heads.count() and las.data_of(files).count() == 9
+    wrapped = LAS.replace("~Well", "WRAP. YES : wrapped\nDLM. COMMA : comma\n~Well").replace("1.0 10.5 on\n", "1.0,\n10.5, on\n").replace("2.0 -999.25 off", "2.0,-999.25,off").replace("3.0 NaN on", "3.0,NaN,on")
+    cells = list(las.data(wrapped.replace("1.0,\n", "1.0\n").splitlines()))
+    assert [c[4] for c in cells if c[2] == "HKLD"] == [10.5, None, None] and cells[2][5] == "on"
     meta = las.file_metadata(heads.select("path").distinct()).collect()
     assert {r["rig"] for r in meta} == {"RIG9"} and sorted(str(r["file_date"]) for r in meta) == ["2025-07-28", "None"]
     rows = spark.read.format("las_data").load(str(tmp_path / "RIG9_LMC_28-07-2025_1.las"))
@@ -123,18 +133,81 @@ def test_las(spark, tmp_path):
     assert "-999.25" in las.to_json(rows).first()["json"]
 
 
+def test_html():
+    page = "<title>T</title><p>a <b>b</b> c</p><p>one</p><script>x</script><img title='cap'><img src='i.png'><a href='/u'>l</a><dl><dt>ROP</dt><dd>rate</dd><dd>no term</dd></dl><table><caption>Cap</caption><tr><th>h</th><th>i</th></tr><tr><td> </td></tr><tr><td>1 <b>2</b></td><td>3</td></tr></table><h2>H</h2><li>item</li>"
+    assert html.elements(page) == [
+        ("title", "T", None, None, None), ("paragraph", "c", None, None, None), ("paragraph", "one", None, None, None), ("figure", "figure", "cap", None, None), ("figure", "i.png", None, None, None), ("link", "l", "/u", None, None),
+        ("glossary", "ROP: rate", None, None, None), ("table_row", "h|i", "Cap", 1, 1), ("table_row", "1 2|3", "Cap", 1, 2), ("heading2", "H", None, None, None), ("paragraph", "item", None, None, None),
+    ]
+    assert html.elements("") == [("title", html.NO_TITLE, None, None, None)]
+
+
 def test_documents(spark):
-    assert html.elements("<title>T</title><p>a <b>b</b></p><script>x</script><img src='i.png'><a href='/u'>l</a>") == [("title", "T", None), ("paragraph", "a b", None), ("image", "", "i.png"), ("link", "l", "/u")]
-    assert documents.markdown_blocks("# A\ntext\nmore\n\n|h|i|\n|-|-|\n|1|2|\n## Glossary\n- ROP: rate") == [("heading1", "A"), ("paragraph", "text more"), ("table_row", "h|i"), ("table_row", "1|2"), ("heading2", "Glossary"), ("glossary", "ROP: rate")]
-    df = spark.createDataFrame([(1, "Title\n\n body \n\n\nlast"), (2, None)], "k int, t string")
-    assert [r["kind"] for r in documents.paragraphs(df, "k", "t").orderBy("place").collect()] == ["title", "paragraph", "paragraph"]
+    text = "# A\ntext\nmore [l](u)\n\n[x](y)\n|h|i|\n|-|:-|\n|1|2|\n## B\n![](f)\n![g](f)\nGlossary:\nROP: rate: x\n- b\n\nend"
+    kinds = [(k, t, a, n, r) for k, t, a, n, r in documents.markdown_blocks(text)]
+    none = (None, None)
+    assert kinds == [
+        ("title", "A", None, *none), ("heading1", "A", None, *none), ("link", "l", "u", *none), ("paragraph", "text more [l](u)", None, *none), ("link", "x", "y", *none), ("table_row", "h|i", None, 1, 1), ("table_row", "1|2", None, 1, 3),
+        ("heading2", "B", None, *none), ("figure", "figure_1", None, *none), ("figure", "g", None, *none), ("glossary", "ROP: rate: x", None, *none), ("paragraph", "end", None, *none),
+    ]
+    df = spark.createDataFrame([(1, "Title\n\n body \n\n\nlast"), (2, None), (3, "only")], "k int, t string")
+    assert [(r["k"], r["kind"], r["text"]) for r in documents.paragraphs(df, "k", "t").orderBy("k", "place").collect()] == [(1, "title", "Title"), (1, "paragraph", "body"), (1, "paragraph", "last"), (3, "title", "only"), (3, "paragraph", "only")]
     formats = spark.createDataFrame([("a.MD",), ("b/c.pdf",), ("x.exe",)], "p string").select(documents.format_of(F.col("p")).alias("f"))
     assert [r["f"] for r in formats.collect()] == ["markdown", "pdf", None]
 
 
+def _zip(parts):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as archive:
+        for name, text in parts.items():
+            archive.writestr(name, text)
+    return out.getvalue()
+
+
+def test_office_files(spark):
+    w = "xmlns:w='http://schemas.openxmlformats.org/wordprocessingml/2006/main'"
+    docx = _zip({
+        "word/document.xml": f"<w:document {w}><w:body><w:p><w:pPr><w:pStyle w:val='H2'/></w:pPr><w:r><w:t>Head</w:t></w:r></w:p><w:p><w:r><w:t>See </w:t></w:r><w:r><w:t>table 1</w:t></w:r></w:p><w:p/><w:tbl><w:tr><w:tc><w:p><w:r><w:t>a</w:t></w:r></w:p></w:tc><w:tc><w:p/></w:tc></w:tr></w:tbl></w:body></w:document>",
+        "word/styles.xml": f"<w:styles {w}><w:style w:styleId='H2'><w:name w:val='heading 2'/></w:style></w:styles>",
+    })
+    s, r = "xmlns='http://schemas.openxmlformats.org/spreadsheetml/2006/main'", "xmlns:r='http://schemas.openxmlformats.org/officeDocument/2006/relationships'"
+    xlsx = _zip({
+        "xl/workbook.xml": f"<workbook {s} {r}><sheets><sheet name='One' r:id='rId1'/><sheet name='Two' r:id='rId2'/></sheets></workbook>",
+        "xl/_rels/workbook.xml.rels": "<Relationships><Relationship Id='rId1' Target='worksheets/s1.xml'/><Relationship Id='rId2' Target='worksheets/s2.xml'/></Relationships>",
+        "xl/sharedStrings.xml": f"<sst {s}><si><t>Tag</t></si><si><r><t>Va</t></r><r><t>lue</t></r></si></sst>",
+        "xl/worksheets/s1.xml": f"<worksheet {s}><sheetData><row><c r='A1' t='s'><v>0</v></c><c r='C1' t='s'><v>1</v></c></row><row/><row><c r='A3'><v>7</v></c><c r='B3'><v>0.5</v></c><c r='D3' t='b'><v>1</v></c></row></sheetData></worksheet>",
+        "xl/worksheets/s2.xml": f"<worksheet {s}><sheetData/></worksheet>",
+    })
+    files = [("d/my_doc.docx", docx), ("d/w.xlsx", xlsx), ("x.exe", b"1"), ("p.PDF", b"%PDF"), ("broken.docx", b"no zip"), ("n.txt", "T\n\nb".encode()), ("h.htm", b"<p>x</p>")]
+    rows = {}
+    for r in documents.parsed(spark.createDataFrame(files, "path string, content binary")).orderBy("path", "place").collect():
+        rows.setdefault(r["path"], []).append((r["kind"], r["text"], r["table"], r["row"]))
+    assert rows["d/my_doc.docx"] == [("title", "my doc", None, None), ("heading2", "Head", None, None), ("paragraph", "See table 1", None, None), ("reference", "See table 1", None, None), ("table_row", "a|", 1, 1)]
+    assert rows["d/w.xlsx"] == [("title", "w", None, None), ("heading1", "One", None, None), ("table_caption", "Sheet One from file w.xlsx. Columns: Tag |  | Value | . Data rows: 1.", None, None), ("table_row", "Tag||Value|", 1, 1), ("table_row", "7|0.5||TRUE", 1, 2), ("heading1", "Two", None, None)]
+    assert rows["x.exe"] == [("error", "unsupported_document_format: exe", None, None)] and rows["p.PDF"][0][1].startswith(("missing_pdf_dependency", "unreadable")) and rows["broken.docx"] == [("error", "unreadable: BadZipFile", None, None)]
+    assert rows["n.txt"] == [("title", "T", None, None), ("paragraph", "b", None, None)] and rows["h.htm"][1][1] == "x"
+
+
+def test_csv_in_and_out(spark, tmp_path):
+    source = tmp_path / "wells.csv"
+    source.write_text('Operator,Well Name,Contractor,Rig,Spud Date,Latest EDR\nA,"W, 1",C,R-1,2024-01-05,2024-06-01 07:00:00\nB,W2,,,bad,\n')
+    rows = tables.well_list(spark, str(source), F.lit("2024-06-01 12:30:00").cast("timestamp")).orderBy("operator").collect()
+    assert [(r["well_name"], str(r["spud_date"]), r["status"]) for r in rows] == [("W, 1", "2024-01-05", "online"), ("W2", "None", "offline")]
+    df = spark.createDataFrame([("R", "x;y", None)], "Rig string, Operator string, z string")
+    tables.save_csv(df.coalesce(1), str(tmp_path / "out"), ("Operator", "Well Name", "Rig"), separator=";", bom=True)
+    text = next((tmp_path / "out").glob("*.csv")).read_text()
+    assert text == '\ufeffOperator;Well Name;Rig\n"x;y";;R\n'
+
+
 def test_queue_is_idempotent(spark, tmp_path):
     inbox, out = str(tmp_path / "in"), str(tmp_path / "out")
     spark.range(5).withColumnRenamed("id", "k").write.parquet(inbox)
     for check in ("c1", "c1", "c2"):  # the last run has lost its checkpoint
         queue.process_once(queue.pending_files(spark, inbox, "k long"), lambda b: b, "k", out, str(tmp_path / check)).awaitTermination()
     assert sorted(r["k"] for r in spark.read.parquet(out).collect()) == [0, 1, 2, 3, 4]
+    with_payload = spark.createDataFrame([(3, "a"), (9, "b")], "k long, v string")
+    queue.append_once(with_payload, "k", str(tmp_path / "p"), ["v"])
+    queue.append_once(with_payload, "k", str(tmp_path / "p"), ["v"])
+    with pytest.raises(queue.ConflictError):
+        queue.append_once(with_payload.withColumn("v", F.lit("c")), "k", str(tmp_path / "p"), ["v"])
+    assert spark.read.parquet(str(tmp_path / "p")).count() == 2
