@@ -557,3 +557,24 @@ def keep_one_of_each(docs: DataFrame, scratch: Scratch, key: str = "doc_id", tex
 def documents_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     with Scratch(spark, "jaccard") as scratch:
         return scratch.publish(near_copies(spark.read.parquet(f"{sf_dir}/documents.parquet"), scratch))
+
+
+#: Sets, links by counting shared shingles, and components as the closure of links.
+ORACLE_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')] ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i : i + 3], ' ')) END) AS g FROM w
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)
+), sides AS (
+  SELECT a, b FROM links UNION SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id AS root, doc_id FROM documents UNION SELECT root, b FROM reach JOIN sides ON doc_id = a
+)
+SELECT doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(root) AS component_id FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
+"""

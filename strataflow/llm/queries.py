@@ -27,4 +27,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": decontaminate.ORACLE_SQL, "op5_warc": warc.ORACLE_SQL}
+    return {"op3_decontamination": decontaminate.ORACLE_SQL, "op4_near_copies": jaccard.ORACLE_SQL, "op5_warc": warc.ORACLE_SQL}

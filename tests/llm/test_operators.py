@@ -114,6 +114,163 @@ def test_quality_rules_share_one_risk():
     assert sorted(steps[steps > 0]) == list(range(1, 41))
 
 
+def plain_kept(spark, rows, labels):
+    """What ``judge`` keeps, rule by rule and document by document: rows have doc_id, stratum and COUNTS."""
+    n_bins = quality.BINS + 1
+    divided = lambda a, b: a / max(b, 1)
+
+    def scores(r):
+        c = dict(zip(quality.COUNTS, r[2:]))
+        return (divided(c["n_symbols"], c["word_chars"]), divided(c["n_dup_lines"], c["n_lines"]), divided(c["n_repeat_words"], c["n_words"]), divided(c["word_chars"], c["n_words"]) / 32, 1 - divided(c["word_chars"], c["n_words"]) / 8, divided(c["n_bare"], c["n_words"]))
+
+    bins = {r[0]: [math.floor(min(max(x, 0.0), 1.0) * quality.BINS) for x in scores(r)] for r in rows}
+    failed = {r[0]: r[2] < 50 or 100 * r[6] > 50 * r[2] for r in rows}
+    strata = {r[0]: r[1] for r in rows}
+    hashed = spark.createDataFrame([(str(i),) for i in bins], "k string").select("k", (F.pmod(F.xxhash64("k", F.lit(5)), F.lit(quality.GUIDE)) == 0).alias("g")).collect()
+    guides = {int(r["k"]) for r in hashed if r["g"]}
+    level = quality.LEVEL / len(set(strata.values()))
+    kept = {}
+    for stratum in set(strata.values()):
+        own = [i for i in bins if strata[i] == stratum]
+        marked = [(i, q) for i, q in labels if i in bins and strata[i] == stratum and not failed[i]]
+        guide = [(bins[i], q) for i, q in marked if i in guides or q == 0]
+        tested = [(bins[i], q) for i, q in marked if not (i in guides and q == 1)]
+        cuts, steps = [n_bins] * 6, []
+        while True:
+            best, move = (0.0, 0), None
+            for rule in range(6):
+                options = []
+                for cut in range(cuts[rule] - 1, 0, -1):
+                    caught = sum(b[rule] >= cut and b[rule] < cuts[rule] for b, q in guide if q == 0)
+                    lost = sum(b[rule] >= cut and b[rule] < cuts[rule] for b, q in guide if q == 1)
+                    options.append((caught / (lost + 0.5), caught, cut))
+                if options:
+                    top = max((g, c) for g, c, _ in options)
+                    cut = max(cut for g, c, cut in options if c == top[1])
+                    if top > best:
+                        best, move = top, (rule, cut)
+            if move is None:
+                break
+            for cut in range(cuts[move[0]] - 1, move[1] - 1, -1):
+                steps.append((move[0], cut))
+            cuts[move[0]] = move[1]
+        good, bad = sum(q == 1 for _, q in tested), sum(q == 0 for _, q in tested)
+        chosen, value, now = 0, 0.0, [n_bins] * 6
+        for k, (rule, cut) in enumerate(steps, 1):
+            now[rule] = cut
+            gone = [q for b, q in tested if any(b[r] >= now[r] for r in range(6))]
+            lost, caught = sum(q == 1 for q in gone), sum(q == 0 for q in gone)
+            chance = sum(math.comb(good, i) * quality.RISK**i * (1 - quality.RISK) ** (good - i) for i in range(lost + 1))
+            if not good or lost > quality.RISK * good or chance > level:
+                break
+            if caught / bad - quality.GAIN * lost / good > value:
+                chosen, value = k, caught / bad - quality.GAIN * lost / good
+        final = [min((cut for r, cut in steps[:chosen] if r == rule), default=n_bins) for rule in range(6)]
+        for i in own:
+            kept[i] = not failed[i] and all(bins[i][r] < final[r] for r in range(6))
+    return kept
+
+
+@pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.01"])
+def test_quality_query_equals_a_plain_version(spark, sf):
+    langs = {r["doc_id"]: r["lang"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang").collect()}
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    labels = sorted({(r["doc_id"], r["quality"]) for r in spark.read.parquet(f"{sf}/labels.parquet").collect()})
+    found = queries.queries()["op1_quality"](spark, sf).collect()
+    for r in found:
+        assert tuple(r[n] for n in quality.COUNTS[:5]) == brute_counts(texts[r["doc_id"]])
+    want = plain_kept(spark, [(r["doc_id"], langs[r["doc_id"]], *(r[n] for n in quality.COUNTS)) for r in found], labels)
+    assert {r["doc_id"]: r["kept"] for r in found} == want
+
+
+def test_quality_acts_by_its_method(spark):
+    """Where each stratum has labels enough, the method rejects beyond the base rule, as the plain version does."""
+    rng = random.Random(8)
+    rows, labels = [], []
+    for i in range(2400):
+        bad = i % 6 == 0
+        words = ["w" + str(rng.randint(0, 9999)) + ("##" if rng.random() < (0.5 if bad else 0.004) else "") for _ in range(60)]
+        rows.append((i, " ".join(words), ("de", "en", "es")[i % 3]))
+        labels += [(i, 0 if bad else 1)] * (1 + i % 2)
+    df, marks = spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame(labels, "doc_id long, quality int")
+    with Scratch(spark, "t") as scratch:
+        found = quality.judge(df, marks, scratch).collect()
+    want = plain_kept(spark, [(r["doc_id"], rows[r["doc_id"]][2], *(r[n] for n in quality.COUNTS)) for r in found], sorted(set(labels)))
+    assert {r["doc_id"]: r["kept"] for r in found} == want
+    assert sum(not r["kept"] and not r["base_failed"] for r in found) > 300
+
+
+def plain_pooled(net, data):
+    """The mean of the positions' probabilities, one unit and one byte after the other."""
+    sigmoid = lambda x: 1 / (1 + math.exp(-x))
+    total = [0.0] * len(net.languages)
+    for at in range(0, len(data), langid.WINDOW):
+        part, runs = data[at : at + langid.WINDOW], []
+        for layer, order in ((net.forward, range(len(part))), (net.backward, range(len(part) - 1, -1, -1))):
+            u = layer.recurrent.shape[1]
+            w, r = layer.inputs.astype(float).tolist(), layer.recurrent.astype(float).tolist()
+            state, run = [0.0] * u, [None] * len(part)
+            for t in order:
+                h = [sum(r[j][k] * state[k] for k in range(u)) for j in range(3 * u)]
+                x = [w[j][part[t]] for j in range(3 * u)]
+                update, reset = [sigmoid(x[j] + h[j]) for j in range(u)], [sigmoid(x[u + j] + h[u + j]) for j in range(u)]
+                new = [math.tanh(x[2 * u + j] + reset[j] * h[2 * u + j]) for j in range(u)]
+                state = [update[j] * state[j] + (1 - update[j]) * new[j] for j in range(u)]
+                run[t] = state
+            runs.append(run)
+        for a, b in zip(*runs):
+            scores = [sum(o * s for o, s in zip(row, a + b)) + bias[0] for row, bias in zip(net.output.astype(float).tolist(), net.bias.astype(float).tolist())]
+            top = max(scores)
+            parts = [math.exp(s - top) for s in scores]
+            total = [x + p / sum(parts) for x, p in zip(total, parts)]
+    return [x / len(data) for x in total]
+
+
+def test_language_query_equals_a_plain_network(spark, docs):
+    df = spark.read.parquet(f"{SF}/documents.parquet")
+    net = langid.fit(df)
+    got = {r["doc_id"]: r for r in queries.queries()["op2_language"](spark, SF).collect()}
+    short = [(i, t) for i, t, _ in sorted(docs, key=lambda d: len(d[1] or "")) if t and len(t.encode()) < 1500][:40]
+    assert len(short) >= 20
+    for i, t in short:
+        if not any(c.isalpha() for c in t):
+            assert got[i]["lang_pred"] == "und"
+            continue
+        found = plain_pooled(net, t.encode())
+        best = max(range(len(found)), key=found.__getitem__)
+        assert got[i]["lang_pred"] == net.languages[best] and abs(got[i]["score"] - found[best]) < 1e-3
+
+
+def test_too_many_languages_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 2)
+    with pytest.raises(ValueError, match="3 languages"):
+        langid.fit(spark.createDataFrame([(0, "a", "x"), (2, "b", "y"), (3, "c", "z"), (5, "d", "x"), (6, "e", "y"), (8, "f", "z"), (9, "g", "x"), (11, "h", "y"), (12, "i", "z")], "doc_id long, text string, lang string"))
+
+
+def test_sharding_query_equals_plain_jumps(spark, docs):
+    rows = queries.queries()["op6_sharding"](spark, SF).collect()
+    hashes = {r["doc_id"]: r["h"] for r in spark.createDataFrame([(i,) for i, _, _ in docs], "doc_id long").select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    texts = {i: (t or "").encode() for i, t, _ in docs}
+    assert len(rows) == len(texts)
+    for r in rows:
+        key, data = hashes[r["doc_id"]] % 2**64, texts[r["doc_id"]]
+        assert (r["shard"], r["grown_shard"], r["size"], r["text_crc32"], r["law"]) == (brute_jump(key, 40), brute_jump(key, 41), len(data) + 16, zlib.crc32(data), "key")
+    for s in range(40):
+        own = sorted(r["slot"] for r in rows if r["shard"] == s)
+        assert own == list(range(len(own)))
+
+
+def test_token_query_equals_the_library(spark, docs):
+    import tokenizers
+
+    library = tokenizers.Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    rows = {r["doc_id"]: r for r in queries.queries()["op7_token_counts"](spark, SF).collect()}
+    for i, t, _ in docs:
+        n = len(library.encode(t or "", add_special_tokens=False).ids)
+        assert (rows[i]["n_bytes"], rows[i]["n_tokens"], rows[i]["over_limit"]) == (len((t or "").encode()), n, n > 1024)
+    assert any(r["over_limit"] for r in rows.values()) or max(r["n_tokens"] for r in rows.values()) <= 1024
+
+
 def test_gradients_of_the_network():
     net = langid.Network.random(["a", "b", "c"], 3, 1)
     for layer in (net.forward, net.backward):
@@ -240,6 +397,43 @@ def test_warc(spark):
     assert sorted(map(str, got)) == sorted(map(str, want))
 
 
+def test_warc_with_repeats_and_text_keys(spark):
+    rng = random.Random(9)
+    pool = ["p" * 99, "p" * 100, "é" * 60, "<p>%20 x</p>" * 20, "long " * 100_000, ""]
+    rows = [(rng.choice(["a b%", "ü/1", "k"]) + f" {i}", "http://x/ y", rng.choice(pool), "clash", "clash") for i in range(60)]
+    df = spark.createDataFrame(rows, "page_id string, url string, html string, payload string, digest string").repartition(7)
+    with Scratch(spark, "t") as scratch:
+        got = sorted(tuple(r) for r in warc.read_archives(warc.write_archives(df, scratch, scratch.path("f")), "page_id", "string").collect())
+    want = []
+    for key, _, html, _, _ in rows:
+        data, same = html.encode(), sorted(k for k, _, h, _, _ in rows if h == html)
+        again = len(data) >= 100 and key != same[0]
+        want.append((key, len(data), hashlib.sha256(data).hexdigest(), "revisit" if again else "response", same[0] if again else None))
+    assert got == sorted(want) and sum(w[3] == "revisit" for w in want) > 20
+
+
+def test_a_shard_column_is_not_overwritten(spark):
+    with pytest.raises(ValueError, match="shard"):
+        sharding.with_shard(spark.createDataFrame([(1, 2)], "doc_id long, shard int"), "doc_id", 4)
+
+
+def test_settings_are_the_callers_again(spark):
+    names = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.classic.shuffleDependency.fileCleanup.enabled"]
+    before = [spark.conf.get(n) for n in names]
+    with Scratch(spark, "t") as scratch:
+        scratch.table(spark.range(10).groupBy("id").count(), "x")
+        assert [spark.conf.get(n) for n in names] == before
+
+
+def test_rows_of_one_key_are_judged_by_their_own_text(spark):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words)), (5, " ".join(words[:-1])), (5, "quite another text of its own"), (5, "quite another text of its own"), (7, " ".join(words)), (None, " ".join(words))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    with Scratch(spark, "t") as scratch:
+        got = sorted((str(r["doc_id"]), r["text"]) for r in jaccard.keep_one_of_each(df, scratch).collect())
+    assert got == sorted([("1", rows[0][1]), ("5", rows[2][1]), ("None", rows[5][1])])
+
+
 def test_archive_round_trip():
     import io
 

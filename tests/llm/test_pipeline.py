@@ -2,18 +2,50 @@
 
 import hashlib
 import random
+import re
 
 import corpus_pipeline as p
 import public_tokenizers as P
+import pyarrow as pa
 import tiktoken
 
-from strataflow.llm import bpe
+from strataflow.llm import _text, bpe, langid, quality
 from tests.llm.fixtures import odd
-from tests.llm.test_operators import brute_components, brute_counts, brute_shingles
+from tests.llm.test_operators import LOWER, brute_counts, brute_shingles, plain_kept
 
 SF = "/root/testdata/sf0.001"
 
 
+ITEM_WORD = re.compile("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+")
+
+
+def brute_contaminated(text, items):
+    words = ITEM_WORD.findall((text or "").translate(LOWER))
+    runs = {}
+    for item in items:
+        w = ITEM_WORD.findall((item or "").translate(LOWER))
+        n = min(10, len(w))
+        if n:
+            runs.setdefault(n, set()).update(tuple(w[i : i + n]) for i in range(len(w) - n + 1))
+    return any(tuple(words[i : i + n]) in found for n, found in runs.items() for i in range(len(words) - n + 1))
+
+
+def brute_firsts(before):
+    """The least id of each component by runs of five words and 80 percent; documents without words each."""
+    sets = {i: brute_shingles(t, 5) for i, t in before.items()}
+    least = {i: i for i in sets}
+    changed = True
+    while changed:
+        changed = False
+        for a in sets:
+            for b in sets:
+                both = len(sets[a] & sets[b])
+                if a < b and both and 100 * both >= 80 * len(sets[a] | sets[b]) and least[a] != least[b]:
+                    least[a] = least[b] = min(least[a], least[b])
+                    changed = True
+    return {least[i] for i in sets}
+
+
 def test_stages(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns, seen = docs.columns, {}
@@ -26,12 +58,21 @@ def test_stages(spark, tmp_path):
         assert after <= set(before)
         if name != "byte_bpe":
             assert docs.columns == columns
+    whole = spark.read.parquet(f"{SF}/documents.parquet")
     before, after = seen["language_id"]
-    assert all(any(c.isalpha() for c in before[i] or "") for i in after)
+    scores = {r["doc_id"]: r for r in langid.identify(whole).collect()}
+    assert after == {i for i, t in before.items() if any(c.isalpha() for c in t or "") and scores[i]["score"] >= langid.LEAST_SCORE}
     before, after = seen["quality_rules"]
-    assert after <= {i for i, t in before.items() if brute_counts(t)[0] >= 50 and 2 * brute_counts(t)[4] <= brute_counts(t)[0]}
+    counts = {i: quality.count_block(*next((d, o) for _, d, o in _text.text_blocks(pa.array([t]))))[0].tolist() for i, t in before.items()}
+    langs = {r["doc_id"]: r["lang"] or "" for r in whole.collect()}
+    labels = sorted({(r["doc_id"], r["quality"]) for r in spark.read.parquet(f"{SF}/labels.parquet").collect()})
+    kept = plain_kept(spark, [(i, langs[i], *c) for i, c in counts.items()], labels)
+    assert after == {i for i, k in kept.items() if k} and all(tuple(counts[i][:5]) == brute_counts(before[i]) for i in before)
     before, after = seen["near_copies"]
-    assert after == {c for _, _, c in brute_components(sorted(before.items()))}
+    assert after == set(brute_firsts(before))
+    before, after = seen["decontamination"]
+    items = [r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    assert after == {i for i, t in before.items() if not brute_contaminated(t, items)} and len(after) < len(before)
     before, _ = seen["byte_bpe"]
     library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken")), special_tokens={})
     for r in docs.collect():
