@@ -6,7 +6,7 @@ import atexit
 import contextlib
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,8 +64,8 @@ class Scratch:
     Leaving the block deletes every table but those kept by ``publish``; those go when the process ends.
     """
 
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.root = spark, f"{shared_folder(spark)}/strataflow-{name}-{uuid.uuid4().hex}"
+    def __init__(self, spark: SparkSession, name: str, tidy: Callable[[], None] | None = None):
+        self.tidy, self.spark, self.root = tidy, spark, f"{shared_folder(spark)}/strataflow-{name}-{uuid.uuid4().hex}"
         self._parts: list[str] = []
 
     def __enter__(self) -> Scratch:
@@ -88,9 +88,11 @@ class Scratch:
             df.write.parquet(path)
 
     def drop(self, *tables: DataFrame) -> None:
-        """Deletes tables that nothing will read again."""
+        """Deletes tables that nothing will read again; the application's ``tidy`` may then have Spark clean up."""
         for table in tables:
             _delete_quietly(self.spark, table._scratch_path)
+        if self.tidy is not None:
+            self.tidy()
 
     def broadcast_if_small(self, table: DataFrame, most_rows: int) -> DataFrame:
         """A hint to broadcast a table of the scratch folder that has been counted to hold ``most_rows`` at most."""

@@ -6,7 +6,8 @@ with the same prefix and size form a group, which is indexed once. Pairs are tak
 after each the verified pairs are contracted to components:
 
 1. In each index entry, each group is paired with one hub, the group whose prefix has the fewest rarer
-   shingles.
+   shingles. An entry that may be large, by its shingle's frequency, is dealt to several tasks, and their hubs are
+   paired in turn.
 2. Groups of one entry are expanded to members. Of the pairs that still lie in different components and pass
    the size, position and bitmap filters, each block of an entry gives a spanning forest.
 3. The pairs that still lie apart then, all of them.
@@ -39,6 +40,8 @@ SHINGLE, PERCENT = 4, 85
 SKETCH_BITS, SKETCH_PARTS = 22, 16
 #: Rows of an index entry that are compared in one go; a larger entry is cut into blocks, and blocks are paired.
 BLOCK_ROWS = 1024
+#: Rows of an index entry that one task names hubs for, about; an entry that may have more is dealt to several.
+SALT_ROWS = 1 << 16
 #: Entries of up to so many rows are looked through pair by pair as they pass; of larger ones all rows stay.
 SMALL_ENTRY = 64
 #: Bits of the bitmaps that bound the difference of two sets: one for rows of entries, one for pairs.
@@ -204,26 +207,30 @@ def _with_hubs(percent: int):
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
-        large, large_hubs = None, []  # the token of a large entry that goes on, and its hubs
+        large, large_hubs = None, []  # the key of a large entry that goes on, and its hubs
 
         def work(columns: list[np.ndarray], last: bool) -> pa.RecordBatch:
             nonlocal held, large, large_hubs
             if held is not None:
                 columns = [np.concatenate((h, c)) for h, c in zip(held, columns, strict=True)]
                 held = None
-            token, several = columns[0], columns[5]
-            starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1]))) if len(token) else np.empty(0, np.int64)
+            token, several, salt = columns[0], columns[5], columns[6]
+            starts = np.flatnonzero(np.concatenate(([True], (token[1:] != token[:-1]) | (salt[1:] != salt[:-1])))) if len(token) else np.empty(0, np.int64)
             ends = np.append(starts[1:], len(token))
-            if len(starts) and not last and ends[-1] - starts[-1] <= SMALL_ENTRY and token[starts[-1]] != large:
+            is_large = lambda i: (token[i], salt[i]) == large or salt[i] >= 0  # noqa: E731  of a part of an entry all rows stay
+            if len(starts) and not last and ends[-1] - starts[-1] <= SMALL_ENTRY and not is_large(starts[-1]):
                 held = [c[starts[-1] :] for c in columns]
                 starts, ends = starts[:-1], ends[:-1]
             at, hub_of = [], []
-            busy = np.flatnonzero((ends - starts > 1) | several[starts] | (token[starts] == large) if large is not None else (ends - starts > 1) | several[starts])
+            busy = (ends - starts > 1) | several[starts] | (salt[starts] >= 0)
+            if large is not None:
+                busy |= (token[starts] == large[0]) & (salt[starts] == large[1])
+            busy = np.flatnonzero(busy)
             for lo, hi in zip(starts[busy].tolist(), ends[busy].tolist(), strict=True):
                 rows = list(zip(*(c[lo:hi].tolist() for c in columns[1:5]), strict=True))
-                if token[lo] == large or hi - lo > SMALL_ENTRY:
-                    if token[lo] != large:
-                        large, large_hubs = token[lo], []
+                if is_large(lo) or hi - lo > SMALL_ENTRY:
+                    if (token[lo], salt[lo]) != large:
+                        large, large_hubs = (token[lo], salt[lo]), []
                     at += range(lo, hi)
                     hub_of += [hub_for(row, large_hubs) for row in rows]
                     continue
@@ -243,7 +250,7 @@ def _with_hubs(percent: int):
 
         for batch in batches:
             if batch.num_rows:
-                yield work([batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)], False)
+                yield work([batch.column(i).to_numpy(zero_copy_only=False) for i in range(7)], False)
         if held is not None:
             yield work([c[:0] for c in held], True)
 
@@ -438,10 +445,14 @@ class GroupedPrefixJoin:
         members = self.scratch.table(members.select("hub", "set_id", "n", "bitmap", "wide"), "members")
         self.scratch.drop(prefixes)
 
-        entries = _entries(groups).repartition(F.col("token")).sortWithinPartitions("token", "place", "n", "set_id")
-        entries = self.scratch.table(entries.mapInArrow(_with_hubs(self.percent), "token long, set_id long, n long, place long, before long, hub long"), "entries")
+        may_be = F.ceil(F.pow(F.lit(2.0), F.shiftrightunsigned("token", 56) / 3) / SALT_ROWS)  # a shingle's frequency is at most what the sketch counted
+        salt = F.when(may_be > 1, F.pmod(F.xxhash64("set_id"), may_be)).otherwise(F.lit(-1)).cast("long")
+        entries = self.hubs(_entries(groups).withColumn("salt", salt))
+        entries = self.scratch.table(entries.withColumn("salted", salt >= 0), "entries")
         self.scratch.drop(groups)
-        pairs = entries.filter("hub is not null").select(F.least("set_id", "hub").alias("a"), F.greatest("set_id", "hub").alias("b"))
+        apart = entries.filter("salted and hub is null").select("token", "set_id", "n", "place", "before", F.lit(False).alias("several"), F.lit(-1).cast("long").alias("salt"))
+        pairs = entries.select("set_id", "hub").union(self.hubs(apart).select("set_id", "hub")).filter("hub is not null").select(F.least("set_id", "hub").alias("a"), F.greatest("set_id", "hub").alias("b"))
+        entries = entries.drop("salted")
         inside = members.filter("set_id <> hub").select(F.least("set_id", "hub").alias("a"), F.greatest("set_id", "hub").alias("b"))
         links = self.verified(pairs.union(inside), members, documents, classes)
 
@@ -453,6 +464,11 @@ class GroupedPrefixJoin:
         classes.unpersist()
         return documents, links
 
+    def hubs(self, entries: DataFrame) -> DataFrame:
+        """Entries (with the column salt, -1 where an entry is whole) with the hub of each row."""
+        dealt = entries.repartition("token", "salt").sortWithinPartitions("token", "salt", "place", "n", "set_id")
+        return dealt.mapInArrow(_with_hubs(self.percent), "token long, set_id long, n long, place long, before long, hub long")
+
     def mixed(self, rows: DataFrame, parts: DataFrame) -> DataFrame:
         """Entry rows with their component, of entries that have more than one; ``blocks`` tells how to cut them."""
         rows = rows.drop("part", "blocks").join(parts.select("set_id", F.col("least").alias("part")), "set_id", "left")

@@ -208,11 +208,12 @@ def order_steps(good: np.ndarray, bad: np.ndarray) -> np.ndarray:
 def learn_cutoffs(scored: DataFrame, labels: DataFrame, key: str, counts: str, stratum: Column, strata: int, scratch: Scratch, risk: float = RISK, level: float = LEVEL) -> DataFrame:
     """stratum and a cutoff bin for each rule (null: it rejects none).
 
-    Labels other than 0 and 1, null keys and rows that the base rule fails are left out; a label that is
-    repeated counts once. Only histograms of BINS a rule, and of the steps, of each stratum leave the workers.
+    Labels other than 0 and 1, null keys, keys with both labels and rows that the base rule fails are left out; a
+    label that is repeated counts once. Only histograms of BINS a rule, and of the steps, of each stratum leave the workers.
     """
     c = lambda n: F.col(f"{counts}.{n}")
-    marks = labels.select(F.col("doc_id").alias("_label_key"), F.col("quality").alias("_label")).filter("_label in (0, 1) and _label_key is not null").distinct()
+    marks = labels.select(F.col("doc_id").alias("_label_key"), F.col("quality").alias("_label")).filter("_label in (0, 1) and _label_key is not null")
+    marks = marks.groupBy("_label_key").agg(F.min("_label").alias("_label"), F.max("_label").alias("_other")).filter("_label = _other").drop("_other")
     bins = scored.filter(~base_failed(c)).select(F.col(key).alias("_key"), stratum.alias("stratum"), F.array(*(_bin(rule(c)) for rule in RULES.values())).alias("bins"))
     guides = F.pmod(F.xxhash64(F.col("_key").cast("string"), F.lit(5)), F.lit(GUIDE)) == 0
     found = bins.join(marks, F.col("_key") == F.col("_label_key")).select("stratum", (F.col("_label") == 1).alias("good"), guides.alias("guides"), "bins")

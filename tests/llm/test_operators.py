@@ -336,9 +336,10 @@ def brute_components(rows):
     return sorted((i, len(s), least[root(x)]) for x, (i, s) in enumerate(sets))
 
 
-@pytest.mark.parametrize("block", [1024, 8])
-def test_near_copies(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, salt", [(1024, 1 << 16), (8, 1 << 16), (1024, 1), (8, 4)])
+def test_near_copies(spark, monkeypatch, block, salt):
     monkeypatch.setattr(jaccard, "BLOCK_ROWS", block)
+    monkeypatch.setattr(jaccard, "SALT_ROWS", salt)
     rng = random.Random(5)
     bases = [[rng.choice("abcdefghij") + str(rng.randint(0, 40)) for _ in range(n)] for n in (40, 60, 12, 9, 7, 100)]
     rows = [(900, None), (901, ""), (902, "a b"), (903, "A  b"), (904, " \n")]
