@@ -22,6 +22,11 @@ def prepared(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def tidy(spark: SparkSession) -> None:
+    """Has the driver collect garbage, so that Spark lets executors drop broadcasts of plans that are gone."""
+    spark._jvm.System.gc()
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is determined go on."""
     prepared(spark)
@@ -36,7 +41,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group of near copies goes on."""
-    with Scratch(prepared(spark), "pipeline-copies") as scratch:
+    with Scratch(prepared(spark), "pipeline-copies", lambda: tidy(spark)) as scratch:
         return jaccard.keep_one_of_each(docs, scratch, k=STAGE_SHINGLE, percent=STAGE_PERCENT)
 
 
