@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import curves, extraction, knowledge, mapping, quality, records, relational, resolution, tables, wells  # noqa: F401  they register their queries
+from . import curves, extraction, governance, knowledge, mapping, quality, records, relational, resolution, tables, wells  # noqa: F401  they register their queries
 from .registry import ORACLES, QUERIES, Query
 
 FLAGSHIP = "rig_summary"
