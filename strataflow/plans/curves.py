@@ -4,26 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import values
 from ..operators import curves
 from .adapters import CURVE_SQL, curve, table
 from .registry import query
 
-STATS_SQL = f"""{CURVE_SQL}, st AS (SELECT series, count(*) AS n, min(value) AS lo, max(value) AS hi, round(avg(value), 6) AS mean,
-  round(quantile_cont(value, 0.5), 6) AS median, round(stddev_pop(value), 6) AS std, count(DISTINCT value) AS distinct_values, round(quantile_cont(value, 0.01), 6) AS p01, round(quantile_cont(value, 0.05), 6) AS p05,
-  round(quantile_cont(value, 0.25), 6) AS p25, round(quantile_cont(value, 0.75), 6) AS p75, round(quantile_cont(value, 0.95), 6) AS p95, round(quantile_cont(value, 0.99), 6) AS p99,
-  round(count_if(value > 0) / count(*) * 100, 4) AS active_pct FROM curve WHERE value IS NOT NULL GROUP BY series)"""
+STATS_SQL = f"""{CURVE_SQL}, st AS (SELECT series, count(*) AS n, min(value) AS lo, max(value) AS hi, CAST(round(CAST(avg(value) AS DECIMAL(38,10)), 6) AS DOUBLE) AS mean,
+  CAST(round(CAST(quantile_cont(value, 0.5) AS DECIMAL(38,10)), 6) AS DOUBLE) AS median, CAST(round(CAST(stddev_pop(value) AS DECIMAL(38,10)), 6) AS DOUBLE) AS std, count(DISTINCT value) AS distinct_values, CAST(round(CAST(quantile_cont(value, 0.01) AS DECIMAL(38,10)), 6) AS DOUBLE) AS p01, CAST(round(CAST(quantile_cont(value, 0.05) AS DECIMAL(38,10)), 6) AS DOUBLE) AS p05,
+  CAST(round(CAST(quantile_cont(value, 0.25) AS DECIMAL(38,10)), 6) AS DOUBLE) AS p25, CAST(round(CAST(quantile_cont(value, 0.75) AS DECIMAL(38,10)), 6) AS DOUBLE) AS p75, CAST(round(CAST(quantile_cont(value, 0.95) AS DECIMAL(38,10)), 6) AS DOUBLE) AS p95, CAST(round(CAST(quantile_cont(value, 0.99) AS DECIMAL(38,10)), 6) AS DOUBLE) AS p99,
+  CAST(round(CAST(count_if(value > 0) / count(*) * 100 AS DECIMAL(38,10)), 4) AS DOUBLE) AS active_pct FROM curve WHERE value IS NOT NULL GROUP BY series)"""
 NUMBERED_SQL = f"{CURVE_SQL}, numbered AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY ts, row) - 1 AS i, count(*) OVER (PARTITION BY series) AS n FROM curve WHERE value IS NOT NULL)"
 GRADIENT_SQL = f"""{NUMBERED_SQL}, g AS (SELECT *, lag(value) OVER w AS a, lead(value) OVER w AS b FROM numbered WINDOW w AS (PARTITION BY series ORDER BY ts, row)),
   sloped AS (SELECT *, CASE WHEN a IS NULL THEN b - value WHEN b IS NULL THEN value - a ELSE (b - a) / 2 END AS gradient FROM g),
   sized AS (SELECT *, abs(gradient) AS size FROM sloped WHERE gradient IS NOT NULL), limits AS (SELECT series, quantile_cont(size, 0.95) AS most FROM sized GROUP BY series),
   marked AS (SELECT *, lag(size) OVER w AS before, lead(size) OVER w AS behind FROM sized WINDOW w AS (PARTITION BY series ORDER BY ts, row)),
-  peaks AS (SELECT series, i, round(gradient, 6) AS gradient FROM marked JOIN limits USING (series) WHERE size > most AND size > before AND size > behind)"""
+  peaks AS (SELECT series, i, CAST(round(CAST(gradient AS DECIMAL(38,10)), 6) AS DOUBLE) AS gradient FROM marked JOIN limits USING (series) WHERE size > most AND size > before AND size > behind)"""
 
 
 def _rounded_stats(spark, sf_dir):
     """The statistics as they are compared: six decimals."""
     found = curves.stats(curve(spark, sf_dir))
-    return found.select("series", "n", "lo", "hi", "distinct_values", *(F.round(c, 6).alias(c) for c in ("mean", "median", "std", "p01", "p05", "p25", "p75", "p95", "p99")), F.round("active_pct", 4).alias("active_pct"))
+    return found.select("series", "n", "lo", "hi", "distinct_values", *(values.rounded(F.col(c), 6).alias(c) for c in ("mean", "median", "std", "p01", "p05", "p25", "p75", "p95", "p99")), values.rounded(F.col("active_pct"), 4).alias("active_pct"))
 
 
 @query("curve_stats", f"WITH {STATS_SQL} SELECT * FROM st")
@@ -33,7 +34,7 @@ def curve_stats(spark, sf_dir):
 
 @query("curve_gradient_peaks", f"WITH {GRADIENT_SQL} SELECT * FROM peaks")
 def curve_gradient_peaks(spark, sf_dir):
-    return curves.peaks(curves.numbered(curve(spark, sf_dir))).withColumn("gradient", F.round("gradient", 6))
+    return curves.peaks(curves.numbered(curve(spark, sf_dir))).withColumn("gradient", values.rounded(F.col("gradient"), 6))
 
 
 @query("curve_spaced_peaks", f"""WITH RECURSIVE {GRADIENT_SQL}, kept AS (SELECT series, min(i) AS i FROM peaks GROUP BY series UNION ALL
@@ -57,14 +58,14 @@ def curve_outliers(spark, sf_dir):
 
 @query("curve_moving_var", f"""WITH {NUMBERED_SQL}, starts AS (SELECT series, n, unnest(range(0, greatest(n - 20, 0), 10)) AS start FROM (SELECT DISTINCT series, n FROM numbered)),
   m AS (SELECT s.series, s.start, var_pop(value) AS v FROM starts s JOIN numbered c ON c.series = s.series AND c.i >= s.start AND c.i < s.start + 20 GROUP BY ALL)
-  SELECT series, start, round(v, 4) AS variance, v < 1.0 AS is_constant FROM m""")
+  SELECT series, start, CAST(round(CAST(v AS DECIMAL(38,10)), 4) AS DOUBLE) AS variance, v < 1.0 AS is_constant FROM m""")
 def curve_moving_var(spark, sf_dir):
-    return curves.moving_variance(curves.numbered(curve(spark, sf_dir)), 20, 10).withColumn("variance", F.round("variance", 4))
+    return curves.moving_variance(curves.numbered(curve(spark, sf_dir)), 20, 10).withColumn("variance", values.rounded(F.col("variance"), 4))
 
 
-@query("curve_correlation", "SELECT l_suppkey, count(*) AS n, round(corr(l_quantity, l_extendedprice), 6) AS corr FROM lineitem GROUP BY l_suppkey")
+@query("curve_correlation", "SELECT l_suppkey, count(*) AS n, CAST(round(CAST(corr(l_quantity, l_extendedprice) AS DECIMAL(38,10)), 6) AS DOUBLE) AS corr FROM lineitem GROUP BY l_suppkey")
 def curve_correlation(spark, sf_dir):
-    return curves.correlation(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_quantity", "l_extendedprice").withColumn("corr", F.round("corr", 6))
+    return curves.correlation(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_quantity", "l_extendedprice").withColumn("corr", values.rounded(F.col("corr"), 6))
 
 
 REGIMES_SQL = """c AS (SELECT *, CASE WHEN std / nullif(mean, 0) < 0.1 THEN 'estable' WHEN std / nullif(mean, 0) > 0.5 THEN 'alta' ELSE 'moderada' END AS cv_class, p25 - 0.5 * (p75 - p25) AS under, p75 + 0.5 * (p75 - p25) AS above FROM st),
@@ -90,7 +91,7 @@ def curve_behaviour(spark, sf_dir):
 @query("curve_boxplot", f"""WITH {STATS_SQL}, b AS (SELECT series, p25, median, p75, p25 - 1.5 * (p75 - p25) AS lo_, p75 + 1.5 * (p75 - p25) AS hi_ FROM st)
   SELECT series, p25, median, p75, min(CASE WHEN value BETWEEN lo_ AND hi_ THEN value END) AS whisker_lo, max(CASE WHEN value BETWEEN lo_ AND hi_ THEN value END) AS whisker_hi, count_if(value NOT BETWEEN lo_ AND hi_) AS outside FROM curve JOIN b USING (series) GROUP BY ALL""")
 def curve_boxplot(spark, sf_dir):
-    return curves.boxplot(curve(spark, sf_dir)).withColumns({c: F.round(c, 6) for c in ("p25", "median", "p75")})
+    return curves.boxplot(curve(spark, sf_dir)).withColumns({c: values.rounded(F.col(c), 6) for c in ("p25", "median", "p75")})
 
 
 @query("curve_extremes", f"""WITH {CURVE_SQL} SELECT series, 'top' AS side, row_number() OVER (PARTITION BY series ORDER BY value DESC, row) AS rank, row, value FROM curve WHERE value IS NOT NULL QUALIFY rank <= 10
