@@ -20,10 +20,11 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from . import _text
 from ._columns import found_path
 
 #: Entries that a worker keeps of encoded pieces; beyond it the cache starts anew. Results don't depend on it.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
 #: Rows of an Arrow batch that are encoded at a time.
 BATCH_BYTES = 4 << 20
 
@@ -227,7 +228,7 @@ def encode_texts(df: DataFrame, path: str | Callable[[], str], pattern: str, tex
                 ids = [coder.encode(x or "") for x in part.column(text).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.list_(pa.int32()))], [*keep, out])
 
-    return df.select(*keep).mapInArrow(encode, schema)
+    return df.select(*keep).mapInArrow(_text.lean(encode), schema)
 
 
 def decode_ids(df: DataFrame, path: str | Callable[[], str], pattern: str, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
@@ -241,7 +242,7 @@ def decode_ids(df: DataFrame, path: str | Callable[[], str], pattern: str, ids:
             found = [coder.decode(x or ()) for x in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], [*keep, out])
 
-    return df.select(*keep).mapInArrow(decode, schema)
+    return df.select(*keep).mapInArrow(_text.lean(decode), schema)
 
 
 def token_digests(df: DataFrame, path: str | Callable[[], str], pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -265,7 +266,7 @@ def token_digests(df: DataFrame, path: str | Callable[[], str], pattern: str, ke
                     bytes_hash.append(hashlib.sha256(coder.encoder.decode(ids)).hexdigest())
                 yield pa.RecordBatch.from_arrays([part.column(key), pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(bytes_hash, pa.string())], schema.names)
 
-    return df.select(key, text).mapInArrow(digest, schema)
+    return df.select(key, text).mapInArrow(_text.lean(digest), schema)
 
 
 class _Names(dict):

@@ -100,7 +100,7 @@ def _scan(docs: DataFrame, k: int) -> DataFrame:
         nothing = pa.nulls(len(found), pa.int64())
         yield pa.RecordBatch.from_arrays([nothing, nothing, nothing, pa.array(found, pa.int32()), pa.array([parts[i] for i in found], pa.binary())], ["doc_id", "n", "set_id", "part", "counts"])
 
-    return docs.mapInArrow(scan, "doc_id long, n long, set_id long, part int, counts binary")
+    return docs.mapInArrow(_text.lean(scan), "doc_id long, n long, set_id long, part int, counts binary")
 
 
 def _sum_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,8 +115,8 @@ def _sum_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def frequency_classes(scanned: DataFrame) -> np.ndarray:
     """A rough logarithm of how many documents have a shingle, by sketch bucket; its size doesn't grow with the data."""
     parts = scanned.filter("part is not null").select("part", "counts", (F.spark_partition_id() % 16).alias("salt"))
-    parts = parts.repartition(SKETCH_PARTS * 2, "part", "salt").mapInArrow(_sum_parts, "part int, counts binary")
-    parts = parts.repartition(SKETCH_PARTS, "part").mapInArrow(_sum_parts, "part int, counts binary")
+    parts = parts.repartition(SKETCH_PARTS * 2, "part", "salt").mapInArrow(_text.lean(_sum_parts), "part int, counts binary")
+    parts = parts.repartition(SKETCH_PARTS, "part").mapInArrow(_text.lean(_sum_parts), "part int, counts binary")
     classes = np.zeros(1 << SKETCH_BITS, np.uint8)
     width = len(classes) // SKETCH_PARTS
     for row in parts.toLocalIterator():  # SKETCH_PARTS rows
@@ -156,7 +156,7 @@ def _prefixes(docs: DataFrame, k: int, percent: int, shared) -> DataFrame:
             types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["set_id", "group_id", "n", "prefix", "bitmap", "wide"])
 
-    return docs.select("text").mapInArrow(cut, "set_id long, group_id long, n long, prefix binary, bitmap binary, wide binary")
+    return docs.select("text").mapInArrow(_text.lean(cut), "set_id long, group_id long, n long, prefix binary, bitmap binary, wide binary")
 
 
 def _entries(groups: DataFrame) -> DataFrame:
@@ -177,7 +177,7 @@ def _entries(groups: DataFrame) -> DataFrame:
                 column = lambda name: np.repeat(part.column(name).to_numpy(zero_copy_only=False), lengths)  # noqa: B023, E731
                 yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(column("hub")), pa.array(column("n")), pa.array(place), pa.array(before), pa.array(column("several").astype(bool))], ["token", "set_id", "n", "place", "before", "several"])
 
-    return groups.mapInArrow(spread, "token long, set_id long, n long, place long, before long, several boolean")
+    return groups.mapInArrow(_text.lean(spread), "token long, set_id long, n long, place long, before long, several boolean")
 
 
 def _may_be_similar(n1, n2, place1, place2, percent: int):
@@ -365,7 +365,7 @@ def _sets(docs: DataFrame, k: int, classes, picked) -> DataFrame:
                         sets.append(_tokens(own, classes.value).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], ["set_id", "tokens"])
 
-    return docs.select(F.xxhash64("doc_id").alias("slot"), "text").mapInArrow(fetch, "set_id long, tokens binary")
+    return docs.select(F.xxhash64("doc_id").alias("slot"), "text").mapInArrow(_text.lean(fetch), "set_id long, tokens binary")
 
 
 def _near(percent: int):
@@ -411,7 +411,7 @@ class GroupedPrefixJoin:
         one = members.select(F.col("set_id").alias("a"), "n", "wide")
         two = members.select(F.col("set_id").alias("b"), F.col("n").alias("n2"), F.col("wide").alias("wide2"))
         near = pairs.distinct().join(one, "a").join(two, "b").select("a", "b", "n", "n2", "wide", "wide2")
-        pairs = self.scratch.table(near.mapInArrow(_near(self.percent), "a long, b long"), "pairs")
+        pairs = self.scratch.table(near.mapInArrow(_text.lean(_near(self.percent)), "a long, b long"), "pairs")
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
         chosen = documents.join(wanted, "set_id").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
         chosen = self.scratch.table(chosen.select(F.xxhash64("doc_id").alias("slot")), "chosen")
@@ -428,7 +428,7 @@ class GroupedPrefixJoin:
         sets = self.scratch.table(sets, "sets")
         left, right = sets.select(F.col("set_id").alias("a"), F.col("tokens").alias("x")), sets.select(F.col("set_id").alias("b"), F.col("tokens").alias("y"))
         found = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-        links = self.scratch.table(found.mapInArrow(_similar(self.percent), "a long, b long").distinct(), "links")
+        links = self.scratch.table(found.mapInArrow(_text.lean(_similar(self.percent)), "a long, b long").distinct(), "links")
         self.scratch.drop(sets, chosen, pairs)
         picked.unpersist()
         return links
@@ -467,7 +467,7 @@ class GroupedPrefixJoin:
     def hubs(self, entries: DataFrame) -> DataFrame:
         """Entries (with the column salt, -1 where an entry is whole) with the hub of each row."""
         dealt = entries.repartition("token", "salt").sortWithinPartitions("token", "salt", "place", "n", "set_id")
-        return dealt.mapInArrow(_with_hubs(self.percent), "token long, set_id long, n long, place long, before long, hub long")
+        return dealt.mapInArrow(_text.lean(_with_hubs(self.percent)), "token long, set_id long, n long, place long, before long, hub long")
 
     def mixed(self, rows: DataFrame, parts: DataFrame) -> DataFrame:
         """Entry rows with their component, of entries that have more than one; ``blocks`` tells how to cut them."""
@@ -485,7 +485,7 @@ class GroupedPrefixJoin:
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         rows = rows.select("token", F.least("own", "other").alias("first_block"), F.greatest("own", "other").alias("second_block"), "own", "set_id", "part", "n", "place", "before", "bitmap")
         order = ["token", "first_block", "second_block"]
-        return rows.repartition(*(F.col(c) for c in order)).sortWithinPartitions(*order, "set_id").mapInArrow(_apart(self.percent, forest), "a long, b long")
+        return rows.repartition(*(F.col(c) for c in order)).sortWithinPartitions(*order, "set_id").mapInArrow(_text.lean(_apart(self.percent, forest)), "a long, b long")
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
@@ -545,7 +545,7 @@ def _with_set_id(df: DataFrame, text: str, k: int, out: str) -> DataFrame:
             ids = [_identity(own) for _, data, offsets in _text.text_blocks(batch.column(text)) for own in sets_of(data, offsets, k)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.int64())], schema.names)
 
-    return df.mapInArrow(identify, schema)
+    return df.mapInArrow(_text.lean(identify), schema)
 
 
 def keep_one_of_each(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text", k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

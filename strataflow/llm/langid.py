@@ -284,7 +284,7 @@ def with_language(df: DataFrame, network: Network | None, text: str, label: str,
             yield pa.RecordBatch.from_arrays([*columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], schema.names)
 
     has_letter = F.coalesce(F.col(f"`{text}`").rlike(r"\p{L}"), F.lit(False))
-    return df.withColumn(flag, has_letter).mapInArrow(predict, schema)
+    return df.withColumn(flag, has_letter).mapInArrow(_text.lean(predict), schema)
 
 
 def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang") -> DataFrame:

@@ -80,7 +80,7 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
                 words, n = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], ["word", "c"])
 
-    return docs.select(text).mapInArrow(count, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return docs.select(text).mapInArrow(_text.lean(count), "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 def _sub_blocks(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -345,9 +345,9 @@ def train(docs: DataFrame, key: str, text: str, vocabulary: Vocabulary, scratch:
                     yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([_pack(x)], pa.binary())], ["part", "sums"])
 
         dealt = F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(rounds)) == turn
-        table = scratch.table(docs.filter(dealt).select(text).coalesce(tasks).mapInArrow(learn, schema), "sums")
+        table = scratch.table(docs.filter(dealt).select(text).coalesce(tasks).mapInArrow(_text.lean(learn), schema), "sums")
         sums = table.withColumn("salt", F.spark_partition_id() % 16).repartition(PARTS * 2, "part", "salt").select("part", "sums")
-        sums = sums.mapInArrow(_add_up, schema).repartition(PARTS, "part").mapInArrow(_updates, schema)
+        sums = sums.mapInArrow(_text.lean(_add_up), schema).repartition(PARTS, "part").mapInArrow(_text.lean(_updates), schema)
         found = {r["part"]: np.frombuffer(zlib.decompress(bytes(r["sums"])), np.float32) for r in sums.toLocalIterator()}  # PARTS rows
         if found:
             change = np.concatenate([found[i] for i in range(PARTS)])
@@ -384,7 +384,7 @@ def _scored(docs: DataFrame, known) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([nothing[0], nothing[1], pa.array(owner), pa.array(words[rare].view(np.int64)), pa.nulls(len(rare), pa.int64()), *nothing[2:]], names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "held_out", "mark", "text").mapInArrow(score, f"doc_id {kind}, held_out boolean, mark long, word long, n_tokens long, n_known long, logs double, model double")
+    return docs.select("doc_id", "held_out", "mark", "text").mapInArrow(_text.lean(score), f"doc_id {kind}, held_out boolean, mark long, word long, n_tokens long, n_known long, logs double, model double")
 
 
 def score(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS, broadcast_words: int = BROADCAST_WORDS) -> DataFrame:

@@ -132,7 +132,7 @@ def with_counts(df: DataFrame, text: str, out: str) -> DataFrame:
             struct = pa.StructArray.from_arrays([pa.array(table[:, i]) for i in range(len(COUNTS))], list(COUNTS))
             yield pa.RecordBatch.from_arrays([*batch.columns, struct], [f.name for f in schema])
 
-    return df.mapInArrow(count, schema)
+    return df.mapInArrow(_text.lean(count), schema)
 
 
 def base_failed(c) -> Column:

@@ -17,6 +17,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from . import _text
 from ._columns import found_path
 
 #: Fixed value: the pre-token pattern of byte-level tokenizer files with "use_regex".
@@ -177,7 +178,7 @@ def token_counts(df: DataFrame, path: str | Callable[[], str], key: str = "doc_i
                 sizes = np.fromiter((len(x.encode()) for x in texts), np.int64, len(texts))
                 yield pa.RecordBatch.from_arrays([part.column(key), pa.array(sizes), pa.array(tokens), pa.array(tokens > limit)], schema.names)
 
-    return df.select(key, text).mapInArrow(count, schema)
+    return df.select(key, text).mapInArrow(_text.lean(count), schema)
 
 
 def documents_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import _text
 from ._scratch import Scratch
 
 #: Fixed values of the dictionary frame and of a trained dictionary, and the date that records carry.
@@ -187,7 +188,7 @@ def write_archives(pages: DataFrame, scratch: Scratch, folder: str, key: str = "
         if held:
             yield flush()
 
-    return scratch.table(rows.mapInArrow(write, "path string, records long, bytes long"), "archives")
+    return scratch.table(rows.mapInArrow(_text.lean(write), "path string, records long, bytes long"), "archives")
 
 
 def read_archives(archives: DataFrame, key: str, key_type: str) -> DataFrame:
@@ -203,7 +204,7 @@ def read_archives(archives: DataFrame, key: str, key_type: str) -> DataFrame:
                 types = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.string())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["page", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
-    rows = archives.select("path").repartition(max(1, archives.count())).mapInArrow(read, "page string, payload_bytes long, payload_digest string, record_type string, refers_to string")
+    rows = archives.select("path").repartition(max(1, archives.count())).mapInArrow(_text.lean(read), "page string, payload_bytes long, payload_digest string, record_type string, refers_to string")
     return rows.select(F.col("page").cast(key_type).alias(key), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(key_type).alias("refers_to"))
 
 
