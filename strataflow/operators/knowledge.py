@@ -112,6 +112,36 @@ def breadth_first(edges: DataFrame, start: DataFrame, depth: int = 8) -> DataFra
     return reached
 
 
+def chained(df: DataFrame, chain: list[tuple[DataFrame, str, str]], columns: list[str], where: Column | None = None) -> DataFrame:
+    """Distinct ``columns`` of rows followed from table to table: ``chain`` has each table with the column that leads to it and its own."""
+    rows = df
+    for table, here, there in chain:
+        rows = rows.join(table, F.col(here) == F.col(there))
+    return (rows if where is None else rows.filter(where)).select(*columns).distinct()
+
+
+def edge_counts(edges: DataFrame) -> DataFrame:
+    """Edges of each kind, and how many nodes they begin and end at."""
+    return edges.groupBy("kind").agg(F.count("*").alias("edges"), F.countDistinct("src").alias("sources"), F.countDistinct("dst").alias("targets"))
+
+
+def neighbour_counts(edges: DataFrame) -> DataFrame:
+    """How many edges of each kind end at a node."""
+    return edges.groupBy(F.col("dst").alias("node"), "kind").agg(F.count("*").alias("neighbors"))
+
+
+def counts_by(df: DataFrame, groups: list[str], amount: str, name: str) -> DataFrame:
+    """Rows and the sum of an amount by each column alone, and of all."""
+    return df.groupingSets([*([g] for g in groups), []], *groups).agg(F.count("*").alias("n"), F.sum(amount).alias(name))
+
+
+def reprocess_state(documents: DataFrame, key: str, content: Column, preferred: Column, marks: DataFrame, mark_key: str, mark: str) -> DataFrame:
+    """Each distinct content with its preferred row, else its least key, how many rows have it, and that row's marks."""
+    groups = documents.groupBy(F.sha2(content, 256).alias("_sha")).agg(F.coalesce(F.min(F.when(preferred, F.col(key))), F.min(key)).alias(key), F.count("*").alias("n"))
+    found = marks.select(F.col(mark_key).alias("_mark_key"), F.col(mark).alias("_mark"))
+    return groups.join(found, F.col(key) == F.col("_mark_key"), "left").groupBy(key, "n").agg(F.count("_mark_key").alias("labels"), F.countDistinct("_mark").alias("grades"))
+
+
 def trace(edges: DataFrame, start: DataFrame, depth: int = 8) -> tuple[DataFrame, DataFrame]:
     """(nodes with their distance, the edges between them): what lies within ``depth`` steps, along edges either way."""
     nodes = breadth_first(edges, start, depth)

@@ -96,7 +96,7 @@ EDGES_SQL = "edges AS (SELECT 'n' || n_nationkey AS src, 'r' || n_regionkey AS d
 
 @query("graph_build_counts", f"WITH {EDGES_SQL} SELECT kind, count(*) AS edges, count(DISTINCT src) AS sources, count(DISTINCT dst) AS targets FROM edges GROUP BY kind")
 def graph_build_counts(spark, sf_dir):
-    return _graph(spark, sf_dir).groupBy("kind").agg(F.count("*").alias("edges"), F.countDistinct("src").alias("sources"), F.countDistinct("dst").alias("targets"))
+    return k.edge_counts(_graph(spark, sf_dir))
 
 
 @query("graph_bfs", f"""WITH RECURSIVE {EDGES_SQL}, sides AS (SELECT src, dst FROM edges UNION SELECT dst, src FROM edges), b AS (SELECT 'r0' AS node, 0 AS depth UNION SELECT dst, depth + 1 FROM b JOIN sides ON src = node WHERE depth < 3)
@@ -108,7 +108,7 @@ def graph_bfs(spark, sf_dir):
 
 @query("graph_neighbors", f"WITH {EDGES_SQL} SELECT dst AS node, kind, count(*) AS neighbors FROM edges GROUP BY ALL")
 def graph_neighbors(spark, sf_dir):
-    return _graph(spark, sf_dir).groupBy(F.col("dst").alias("node"), "kind").agg(F.count("*").alias("neighbors"))
+    return k.neighbour_counts(_graph(spark, sf_dir))
 
 
 @query("search_like", "SELECT doc_id, source FROM documents WHERE lower(text) LIKE '%lic%se%' AND source <> '' ORDER BY doc_id LIMIT 20")
@@ -128,15 +128,12 @@ def search_ranked(spark, sf_dir):
 @query("reprocess_state", """WITH d AS (SELECT sha256(text) AS sha, min(CASE WHEN lang = 'en' THEN doc_id END) AS en, min(doc_id) AS any_id, count(*) AS n FROM documents GROUP BY 1)
   SELECT coalesce(en, any_id) AS doc_id, n, count(l.doc_id) AS labels, count(DISTINCT l.quality) AS grades FROM d LEFT JOIN labels l ON l.doc_id = coalesce(en, any_id) GROUP BY 1, 2""")
 def reprocess_state(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    groups = docs.groupBy(F.sha2(F.col("text").cast("binary"), 256).alias("sha")).agg(F.coalesce(F.min(F.when(F.col("lang") == "en", F.col("doc_id"))), F.min("doc_id")).alias("doc_id"), F.count("*").alias("n"))
-    labels = table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "label_id")
-    return groups.join(labels, F.col("doc_id") == F.col("label_id"), "left").groupBy("doc_id", "n").agg(F.count("label_id").alias("labels"), F.countDistinct("quality").alias("grades"))
+    return k.reprocess_state(table(spark, sf_dir, "documents"), "doc_id", F.col("text").cast("binary"), F.col("lang") == "en", table(spark, sf_dir, "labels"), "doc_id", "quality")
 
 
 @query("run_counts", "SELECT source, lang, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY GROUPING SETS ((source), (lang), ())")
 def run_counts(spark, sf_dir):
-    return table(spark, sf_dir, "documents").groupingSets([["source"], ["lang"], []], "source", "lang").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
+    return k.counts_by(table(spark, sf_dir, "documents"), ["source", "lang"], "n_chars", "chars")
 
 
 @query("lifecycle_violations", """WITH c AS (SELECT doc_id, CASE WHEN quality = 1 THEN 'SUPPORTED' ELSE 'CANDIDATE' END AS before, CASE WHEN toxic = 1 THEN 'REJECTED' ELSE 'ACCEPTED' END AS after FROM labels)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import relational
+from ..operators import knowledge, relational
 from .adapters import table
 from .registry import query
 
@@ -82,5 +82,5 @@ def insert_if_missing(spark, sf_dir):
 def provenance_join(spark, sf_dir):
     t = lambda n: table(spark, sf_dir, n)
     lines = t("lineitem").join(t("part"), F.col("l_partkey") == F.col("p_partkey")).filter(F.contains(F.lower("p_type"), F.lit("pressure")) | (F.col("l_quantity") > 45))
-    chain = lines.join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return chain.select("r_name", "n_name", "c_mktsegment", "o_orderstatus").distinct()
+    chain = [(t("orders"), "l_orderkey", "o_orderkey"), (t("customer"), "o_custkey", "c_custkey"), (t("nation"), "c_nationkey", "n_nationkey"), (t("region"), "n_regionkey", "r_regionkey")]
+    return knowledge.chained(lines, chain, ["r_name", "n_name", "c_mktsegment", "o_orderstatus"])
