@@ -166,13 +166,13 @@ def graph_projection(entities: DataFrame, relations: DataFrame) -> tuple[DataFra
     return nodes, edges
 
 
-#: The search index of each kind of source.
-INDEXES = {"variable": "ikc-variables-v1", "document": "ikc-documents-v1", "fragment": "ikc-fragments-v1", "assertion": "ikc-assertions-v1", "fact": "ikc-facts-v1"}
+#: The search index of each kind of source, behind a prefix of the user's.
+INDEXES = {"variable": "variables-v1", "document": "documents-v1", "fragment": "fragments-v1", "assertion": "assertions-v1", "fact": "facts-v1"}
 
 
-def search_documents(sources: DataFrame) -> DataFrame:
+def search_documents(sources: DataFrame, prefix: str = "") -> DataFrame:
     """A search document for each row (kind, source_id, parts array): its index, its text of the parts that aren't empty, and a stand-in embedding."""
-    index = F.try_element_at(F.create_map(*(F.lit(x) for pair in INDEXES.items() for x in pair)), F.col("kind"))
+    index = F.try_element_at(F.create_map(*(F.lit(x) for kind, name in INDEXES.items() for x in (kind, prefix + name))), F.col("kind"))
     body = F.array_join(F.filter(F.transform("parts", lambda p: F.trim(p)), lambda p: p != ""), " ")
     rows = sources.select(values.url_id(F.concat_ws(":", F.lit("search"), "kind", "source_id")).alias("document_id"), "kind", "source_id", index.alias("index_name"), body.alias("index_text"))
     return rows.withColumn("embedding", F.array(F.length("index_name").cast("float"), F.length("index_text").cast("float")))

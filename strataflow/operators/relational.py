@@ -138,7 +138,7 @@ def own_or_global(df: DataFrame, tenant: str, value, active: str) -> DataFrame:
 
 
 def same_text(a: Column, b: Column) -> Column:
-    """Equal whatever the case, as the reference's database compares."""
+    """Equal whatever the case."""
     return F.upper(a) == F.upper(b)
 
 

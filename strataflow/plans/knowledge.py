@@ -169,7 +169,7 @@ def projected_edges(spark, sf_dir):
     return _projected(spark, sf_dir)[1].groupBy("kind").agg(F.count("*").alias("n"), F.countDistinct("dst").alias("targets"))
 
 
-@query("search_documents", """SELECT 'variable' AS kind, p_partkey || '' AS source_id, 'ikc-variables-v1' AS index_name, concat_ws(' ', p_name, CASE WHEN p_size % 2 = 0 THEN p_brand END) AS index_text FROM part UNION ALL SELECT 'document', doc_id || '', 'ikc-documents-v1', coalesce(lang, '') || CASE WHEN lang IS NOT NULL AND source IS NOT NULL THEN ' ' ELSE '' END || coalesce(source, '') FROM documents""")
+@query("search_documents", """SELECT 'variable' AS kind, p_partkey || '' AS source_id, 'variables-v1' AS index_name, concat_ws(' ', p_name, CASE WHEN p_size % 2 = 0 THEN p_brand END) AS index_text FROM part UNION ALL SELECT 'document', doc_id || '', 'documents-v1', coalesce(lang, '') || CASE WHEN lang IS NOT NULL AND source IS NOT NULL THEN ' ' ELSE '' END || coalesce(source, '') FROM documents""")
 def search_documents(spark, sf_dir):
     part = table(spark, sf_dir, "part").select(F.lit("variable").alias("kind"), F.col("p_partkey").cast("string").alias("source_id"), F.array("p_name", F.when(F.col("p_size") % 2 == 0, F.col("p_brand")).otherwise(" ")).alias("parts"))
     docs = table(spark, sf_dir, "documents").select(F.lit("document"), F.col("doc_id").cast("string"), F.array(F.coalesce("lang", F.lit("")), F.coalesce("source", F.lit(""))))

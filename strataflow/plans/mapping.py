@@ -27,7 +27,7 @@ _NUMBER = r"(-?\d+\.?\d*)"
 
 
 def _equation_sql() -> str:
-    """The reference's patterns one after the other: first with a shift, then without."""
+    """All patterns one after the other: first with a shift, then without."""
     n = _NUMBER
     tries = [(rf"x\*{n}\+{n}", "1", "2", 1), (rf"{n}\*x\+{n}", "1", "2", 1), (rf"x\*{n}-{n}", "1", "2", -1), (rf"{n}\*x-{n}", "1", "2", -1), (rf"x/{n}\+{n}", "/1", "2", 1), (rf"x/{n}-{n}", "/1", "2", -1),
         (rf"x\*{n}", "1", "", 1), (rf"{n}\*x", "1", "", 1), (rf"x/{n}", "/1", "", 1), (rf"x\+{n}", "", "1", 1), (rf"x-{n}", "", "1", -1), ("x", "", "", 1)]
