@@ -42,6 +42,12 @@ def well_by_pattern(spark, sf_dir):
     return wells.wells_by_pattern(*sides(spark, sf_dir))
 
 
+@query("well_match_by_words")
+def well_match_by_words(spark, sf_dir):
+    files, found, fields = sides(spark, sf_dir)
+    return wells.identify_wells_by_words(files, found, fields.withColumnRenamed("name", "field")).withColumn("score", F.round("score", 4))
+
+
 @query("well_entries", r"""SELECT p_partkey, regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace(replace(regexp_replace(upper(trim(x)), '^(T/P|T-P|C/D|C-D|[A-Z]{1,2}/[A-Z]{1,2})\s+', ''), '/', '-'), '[^A-Z0-9_\s.\-()]', '', 'g'), '\s*-\s*', '-', 'g'), '\s+', ' ', 'g')), '-+$', '') AS entry
   FROM (SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN 't/p ' WHEN 1 THEN 'ab/C ' WHEN 2 THEN 'ABC/d ' ELSE '' END || p_brand || CASE p_size % 3 WHEN 0 THEN ' - ' WHEN 1 THEN '/7 --' ELSE '' END AS x FROM part)""")
 def well_entries(spark, sf_dir):

@@ -185,6 +185,96 @@ def by_pattern(name, uwi, listed, fields):
     return None
 
 
+def compared(x):
+    x = re.sub(r"[().]", " ", (x or "").upper().replace("Ñ", "N"))
+    x = re.sub(r"\s*-\s*", "-", re.sub(r"[^\w\s\-]", "", x))
+    words = x.split()
+    half = len(words) // 2
+    return " ".join(words[:half] if len(words) > 1 and len(words) % 2 == 0 and words[:half] == words[half:] else words)
+
+
+def by_words(name, uwi, listed, fields):
+    if uwi and uwi.strip() and (hit := [w for w in listed if w["uwi"] and w["uwi"].upper() == compared(uwi)]):
+        return hit[0]["well_id"], "uwi", 100.0
+    if not name or not name.strip():
+        return None
+    coded = lambda c: next((f for f in fields if f["code"] and f["code"].upper() == c.upper()), None)
+    plain = " ".join(re.sub(r"[^\w\s\-.()]", " ", name.upper().replace("Ñ", "N")).split())
+    m = re.search(r"^(.*?)(?:[\s\-]|(?=\d))(\d+)(?:[\s(\-/]*([A-Z]))?\.?\)?$", plain)
+    if m:
+        main, number, ending = m[1].strip(" .-()"), m[2], m[3]
+    else:
+        first = re.search(r"\d+", plain)
+        if not first:
+            return None
+        number, ending = first[0], None
+        main = plain[: plain.rfind(number)].strip(" .-()")
+    code = middle = words = None
+    if main:
+        c = main.replace("(", "").replace(")", "").strip()
+        short = lambda x: 2 <= len(x) <= 4 and x.isalnum() and not x.isdigit()
+        two = re.match(r"^([A-Z]{2,3})[\s.]?([A-Z0-9])$", c)
+        for fits, x, y in ((" " in c and short(c.replace(" ", "")), c.replace(" ", ""), None), (short(c), c, None), (two, two and two[1], two and two[2]), (len(c) == 4 and short(c), c[:3], c[3:])):
+            if fits and coded(x):
+                code, middle, words = x, y, coded(x)["name"]
+                break
+        else:
+            words = main
+    found = {f["field_id"]: 100 for f in fields if code and f["code"] and f["code"].upper() == code.upper()}
+    if compared(words or code):
+        for f in fields:
+            s = similarity.token_set_ratio(compared(words or code), compared(f["name"])) if f["name"] else 0
+            if s >= 60 and s > found.get(f["field_id"], 0):
+                found[f["field_id"]] = s
+    for field_id, _ in sorted(found.items(), key=lambda x: -x[1]):
+        f = next(x for x in fields if x["field_id"] == field_id)
+        n = number + (ending or "")
+        own = (f["code"] or code or "").strip().upper()
+        names = []
+        joined = lambda x: [f"{x}.{middle}-{n}", f"{x}{middle}-{n}"] if middle else [f"{x}-{n}"]  # noqa: B023, E731
+        if own:
+            names += joined(own)
+        title = compared(f["name"] or words)
+        if title:
+            names.append(f"{title}-{n}")
+            initials = "".join(w[0] for w in title.split() if w[0].isalnum())
+            if initials and initials != own:
+                names += joined(initials)
+        raw = compared(words)
+        if raw and raw not in (own, title):
+            names.append(f"{raw}-{n}")
+        names = {re.sub(r"\s*-\s*", "-", x.strip()).replace(".-", "-").replace(". -", "-") for x in names} | {compared(name)}
+        if code:
+            names |= set(joined(code))
+        if words and compared(words) != compared(f["name"]):
+            names.add(f"{compared(words)}-{n}")
+        best = None
+        for x in sorted(names):
+            for w in listed:
+                if compared(x) and w["field_id"] == field_id and (re.search(r"\d+", w["name"]) or [None])[0] == number:
+                    s = similarity.token_set_ratio(compared(x), compared(w["name"]))
+                    if s >= 85 and (best is None or s > best[1]):
+                        best = (w["well_id"], s)
+        if best:
+            return best[0], "name", best[1]
+    return None
+
+
+def test_wells_by_words(spark):
+    files, listed, fields = plans.sides(spark, SF)
+    all_wells, all_fields = sorted(listed.collect(), key=lambda w: w["well_id"]), sorted(fields.collect(), key=lambda f: f["field_id"])
+    found = wells.identify_wells_by_words(files, listed, fields.withColumnRenamed("name", "field")).collect()
+    got = {r["file_id"]: (r["well_id"], r["method"], round(r["score"], 4)) for r in found}
+    known, want = {}, {}
+    for r in files.collect():
+        key = (r["name"], r["uwi"])
+        if key not in known:
+            known[key] = by_words(*key, all_wells, all_fields)
+        if known[key]:
+            want[r["file_id"]] = (known[key][0], known[key][1], round(known[key][2], 4))
+    assert got == want and len(want) > 100
+
+
 def test_wells_by_pattern(spark):
     files, listed, fields = plans.sides(spark, SF)
     all_wells, all_fields = sorted(listed.collect(), key=lambda w: w["well_id"]), sorted(fields.collect(), key=lambda f: f["field_id"])
