@@ -11,7 +11,7 @@ from strataflow.plans import catalogue
 
 HEADLINE = [
     "rig_summary", "daily_activity", "report_variables", "top_wells", "worst_variables", "day_detail", "activity_calendar", "latest_per_key", "invalid_pairs_not_in", "interval_nearest_event", "provenance_join",
-    "curve_stats", "curve_gradient_peaks", "curve_moving_var", "curve_outliers", "fuzzy_match", "coverage_report", "fragments", "lexicon_mentions", "conflict_sets", "fact_versions", "graph_bfs", "canonical_urls", "html_structure",
+    "curve_stats", "curve_gradient_peaks", "curve_moving_var", "curve_outliers", "fuzzy_match", "well_match", "coverage_report", "mention_candidates", "fragments", "lexicon_mentions", "conflict_sets", "fact_versions", "graph_bfs", "canonical_urls", "html_structure",
 ]
 
 
