@@ -30,9 +30,9 @@ from . import _text
 from ._scratch import Scratch
 
 #: Classes (the first is that of words whose counts aren't broadcast, and of unknown ones), and splits in one.
-CLASSES, DEPTH = 32, 10
+CLASSES, DEPTH = 16, 9
 #: Hashed weights of splits: four for each distinct word, between these powers of two; classes have half as many.
-WEIGHT_BITS_LEAST, WEIGHT_BITS_MOST = 16, 21
+WEIGHT_BITS_LEAST, WEIGHT_BITS_MOST = 16, 20
 #: The prior of a class that no word has.
 UNUSED = -30.0
 #: Rounds of training, the size of an update, and what is added to the counts that a gradient is measured by.
