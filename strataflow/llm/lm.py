@@ -6,7 +6,7 @@ of two, each over the halves of what is left of the class, up to DEPTH of them.
 the corpus counts and of the weights of hashed features: the word before, the two words before, and the word
 before that alone (a skip). Classes have equal shares of the corpus, so a frequent word is alone in its group,
 and a class of many rare words has many groups: every word of the corpus has a place in the model, and the
-number of groups and of weights follows the vocabulary.
+number of groups and of weights follows the vocabulary, up to DEPTH splits and WEIGHT_BITS_MOST.
 
 Counts come from all training documents. Weights are trained by rounds of distributed gradient updates: a
 round has a share of the training documents, each task sums the gradients of its own at the weights of the round
