@@ -68,6 +68,31 @@ def stats(curve: DataFrame) -> DataFrame:
 
 def gradient(numbered_curve: DataFrame) -> DataFrame:
     """Central differences, one-sided at the ends."""
+def _fused(a: Column, b: Column, c: Column) -> Column:
+    """a * b + c rounded once, as a fused multiply-add does: the product's own rounding error is found and added."""
+    halves = lambda x: ((high := F.lit(134217729.0) * x - (F.lit(134217729.0) * x - x)), x - high)
+    (a1, a2), (b1, b2), product = halves(a), halves(b), a * b
+    lost = a2 * b2 - (((product - a1 * b1) - a2 * b1) - a1 * b2)
+    total = product + c
+    rest = total - product
+    return F.nanvl(total + ((product - (total - rest)) + (c - rest) + lost), total)
+
+
+def percentile(rows: DataFrame, value: str, share: float, out: str) -> DataFrame:
+    """A row a series: the exact percentile by linear interpolation, to the last bit as SQL's quantile_cont has it.
+
+    ``lo * (1 - d) + hi * d`` with the first product unrounded: Spark's own aggregate rounds it and may be one unit in the
+    last place off, which decides whether a value that equals the limit exceeds it. One task a series orders its distinct values.
+    """
+    counted = rows.groupBy("series", value).agg(F.count("*").alias("_rows"))
+    order = Window.partitionBy("series").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = counted.withColumns({"_upto": F.sum("_rows").over(order), "_place": (F.sum("_rows").over(Window.partitionBy("series")) - 1) * F.lit(share)})
+    at = lambda place: F.max(F.when((F.col("_upto") - F.col("_rows") <= place) & (place < F.col("_upto")), F.col(value)))
+    found = placed.groupBy("series").agg(at(F.floor("_place")).alias("_lo"), at(F.ceil("_place")).alias("_hi"), F.max(F.col("_place") - F.floor("_place")).alias("_part"))
+    part = F.col("_part")
+    return found.select("series", F.when(part == 0, F.col("_lo")).otherwise(_fused(F.col("_lo"), 1 - part, F.col("_hi") * part)).alias(out))
+
+
     before, behind, v = F.col("before"), F.col("behind"), F.col("value")
     slope = F.when(before.isNull(), behind - v).when(behind.isNull(), v - before).otherwise((behind - before) / 2)
     return with_neighbours(numbered_curve, "value").withColumn("gradient", slope).drop("before", "behind")
@@ -76,7 +101,7 @@ def gradient(numbered_curve: DataFrame) -> DataFrame:
 def peaks(numbered_curve: DataFrame, share: float = 0.95) -> DataFrame:
     """Places where the gradient's size exceeds its percentile and both neighbours."""
     sloped = gradient(numbered_curve).filter(F.col("gradient").isNotNull()).withColumn("size", F.abs("gradient"))
-    limits = sloped.groupBy("series").agg(F.percentile("size", F.lit(share)).alias("limit"))
+    limits = percentile(sloped, "size", share, "limit")
     marked = with_neighbours(sloped, "size").join(limits, "series")
     return marked.filter("size > limit and size > before and size > behind").select("series", "i", "gradient")
 
