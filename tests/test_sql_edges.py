@@ -32,3 +32,7 @@ LIMIT_SERIES = [48.43, 102.5, 2.52, 41.07, 14.85, 24.92, 28.78, 3.02, 25.1, 13.9
 
 def test_gradient_peaks_at_the_limit(spark, tmp_path):
     assert differs(spark, tmp_path, "curve_gradient_peaks", events=series(LIMIT_SERIES)) == ""
+
+
+def test_spaced_peaks_at_the_limit(spark, tmp_path):
+    assert differs(spark, tmp_path, "curve_spaced_peaks", events=series(LIMIT_SERIES)) == ""
