@@ -126,9 +126,9 @@ def transitions(curve: DataFrame) -> DataFrame:
     return with_neighbours(curve.filter(F.col("state").isNotNull()), "state").filter(F.col("before") != F.col("state")).drop("behind")
 
 
-def outliers(curve: DataFrame) -> DataFrame:
-    """Each series' values beyond three deviations, and beyond the fences of 1.5 quartile ranges."""
-    s = stats(curve).select("series", "mean", "std", "p25", "p75")
+def outliers(curve: DataFrame, of: DataFrame | None = None) -> DataFrame:
+    """Each series' values beyond three deviations, and beyond the fences of 1.5 quartile ranges; ``of`` are its stats, rounded for instance."""
+    s = (stats(curve) if of is None else of).select("series", "mean", "std", "p25", "p75")
     joined = present(curve).join(s, "series")
     z = F.try_divide(F.abs(F.col("value") - F.col("mean")), F.col("std"))
     spread = F.col("p75") - F.col("p25")
@@ -150,9 +150,9 @@ def correlation(df: DataFrame, key: str, x: str, y: str) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("n"), F.corr(x, y).alias("corr"))
 
 
-def regimes(curve: DataFrame) -> DataFrame:
-    """Variation class of each series (deviation by mean: under 0.1, over 0.5, between), and its values half a quartile range beyond the quartiles, and between."""
-    s = stats(curve)
+def regimes(curve: DataFrame, of: DataFrame | None = None) -> DataFrame:
+    """Variation class of each series (deviation by mean: under 0.1, over 0.5, between), and its values half a quartile range beyond the quartiles, and between; ``of`` are its stats, rounded for instance."""
+    s = stats(curve) if of is None else of
     cv = F.try_divide(F.col("std"), F.col("mean"))
     s = s.withColumn("cv_class", F.when(cv < 0.1, "estable").when(cv > 0.5, "alta").otherwise("moderada"))
     half = 0.5 * (F.col("p75") - F.col("p25"))
@@ -173,9 +173,9 @@ def histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:
     return df.groupBy(place.cast("long").alias("bin")).agg(F.count("*").alias("n"))
 
 
-def boxplot(curve: DataFrame) -> DataFrame:
-    """Quartiles of each series, its last values inside the fences, and how many lie outside."""
-    s = stats(curve).select("series", "p25", "median", "p75")
+def boxplot(curve: DataFrame, of: DataFrame | None = None) -> DataFrame:
+    """Quartiles of each series, its last values inside the fences, and how many lie outside; ``of`` are its stats, rounded for instance."""
+    s = (stats(curve) if of is None else of).select("series", "p25", "median", "p75")
     spread = F.col("p75") - F.col("p25")
     lo, hi = F.col("p25") - 1.5 * spread, F.col("p75") + 1.5 * spread
     inside = F.col("value").between(lo, hi)

@@ -36,3 +36,20 @@ def test_gradient_peaks_at_the_limit(spark, tmp_path):
 
 def test_spaced_peaks_at_the_limit(spark, tmp_path):
     assert differs(spark, tmp_path, "curve_spaced_peaks", events=series(LIMIT_SERIES)) == ""
+
+
+#: Values that equal a fence once quartiles are rounded to six decimals.
+FENCE_SERIES = [3.28, 19.65, 67.6, 36.49, 86.73, 71.52, 62.36, 10.35, 42.09, 22.65, 94.81, 27.35, 53.96, 57.66, 24.12, 2.23, 23.78, 3.69, 22.54, 26.18, 25.01, 3.07, 4.92, 112.61, 0.03, 45.64, 233.9, 0.29, 19.05, 21.87, 22.92, 43.6, 33.76, 134.47, 1.31, 52.4, 66.15, 71.31, 2.5, 10.1, 58.03, 27.29, 9.12, 27.33, 100.48, 39.53, 3.98, 46.18, 116.92, 15.12, 23.3, 121.19, 17.91, 20.05, 10.44, 229.95, 103.46, 26.0, 9.02, 64.14, 41.18, 121.68, 53.59, 5.02, 8.58, 3.16]
+BOX_SERIES = [9.77, 62.71, 20.9, 33.0, 25.98, 15.95, 0.89, 11.18, 13.94, 19.51, 5.76, 182.34, 18.87, 105.19, 37.66, 27.43, 0.66, 5.03, 4.46, 40.15, 38.77, 50.17, 45.27, 44.17, 25.4, 49.93, 19.17, 56.31, 38.21, 32.81, 31.42, 19.82, 38.57, 9.26, 79.36, 10.05, 4.83, 3.24, 86.39, 37.28, 84.94, 12.1, 105.46, 59.55, 192.1, 31.99, 50.06, 15.8, 80.36, 10.19, 32.12, 10.84, 44.66, 21.34, 0.82, 17.57, 127.49, 0.6, 7.69, 21.58, 108.45, 38.3, 76.17, 10.87, 39.16, 91.97, 4.96]
+
+
+def test_regimes_on_the_fence(spark, tmp_path):
+    assert differs(spark, tmp_path, "curve_regimes_cv", events=series(FENCE_SERIES)) == ""
+
+
+def test_outliers_on_the_fence(spark, tmp_path):
+    assert differs(spark, tmp_path, "curve_outliers", events=series(BOX_SERIES)) == ""
+
+
+def test_boxplot_on_the_fence(spark, tmp_path):
+    assert differs(spark, tmp_path, "curve_boxplot", events=series(BOX_SERIES)) == ""
