@@ -53,3 +53,11 @@ def test_outliers_on_the_fence(spark, tmp_path):
 
 def test_boxplot_on_the_fence(spark, tmp_path):
     assert differs(spark, tmp_path, "curve_boxplot", events=series(BOX_SERIES)) == ""
+
+
+#: The power at a quarter is 257805.445.
+HALF_SERIES = [77.37, 66.54, 128.13, 25.38, 89.19, 41.62, 31.33, 33.61, 48.93, 0.86, 28.18, 6.74, 22.91, 33.37, 1.14, 28.23, 12.3, 78.01, 10.09, 58.15, 122.33, 89.23, 35.24, 5.12, 38.68, 73.63, 46.72, 34.24, 20.27, 164.42, 28.53, 7.36, 14.89, 3.17, 62.08, 126.6, 54.08, 64.94, 8.51, 7.66, 70.11, 123.32, 17.51, 23.65, 19.49, 30.07, 11.03, 2.79, 9.04, 13.87, 17.44, 25.33, 53.17, 184.89, 49.89, 100.62, 10.27, 12.46, 34.86, 10.57]
+
+
+def test_power_that_is_half_of_a_decimal(spark, tmp_path):
+    assert differs(spark, tmp_path, "curve_spectrum", events=series(HALF_SERIES)) == ""
