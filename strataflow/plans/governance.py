@@ -56,7 +56,9 @@ def review_items(spark, sf_dir):
 @query("reviewed_items", f"WITH {_ITEMS_SQL}, l AS (SELECT item, arg_max(decision, moment) AS decision FROM d WHERE decision <> 'defer' GROUP BY 1) SELECT item, CASE WHEN state = 'open' AND decision = 'approve' THEN 'approved' WHEN state = 'open' AND decision = 'reject' THEN 'rejected' ELSE state END AS state FROM i LEFT JOIN l USING (item)")
 def reviewed_items(spark, sf_dir):
     flag = F.col("l_returnflag")
-    decisions = table(spark, sf_dir, "lineitem").filter("l_linenumber < 3").select(F.col("l_orderkey").alias("item"), F.when(flag == "R", "reject").when(flag == "A", "approve").otherwise("defer").alias("decision"), (F.col("l_linenumber") * 1000 + F.col("l_quantity") * 10 + F.col("l_discount")).alias("at"))
+    moment = F.col("l_linenumber") * 1000 + F.col("l_quantity") * 10 + F.col("l_discount")
+    at = F.when(moment.isNotNull(), F.struct(moment.alias("moment"), -F.col("_metadata.row_index"), F.col("_metadata.file_path")))  # of equal moments the first row of the file
+    decisions = table(spark, sf_dir, "lineitem").filter("l_linenumber < 3").select(F.col("l_orderkey").alias("item"), F.when(flag == "R", "reject").when(flag == "A", "approve").otherwise("defer").alias("decision"), at.alias("at"))
     return g.reviewed(_items(spark, sf_dir), decisions, "item").select("item", "state")
 
 

@@ -61,3 +61,8 @@ HALF_SERIES = [77.37, 66.54, 128.13, 25.38, 89.19, 41.62, 31.33, 33.61, 48.93, 0
 
 def test_power_that_is_half_of_a_decimal(spark, tmp_path):
     assert differs(spark, tmp_path, "curve_spectrum", events=series(HALF_SERIES)) == ""
+
+
+def test_equal_moments_take_the_first_row(spark, tmp_path):
+    lines = "SELECT k // 2 AS l_orderkey, 1 AS l_partkey, 1 AS l_suppkey, 1 AS l_linenumber, 5.0 AS l_quantity, 1.0 AS l_extendedprice, 0.02 AS l_discount, 0.0 AS l_tax, CASE WHEN k % 4 IN (0, 3) THEN 'R' ELSE 'A' END AS l_returnflag, 'O' AS l_linestatus, TIMESTAMP '1996-01-01' AS l_shipdate FROM range(300) r(k)"
+    assert differs(spark, tmp_path, "reviewed_items", lineitem=lines) == ""
