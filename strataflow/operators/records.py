@@ -86,10 +86,11 @@ def hierarchy_problems(df: DataFrame, key: str, parent: str) -> DataFrame:
     return unknown.union(climb.select(F.col("p").alias("key"), F.lit("cycle").alias("problem")).distinct())
 
 
-def last_checkpoint(runs: DataFrame, payload: str, path: str, finished: str) -> DataFrame:
-    """The newest known value in the runs' summaries."""
+def last_checkpoint(runs: DataFrame, payload: str, path: str, finished: str, place: Column | None = None) -> DataFrame:
+    """The newest known value in the runs' summaries; of equal times that with the least ``place``."""
     value = F.get_json_object(F.col(payload), path)
-    return runs.select(value.alias("value"), F.col(finished).alias("at")).filter("value is not null").agg(F.max_by("value", "at").alias("value"), F.max("at").alias("at"))
+    rows = runs.select(value.alias("value"), F.col(finished).alias("at"), (F.lit(0) if place is None else -place).alias("_turn")).filter("value is not null")
+    return rows.agg(F.max_by("value", F.when(F.col("at").isNotNull(), F.struct("at", "_turn"))).alias("value"), F.max("at").alias("at"))
 
 
 def synonym_problems(df: DataFrame, key: str, terms: str) -> DataFrame:

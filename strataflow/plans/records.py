@@ -138,8 +138,8 @@ def ambiguous_aliases(spark, sf_dir):
 
 @query("last_checkpoint", "WITH r AS (SELECT json_extract_string(props, '$.k') AS value, ts FROM events) SELECT arg_max(value, ts) AS value, CAST(max(ts) AS VARCHAR) AS at FROM r WHERE value IS NOT NULL")
 def last_checkpoint(spark, sf_dir):
-    found = records.last_checkpoint(table(spark, sf_dir, "events"), "props", "$.k", "ts")
-    return found.select("value", F.date_format("at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"))
+    found = records.last_checkpoint(table(spark, sf_dir, "events"), "props", "$.k", "ts", F.col("_metadata.row_index"))
+    return found.select("value", F.col("at").cast("string").alias("at"))
 
 
 @query("hierarchy_problems", """WITH h AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 10 = 0 THEN NULL WHEN p_partkey % 10 = 1 THEN p_partkey + 1 WHEN p_partkey % 10 = 2 THEN p_partkey - 1 WHEN p_partkey % 10 = 3 THEN -1 ELSE p_partkey - 1 END AS p FROM part)

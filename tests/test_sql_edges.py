@@ -66,3 +66,9 @@ def test_power_that_is_half_of_a_decimal(spark, tmp_path):
 def test_equal_moments_take_the_first_row(spark, tmp_path):
     lines = "SELECT k // 2 AS l_orderkey, 1 AS l_partkey, 1 AS l_suppkey, 1 AS l_linenumber, 5.0 AS l_quantity, 1.0 AS l_extendedprice, 0.02 AS l_discount, 0.0 AS l_tax, CASE WHEN k % 4 IN (0, 3) THEN 'R' ELSE 'A' END AS l_returnflag, 'O' AS l_linestatus, TIMESTAMP '1996-01-01' AS l_shipdate FROM range(300) r(k)"
     assert differs(spark, tmp_path, "reviewed_items", lineitem=lines) == ""
+
+
+def test_checkpoint_times_have_no_trailing_zeros(spark, tmp_path):
+    for i, moment in enumerate(("2024-03-01 10:00:00.25", "2024-03-01 10:00:00")):
+        (own := tmp_path / str(i)).mkdir()
+        assert differs(spark, own, "last_checkpoint", events=f"SELECT k AS event_id, TIMESTAMP '{moment}' AS ts, 1 AS user_id, 'view' AS event_type, 1.0 AS value, '{{\"k\": ' || k || '}}' AS props FROM range(9) r(k)") == ""
