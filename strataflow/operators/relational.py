@@ -62,9 +62,13 @@ def synced(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
 
 
 def either_key_join(df: DataFrame, other: DataFrame, value: str, keys: list[str]) -> DataFrame:
-    """Rows whose value equals either key of the other table, a row a pair: an OR join as one hash join."""
+    """Rows whose value equals either key of the other table, a row a pair: an OR join as one hash join.
+
+    A value may meet many rows, so the left side is dealt to as many tasks as shuffles have, whatever its bytes or values.
+    """
     side = other.withColumn("_key", F.explode(F.array_distinct(F.array(*keys))))
-    return df.join(side, F.col(value) == F.col("_key")).drop("_key")
+    dealt = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return dealt.join(side, F.col(value) == F.col("_key")).drop("_key")
 
 
 def nearest_in_band(df: DataFrame, events: DataFrame, key: str, event_key: str, when: str, event_when: str, days: int) -> DataFrame:

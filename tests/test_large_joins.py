@@ -15,6 +15,6 @@ def last_join_reads(df) -> str:
     return lines[at + 1]
 
 
-@pytest.mark.parametrize("name", ["relation_candidates", "relation_hypotheses", "entity_hypotheses", "mention_candidates"])
+@pytest.mark.parametrize("name", ["relation_candidates", "relation_hypotheses", "entity_hypotheses", "mention_candidates", "or_join_rewrite"])
 def test_last_join_is_dealt_out(spark, name):
     assert last_join_reads(catalogue.queries()[name](spark, SF)).startswith("Repartition")
