@@ -62,8 +62,9 @@ class PrefixEncoder:
         if len(self.bytes_of) != len(ranks) or any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError("ranks must be distinct and hold each single byte")
         self.longest = max(map(len, ranks))
+        self._sizes = {rank: len(token) for token, rank in ranks.items()}
         self._halves: dict[int, tuple[int, int] | None] = {}
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}  # by left << 32 | right
         #: Finds all tokens that end at a byte, the longest first.
         self._ends = ahocorasick.Automaton()
         for token, rank in ranks.items():
@@ -95,7 +96,7 @@ class PrefixEncoder:
         tokens that then met at the border must not have been due for a merge before one of them went
         into a larger token. Of merges of equal rank the left one comes first.
         """
-        key = (left, right)
+        key = left << 32 | right
         found = self._pairs.get(key)
         if found is None:
             if len(self._pairs) > 2 * CACHE_ENTRIES:
@@ -104,17 +105,21 @@ class PrefixEncoder:
         return found
 
     def _survives(self, left: int, right: int) -> bool:
-        ranks, bytes_of, halves = self.ranks, self.bytes_of, self.halves
+        rank_of, bytes_of, halves, known = self.ranks.get, self.bytes_of, self.halves, self._halves
         left_end = right_end = 1 << 62
         while True:
-            merged = ranks.get(bytes_of[left] + bytes_of[right])
+            merged = rank_of(bytes_of[left] + bytes_of[right])
             if merged is not None and merged < left_end and merged <= right_end:
                 return False
-            left_parts, right_parts = halves(left), halves(right)
-            if right_parts is not None and (left_parts is None or right >= left):
+            right_parts = known[right] if right in known else halves(right)
+            if right_parts is not None and right >= left:
                 right_end, right = right, right_parts[0]
-            elif left_parts is not None:
+                continue
+            left_parts = known[left] if left in known else halves(left)
+            if left_parts is not None:
                 left_end, left = left, left_parts[1]
+            elif right_parts is not None:
+                right_end, right = right, right_parts[0]
             else:
                 return True
 
@@ -125,23 +130,21 @@ class PrefixEncoder:
         return PrefixTable(data, last)
 
     def _fill(self, data: bytes, last: list[int], begin: int, stop: int | None = None) -> None:
-        valid, pairs = self.valid_pair, self._pairs
+        valid, fits_of, known, add = self.valid_pair, self._pairs.get, self._halves, last.append
         base = max(0, begin - self.longest)
-        skip = 0
+        done = begin - base  # entries there are, counted from base
         for at, (token, length) in self._ends.iter(data[base:stop].decode("latin-1")):
-            at += base + 1
-            if at <= begin or at <= skip:
+            if at < done:
                 continue
-            if at == length:
-                if length > 1 and self.halves(token) is None:
+            before = at + base - length
+            if before >= 0:
+                fits = fits_of(last[before] << 32 | token)
+                if not (valid(last[before], token) if fits is None else fits):
                     continue
-            else:
-                key = (last[at - length - 1], token)
-                fits = pairs.get(key)
-                if not (valid(*key) if fits is None else fits):
-                    continue
-            last.append(token)
-            skip = at
+            elif length > 1 and (known[token] if token in known else self.halves(token)) is None:
+                continue
+            add(token)
+            done = at + 1
 
     def edit(self, table: PrefixTable, start: int, stop: int, new: bytes) -> PrefixTable:
         """The table of the data with data[start:stop] replaced.
@@ -165,18 +168,20 @@ class PrefixEncoder:
         return PrefixTable(data, last)
 
     def tokens(self, table: PrefixTable) -> list[int]:
-        found, end, last, bytes_of = [], len(table.data), table.last, self.bytes_of
+        found, end, last, sizes = [], len(table.data), table.last, self._sizes
         while end > 0:
             token = last[end - 1]
             found.append(token)
-            end -= len(bytes_of[token])
+            end -= sizes[token]
         return found[::-1]
 
     def encode(self, data: bytes) -> list[int]:
         whole = self.ranks.get(data)
         if whole is not None:  # a piece that is a token is that token, whether or not merges reach it
             return [whole]
-        return self.tokens(self.extend(PrefixTable(), data))
+        last: list[int] = []
+        self._fill(data, last, 0)
+        return self.tokens(PrefixTable(data, last))
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -187,7 +192,7 @@ class TextEncoder:
 
     def __init__(self, encoder: PrefixEncoder, pattern: str):
         self.encoder, self.pieces = encoder, regex.compile(pattern)
-        self._cache: dict[str, list[int]] = {}
+        self._cache: dict[str, tuple[int, ...]] = {}  # tuples of numbers cost the garbage collector nothing
 
     def encode(self, text: str) -> list[int]:
         cache, ids = self._cache, []
@@ -196,7 +201,7 @@ class TextEncoder:
             if found is None:
                 if len(cache) >= CACHE_ENTRIES:
                     cache.clear()
-                found = cache[piece] = self.encoder.encode(piece.encode())
+                found = cache[piece] = tuple(self.encoder.encode(piece.encode()))
             ids += found
         return ids
 
