@@ -18,3 +18,10 @@ def last_join_reads(df) -> str:
 @pytest.mark.parametrize("name", ["relation_candidates", "relation_hypotheses", "entity_hypotheses", "mention_candidates", "or_join_rewrite"])
 def test_last_join_is_dealt_out(spark, name):
     assert last_join_reads(catalogue.queries()[name](spark, SF)).startswith("Repartition")
+
+
+@pytest.mark.parametrize("name", ["relation_candidates", "relation_hypotheses"])
+def test_relations_are_judged_before_the_last_join(spark, name):
+    lines = [line.lstrip(" :+-") for line in catalogue.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString().splitlines()]
+    above = "".join(lines[: next(i for i, line in enumerate(lines) if line.startswith("Join"))])
+    assert "least" not in above and "array_" not in above and "CASE" not in above
