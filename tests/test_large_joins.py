@@ -20,7 +20,7 @@ def test_last_join_is_dealt_out(spark, name):
     assert last_join_reads(catalogue.queries()[name](spark, SF)).startswith("Repartition")
 
 
-@pytest.mark.parametrize("name", ["relation_candidates", "relation_hypotheses", "mention_candidates"])
+@pytest.mark.parametrize("name", ["relation_candidates", "relation_hypotheses", "mention_candidates", "entity_hypotheses"])
 def test_rows_are_judged_before_the_last_join(spark, name):
     lines = [line.lstrip(" :+-") for line in catalogue.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString().splitlines()]
     above = "".join(lines[: next(i for i, line in enumerate(lines) if line.startswith("Join"))])
