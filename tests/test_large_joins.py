@@ -25,3 +25,11 @@ def test_rows_are_judged_before_the_last_join(spark, name):
     lines = [line.lstrip(" :+-") for line in catalogue.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString().splitlines()]
     above = "".join(lines[: next(i for i, line in enumerate(lines) if line.startswith("Join"))])
     assert "least" not in above and "array_" not in above and "CASE" not in above
+
+
+def test_resolutions_count_candidates_before_mentions_meet_them(spark):
+    lines = catalogue.queries()["mention_resolutions"](spark, SF)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    at = next(i for i, line in enumerate(lines) if line.lstrip(" :+-").startswith("Join"))
+    right = [i for i in range(at + 1, len(lines)) if depth(lines[i]) == depth(lines[at + 1])][1]
+    assert "Aggregate [entity_type" in lines[right] and "count(" in lines[right]
