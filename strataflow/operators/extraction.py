@@ -52,28 +52,50 @@ REFERENCE = r"(?i)\b(figure|fig\.?|table|section)\s+(\d+(?:\.\d+)*)\b"
 Match = tuple[int, int, str, str, float]  # start, end, kind, rule, confidence
 
 
+#: What a text must hold for a pattern to match, in lower case; one of each group. Digits are told by ``DIGIT``.
+NEEDED = {
+    "standard": ("witsml", "api", "iso", "iec"), "model": ("model",), "alias": ("alias", "aka", "also called", "also referred to as"), "abbreviation": ("(",), "tag": ("-", "_"), "identifier": ("id",),
+    "formula": ("formula", "equation", "ecuaci"), "document_reference": ("document", "doc."),
+}
+DIGIT = re.compile(r"\d")
+DIGIT_KINDS = frozenset({"range", "raw_signal", "number"})
+#: Letters that match one of ASCII where case doesn't matter, but aren't its other case.
+FOLDED = str.maketrans({"\u017f": "s", "\u0131": "i", "\u0130": "i"})
+
+
 class Rules:
-    """All rules, compiled: one pattern for each lexicon finds its longest terms first."""
+    """All rules, compiled: one pattern for each lexicon finds its terms of one run of letters, another each longer term, longest first.
+
+    A term or pattern is searched in texts only that hold what it needs, which plain search tells much faster.
+    """
 
     def __init__(self) -> None:
+        alone = lambda x: re.compile(rf"(?<![A-Za-z0-9]){x}(?![A-Za-z0-9])", re.IGNORECASE)
         self.lexicons = []
         for kind, rule, confidence, terms in LEXICONS:
-            ordered = sorted(terms, key=len, reverse=True)
-            self.lexicons.append((kind, rule, confidence, [re.compile(rf"(?<![A-Za-z0-9]){re.escape(t)}(?![A-Za-z0-9])", re.IGNORECASE) for t in ordered]))
-        self.patterns = [(kind, rule, confidence, re.compile(p, 0 if cased else re.IGNORECASE)) for kind, rule, confidence, p, cased in PATTERNS]
+            runs = [t for t in terms if t.isascii() and t.isalnum()]  # whole runs: no two overlap
+            longer = sorted((t for t in terms if t not in runs), key=len, reverse=True)
+            self.lexicons.append((kind, rule, confidence, [(t.lower(), alone(re.escape(t))) for t in longer], tuple(t.lower() for t in runs), alone(f"(?:{'|'.join(runs)})") if runs else None))
+        self.patterns = [(kind, rule, confidence, re.compile(p, 0 if cased else re.IGNORECASE), NEEDED.get(kind)) for kind, rule, confidence, p, cased in PATTERNS]
 
     def matches(self, text: str) -> list[Match]:
         found: list[Match] = []
-        for kind, rule, confidence, terms in self.lexicons:
+        plain = text.lower() if text.isascii() else text.translate(FOLDED).lower()
+        for kind, rule, confidence, longer, runs, any_run in self.lexicons:
             taken: list[tuple[int, int]] = []
-            for term in terms:
-                for m in term.finditer(text):
-                    if not any(lo <= m.start() and m.end() <= hi for lo, hi in taken):
-                        taken.append(m.span())
+            for term, pattern in longer:
+                if term in plain:
+                    for m in pattern.finditer(text):
+                        if not any(lo <= m.start() and m.end() <= hi for lo, hi in taken):
+                            taken.append(m.span())
+            if any(r in plain for r in runs):
+                found += [(*m.span(), kind, rule, confidence) for m in any_run.finditer(text) if not any(lo <= m.start() and m.end() <= hi for lo, hi in taken)]
             found += [(lo, hi, kind, rule, confidence) for lo, hi in taken]
-        for kind, rule, confidence, pattern in self.patterns:
-            group = "value" if "value" in pattern.groupindex else 0
-            found += [(*m.span(group), kind, rule, confidence) for m in pattern.finditer(text)]
+        digits = DIGIT.search(text) is not None
+        for kind, rule, confidence, pattern, needed in self.patterns:
+            if any(x in plain for x in needed) if needed else digits or kind not in DIGIT_KINDS:
+                group = "value" if "value" in pattern.groupindex else 0
+                found += [(*m.span(group), kind, rule, confidence) for m in pattern.finditer(text)]
         return found
 
 

@@ -63,3 +63,45 @@ def test_references_and_scalings(spark):
     line = x.composite_scalings(x.scalings(df, ["k"], "t"), ["k"]).first()
     assert (line["points"], line["factor"], line["offset"]) == (2, 6.25, -25.0)
     assert x.mentions(df.filter(F.lit(False)), ["k"], "t").count() == 0
+
+
+class _Counted:
+    """A compiled pattern that notes how often a text is searched for it."""
+
+    def __init__(self, pattern, calls):
+        self.pattern, self.calls = pattern, calls
+
+    def __getattr__(self, name):
+        return getattr(self.pattern, name)
+
+    def finditer(self, text):
+        self.calls.append(self.pattern.pattern)
+        return self.pattern.finditer(text)
+
+
+def test_a_text_is_searched_only_for_what_it_may_hold(monkeypatch):
+    calls = []
+    compile_ = re.compile
+    monkeypatch.setattr(x.re, "compile", lambda *a: _Counted(compile_(*a), calls))
+    rules = x.Rules()
+    assert rules.matches("Nothing of note came up while the crew had lunch") == []
+    assert len(calls) <= 3
+
+
+def test_matches_are_those_of_each_term_and_pattern_by_itself():
+    rng = random.Random(3)
+    words = [t for _, _, _, terms in x.LEXICONS for t in terms] + ["Model X-12", "aka Foo 1", "Some Name (ABC)", "TAG-01_b", "ID: ABC-9", "5 to 7 psi", "4 \u2013 20 mA", "12 counts", "ECUACI\u00d3N: a = 3", "Doc. XYZ-12", "ISO 9001-2", "p\u017fi", "\u0131d: 77x", "\u0130SO 12", "HOO\u212a LOAD", "\u0663", "\u0664 to \u0665", "and", "\u00e9"]
+    rules = x.Rules()
+    for _ in range(3000):
+        text = "".join(rng.choice(["", "(", "-", " "]) + rng.choice([str, str.upper, str.lower])(rng.choice(words)) + rng.choice([" ", ")", ", ", "_"]) for _ in range(rng.randint(1, 8)))
+        expected = []
+        for kind, rule, confidence, terms in x.LEXICONS:
+            taken = []
+            for term in sorted(terms, key=len, reverse=True):
+                found = re.finditer(rf"(?<![A-Za-z0-9]){re.escape(term)}(?![A-Za-z0-9])", text, re.IGNORECASE)
+                taken += [m.span() for m in found if not any(lo <= m.start() and m.end() <= hi for lo, hi in taken)]
+            expected += [(*span, kind, rule, confidence) for span in taken]
+        for kind, rule, confidence, pattern, cased in x.PATTERNS:
+            compiled = re.compile(pattern, 0 if cased else re.IGNORECASE)
+            expected += [(*m.span("value" if "value" in compiled.groupindex else 0), kind, rule, confidence) for m in compiled.finditer(text)]
+        assert sorted(rules.matches(text)) == sorted(expected)
