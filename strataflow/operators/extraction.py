@@ -60,7 +60,7 @@ NEEDED = {
 DIGIT = re.compile(r"\d")
 DIGIT_KINDS = frozenset({"range", "raw_signal", "number"})
 #: Letters that match one of ASCII where case doesn't matter, but aren't its other case.
-FOLDED = str.maketrans({"\u017f": "s", "\u0131": "i", "\u0130": "i"})
+FOLDED = {"\u017f": "s", "\u0131": "i", "\u0130": "i"}
 
 
 class Rules:
@@ -80,7 +80,10 @@ class Rules:
 
     def matches(self, text: str) -> list[Match]:
         found: list[Match] = []
-        plain = text.lower() if text.isascii() else text.translate(FOLDED).lower()
+        plain = text
+        for letter, other in () if text.isascii() else FOLDED.items():
+            plain = plain.replace(letter, other)
+        plain = plain.lower()
         for kind, rule, confidence, longer, runs, any_run in self.lexicons:
             taken: list[tuple[int, int]] = []
             for term, pattern in longer:
