@@ -47,8 +47,11 @@ def review_items(targets: DataFrame, items: DataFrame, target: str) -> DataFrame
 
 
 def reviewed(items: DataFrame, decisions: DataFrame, item: str) -> DataFrame:
-    """Items with their last decision (item, decision, at): approved or rejected ones are closed, a decision about a closed item doesn't count. ``at`` should be total: a struct of the time and a place, where times may be equal."""
-    last = decisions.filter(F.col("decision").isin("approve", "reject")).groupBy(item).agg(F.max_by("decision", "at").alias("_decision"))
+    """Items with their last decision (item, decision, at): approved or rejected ones are closed, a decision about a closed item doesn't count. Of equal times the least ``place`` decides, if there is such a column."""
+    valid = decisions.filter(F.col("decision").isin("approve", "reject"))
+    if "place" in decisions.columns:
+        valid = valid.groupBy(item, "at").agg(F.min_by("decision", "place").alias("decision"))
+    last = valid.groupBy(item).agg(F.max_by("decision", "at").alias("_decision"))
     state = F.when((F.col("state") == "open") & (F.col("_decision") == "approve"), "approved").when((F.col("state") == "open") & (F.col("_decision") == "reject"), "rejected").otherwise(F.col("state"))
     return items.join(last, item, "left").withColumn("state", state).drop("_decision")
 

@@ -57,8 +57,8 @@ def review_items(spark, sf_dir):
 def reviewed_items(spark, sf_dir):
     flag = F.col("l_returnflag")
     moment = F.col("l_linenumber") * 1000 + F.col("l_quantity") * 10 + F.col("l_discount")
-    at = F.when(moment.isNotNull(), F.struct(moment.alias("moment"), -F.col("_metadata.row_index"), F.col("_metadata.file_path")))  # of equal moments the first row of the file
-    decisions = table(spark, sf_dir, "lineitem").filter("l_linenumber < 3").select(F.col("l_orderkey").alias("item"), F.when(flag == "R", "reject").when(flag == "A", "approve").otherwise("defer").alias("decision"), at.alias("at"))
+    place = F.struct("_metadata.file_path", "_metadata.row_index")  # of equal moments the first row of the first file
+    decisions = table(spark, sf_dir, "lineitem").filter("l_linenumber < 3").select(F.col("l_orderkey").alias("item"), F.when(flag == "R", "reject").when(flag == "A", "approve").otherwise("defer").alias("decision"), moment.alias("at"), place.alias("place"))
     return g.reviewed(_items(spark, sf_dir), decisions, "item").select("item", "state")
 
 

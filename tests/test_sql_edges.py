@@ -68,6 +68,23 @@ def test_equal_moments_take_the_first_row(spark, tmp_path):
     assert differs(spark, tmp_path, "reviewed_items", lineitem=lines) == ""
 
 
+def test_equal_moments_take_the_first_of_several_files(spark, tmp_path):
+    import duckdb
+
+    lines = "SELECT k // 4 AS l_orderkey, 1 AS l_partkey, 1 AS l_suppkey, 1 AS l_linenumber, 5.0 AS l_quantity, 1.0 AS l_extendedprice, 0.02 AS l_discount, 0.0 AS l_tax, CASE WHEN k % 4 IN (0, 3) THEN 'R' ELSE 'A' END AS l_returnflag, 'O' AS l_linestatus, TIMESTAMP '1996-01-01' AS l_shipdate FROM range(400) r(k)"
+    parts, whole = tmp_path / "parts", tmp_path / "whole"
+    (parts / "lineitem.parquet").mkdir(parents=True)
+    whole.mkdir()
+    for i, order in enumerate(("k", "-k")):  # the second file has at its top what the first has at its end
+        duckdb.connect().sql(f"COPY (SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER () AS k FROM ({lines})) WHERE k % 4 {'< 2' if i == 0 else '>= 2'} ORDER BY {order}) TO '{parts}/lineitem.parquet/part-{i}.parquet' (FORMAT parquet)")
+    duckdb.connect().sql(f"COPY (FROM read_parquet(['{parts}/lineitem.parquet/part-0.parquet', '{parts}/lineitem.parquet/part-1.parquet'])) TO '{whole}/lineitem.parquet' (FORMAT parquet)")
+    for t in oracle.TABLES:
+        for folder in (parts, whole):
+            if t != "lineitem" and os.path.exists(f"{SF}/{t}.parquet"):
+                os.symlink(f"{SF}/{t}.parquet", folder / f"{t}.parquet")
+    assert oracle.compare(catalogue.queries()["reviewed_items"](spark, str(parts)), oracle.connect(str(whole)), catalogue.oracle_sql()["reviewed_items"]) == ""
+
+
 def test_checkpoint_times_have_no_trailing_zeros(spark, tmp_path):
     for i, moment in enumerate(("2024-03-01 10:00:00.25", "2024-03-01 10:00:00")):
         (own := tmp_path / str(i)).mkdir()
